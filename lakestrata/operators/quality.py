@@ -99,11 +99,22 @@ def _detail(template: str, col: str) -> Column:
     return F.concat(F.col(col).cast("string"), F.lit(" " + template))
 
 
-def fused_check_frame(df: DataFrame, checks: list[Check], layer: str, table: str) -> DataFrame | None:
+STAT_ROWS = "__rows__"
+STAT_CHECKSUM = "__checksum__"
+
+
+def fused_check_frame(df: DataFrame, checks: list[Check], layer: str, table: str,
+                      checksum_cols: list[str] | None = None, stats: bool = False) -> DataFrame | None:
+    """The checks answered by one scan, as result rows. With ``stats`` the same aggregate also yields
+    two pseudo-rows, the row count and the content checksum, so a job gets count, checksum and the
+    scan-based checks from one pass over the data."""
     parts = _fused_aggs(df, checks)
-    if not parts:
+    if not parts and not stats:
         return None
     aggs = [v.alias(f"_v{i}") for i, (_, v, _) in enumerate(parts)] + [F.count(F.lit(1)).alias("_rows")]
+    if stats:
+        cols = checksum_cols if checksum_cols is not None else df.columns
+        aggs.append(fold_int64(F.sum(row_hash(cols).cast("decimal(38,0)"))).alias("_checksum"))
     agg = df.agg(*aggs)
     specs = []
     for i, (c, _, tmpl) in enumerate(parts):
@@ -112,6 +123,9 @@ def fused_check_frame(df: DataFrame, checks: list[Check], layer: str, table: str
         else:
             det = _detail(tmpl, f"_v{i}")
         specs.append((c.name, f"_v{i}", det))
+    if stats:
+        specs.append((STAT_ROWS, "_rows", F.lit("")))
+        specs.append((STAT_CHECKSUM, "_checksum", F.lit("")))
     return _rows(layer, table, agg, specs)
 
 
@@ -146,7 +160,8 @@ def source_count_check_frame(df: DataFrame, c: Check, src: DataFrame, layer: str
 # ------------------------------------------------------------------------------------------ suite
 
 def check_frame(df: DataFrame, checks: Iterable[Check], layer: str, table: str,
-                refs: Mapping[str, DataFrame] | None = None) -> DataFrame | None:
+                refs: Mapping[str, DataFrame] | None = None, stats: bool = False,
+                checksum_cols: list[str] | None = None) -> DataFrame | None:
     """All ``checks`` on ``df`` as one lazily evaluated result DataFrame (``None`` if no checks).
 
     ``refs`` maps ``ref_table`` (or ``"{ref_layer}/{ref_table}"``) to the frame a ``referential`` or
@@ -155,7 +170,7 @@ def check_frame(df: DataFrame, checks: Iterable[Check], layer: str, table: str,
     checks = list(checks)
     refs = refs or {}
     parts: list[DataFrame] = []
-    fused = fused_check_frame(df, checks, layer, table)
+    fused = fused_check_frame(df, checks, layer, table, checksum_cols=checksum_cols, stats=stats)
     if fused is not None:
         parts.append(fused)
     for c in checks:
@@ -172,6 +187,7 @@ def check_frame(df: DataFrame, checks: Iterable[Check], layer: str, table: str,
     if not parts:
         return None
     order = {c.name: i for i, c in enumerate(checks)}
+    order.update({STAT_ROWS: len(order), STAT_CHECKSUM: len(order) + 1})
     out = reduce(DataFrame.unionByName, parts)
     # keep declaration order for the report (a handful of rows)
     return out.withColumn("_o", F.element_at(F.create_map(*[x for n, i in order.items()
@@ -186,24 +202,56 @@ def offenders(df: DataFrame, c: Check, max_offenders: int = 20) -> list:
     return [r[0] for r in top.collect()]
 
 
-def run_checks(df: DataFrame, checks: Iterable[Check], layer: str, table: str,
-               refs: Mapping[str, DataFrame] | None = None, max_offenders: int = 20) -> list[CheckResult]:
-    """Run the checks (one action), return results in declaration order; never raises on failure."""
+@dataclass(frozen=True)
+class TableReport:
+    results: list[CheckResult]
+    rows: int | None = None
+    checksum: int | None = None
+
+    @property
+    def failures(self) -> list[CheckResult]:
+        return [r for r in self.results if not r.passed]
+
+
+def run_report(df: DataFrame, checks: Iterable[Check], layer: str, table: str,
+               refs: Mapping[str, DataFrame] | None = None, stats: bool = True,
+               checksum_cols: list[str] | None = None, max_offenders: int = 20) -> TableReport:
+    """Run the checks (plus count and checksum with ``stats``) as ONE action; results come back in
+    declaration order. Never raises on a failed check."""
     checks = list(checks)
-    frame = check_frame(df, checks, layer, table, refs)
+    frame = check_frame(df, checks, layer, table, refs, stats=stats, checksum_cols=checksum_cols)
     if frame is None:
-        return []
+        return TableReport([])
     rows = sorted(frame.collect(), key=lambda r: r["_o"])
     by_name = {c.name: c for c in checks}
-    results = []
+    results, n, cs = [], None, None
     for r in rows:
+        if r["check"] == STAT_ROWS:
+            n = int(r["violations"])
+            continue
+        if r["check"] == STAT_CHECKSUM:
+            cs = None if r["violations"] is None else int(r["violations"])
+            continue
         detail = r["detail"]
         c = by_name[r["check"]]
         if c.kind == "accepted_values" and not r["passed"]:
             detail = f"values outside the accepted set: {offenders(df, c, max_offenders)} ({detail})"
         results.append(CheckResult(r["layer"], r["table_name"], r["check"], bool(r["passed"]),
                                    int(r["violations"]), detail))
-    return results
+    return TableReport(results, n, cs)
+
+
+def run_checks(df: DataFrame, checks: Iterable[Check], layer: str, table: str,
+               refs: Mapping[str, DataFrame] | None = None, max_offenders: int = 20) -> list[CheckResult]:
+    """Run the checks as one action; results in declaration order; never raises on failure."""
+    return run_report(df, checks, layer, table, refs, stats=False, max_offenders=max_offenders).results
+
+
+def log_results(layer: str, table: str, results: list[CheckResult], log=print) -> None:
+    failures = [r for r in results if not r.passed]
+    log(f"checks for {layer}/{table}: {len(results)} run, {len(failures)} failed")
+    for r in results:
+        log(f"  [{'OK    ' if r.passed else 'FAILED'}] {r.check} -- {r.detail}")
 
 
 def run_suite(df: DataFrame, layer: str, table: str, refs: Mapping[str, DataFrame] | None = None,
@@ -220,9 +268,7 @@ def run_suite(df: DataFrame, layer: str, table: str, refs: Mapping[str, DataFram
     results = run_checks(df, checks, layer, table, refs)
     failures = [r for r in results if not r.passed]
     if log:
-        log(f"checks for {layer}/{table}: {len(results)} run, {len(failures)} failed")
-        for r in results:
-            log(f"  [{'OK    ' if r.passed else 'FAILED'}] {r.check} -- {r.detail}")
+        log_results(layer, table, results, log)
     if failures and raise_on_failure:
         raise QualityError(layer, table, failures)
     return results
