@@ -1,0 +1,51 @@
+"""Exact ``row_number() OVER (PARTITION BY keys ORDER BY order)`` that stays balanced under skew.
+
+A plain window sends every row of a key to one task, so a key holding a third of the data becomes a
+third of the work on one core. Here the rows are range-partitioned on the FULL sort tuple
+``(keys, order)``: the sampled range bounds split a hot key across as many partitions as its size
+needs. Inside each range partition the rows are sorted and get increasing positions. Then, per
+(key, partition) piece, one aggregate gives the first position and the piece's row count (pieces are
+at most one per partition per key), a window over the pieces of a key adds the counts of earlier
+pieces, and a join on (key, partition) turns each position into the row number. No step handles more
+than one range partition's worth of rows of one key; the join is keyed by (key, partition), so the hot
+key is already split there too.
+
+The positioned rows are used twice (pieces and join), and Spark draws range bounds from a sample
+seeded by the RDD id, so two evaluations could place rows differently. They are therefore
+materialised once with a reliable ``checkpoint()`` in the cluster's ``spark.checkpoint.dir`` (shared
+storage; a scratch folder is set only when the session has none, as in tests): both uses read the
+same layout, and the lineage is cut, so a lost executor never triggers a re-sample. Rows that tie on
+the whole sort tuple are numbered in an arbitrary order, exactly as with the window.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+from functools import reduce
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from lakestrata.session import checkpoint_dir
+
+
+def row_number_within(df: DataFrame, keys: Sequence[str], order: Sequence[str], alias: str = "rn",
+                      num_partitions: int | None = None) -> DataFrame:
+    keys, order = list(keys), list(order)
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cols = keys + order
+    placed = (df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
+                .withColumn("_pid", F.spark_partition_id())
+                .withColumn("_pos", F.monotonically_increasing_id()))
+    checkpoint_dir(df.sparkSession)
+    placed = placed.checkpoint(eager=True)
+    pieces = placed.groupBy(*keys, "_pid").agg(F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    pieces = pieces.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_pid").alias("_p"),
+                           "_first", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    cond = reduce(lambda a, b: a & b,
+                  [placed[k].eqNullSafe(pieces[f"_k{i}"]) for i, k in enumerate(keys)]
+                  + [placed["_pid"] == pieces["_p"]])
+    joined = placed.join(pieces, cond, "inner")
+    rn = (F.col("_pos") - F.col("_first") + F.col("_before") + 1).cast("int")
+    return joined.select(*df.columns, rn.alias(alias))
