@@ -1,8 +1,10 @@
 """Lazily built layer frames over one data directory.
 
 ``Layers(spark, sf_dir)`` derives raw → Silver → Gold frames from the driver tables without writing
-anything; every accessor returns a fresh lazy plan, so Catalyst prunes columns and pushes filters
-through the whole chain down to the Parquet scans. Jobs that publish layers read the written tables
+anything; the accessors return lazy plans, so Catalyst prunes columns and pushes filters through the
+whole chain down to the Parquet scans. A raw frame is built once per ``Layers`` object and the same
+DataFrame is reused by every branch of a query (identical subtrees also let Spark reuse exchanges);
+nothing is cached in memory. Jobs that publish layers read the written tables
 instead (see :mod:`lakestrata.plans.jobs`).
 """
 
@@ -20,9 +22,12 @@ class Layers:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark = spark
         self.sf_dir = sf_dir
+        self._raw: dict[str, DataFrame] = {}
 
     def raw(self, table: str) -> DataFrame:
-        return raw_table(self.spark, self.sf_dir, table)
+        if table not in self._raw:
+            self._raw[table] = raw_table(self.spark, self.sf_dir, table)
+        return self._raw[table]
 
     def silver(self, table: str) -> DataFrame:
         return to_silver(table, self.raw(table))
