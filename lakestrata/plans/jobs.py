@@ -170,8 +170,19 @@ def run_all(spark: SparkSession, paths: LakePaths, run_ts: dt.datetime | None =
     return out
 
 
-def land_tables(frames: dict[str, DataFrame], landing_root: str, ingestion_date: str | dt.date) -> None:
-    """Drop raw frames into the landing zone (one partition per ingestion date)."""
-    for name, df in frames.items():
+def land_tables(frames: dict[str, DataFrame], landing_root: str, ingestion_date: str | dt.date,
+                max_parallel: int = 1) -> None:
+    """Drop raw frames into the landing zone (one partition per ingestion date); independent tables
+    may be written concurrently."""
+    for name in frames:
         table_spec(name)
-        write_landing(df, landing_root, name, ingestion_date)
+
+    def one(item):
+        write_landing(item[1], landing_root, item[0], ingestion_date)
+
+    if max_parallel > 1:
+        with ThreadPoolExecutor(max_workers=max_parallel) as ex:
+            list(ex.map(one, frames.items()))
+    else:
+        for item in frames.items():
+            one(item)

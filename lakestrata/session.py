@@ -53,9 +53,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     runs and tests) a fresh scratch folder is created and registered once for the session.
     """
     sc = spark.sparkContext
-    d = sc.getCheckpointDir() or sc.getConf().get(CHECKPOINT_CONF, None)
-    if not d:
-        d = tempfile.mkdtemp(prefix="lakestrata-ckpt-")
+    current = sc.getCheckpointDir()
+    if current:
+        return current
+    d = sc.getConf().get(CHECKPOINT_CONF, None) or tempfile.mkdtemp(prefix="lakestrata-ckpt-")
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
 

@@ -53,7 +53,7 @@ def latest_partition(spark: SparkSession, base: str) -> str:
         raise NoLandingPartitionError(f"no landing data under {base}: {e.getMessage() if hasattr(e, 'getMessage') else e}") from e
     if PARTITION_COLUMN not in listing.columns:
         raise NoLandingPartitionError(f"no '{PARTITION_COLUMN}=' partition under {base}")
-    row = listing.agg(F.max(F.col(PARTITION_COLUMN).cast("string")).alias("d")).collect()[0]
+    row = listing.agg(F.max(PARTITION_COLUMN).cast("string").alias("d")).collect()[0]
     if row["d"] is None:
         raise NoLandingPartitionError(f"no CSV file in any '{PARTITION_COLUMN}=' partition under {base}")
     return row["d"]
