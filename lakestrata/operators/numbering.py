@@ -12,7 +12,7 @@ key is already split there too.
 
 The positioned rows are used twice (pieces and join), and Spark draws range bounds from a sample
 seeded by the RDD id, so two evaluations could place rows differently. They are therefore
-materialised once with a reliable ``checkpoint()`` in the cluster's ``spark.checkpoint.dir`` (shared
+materialised once, as a Parquet table written in the cluster's ``spark.checkpoint.dir`` (shared
 storage; a scratch folder is set only when the session has none, as in tests): both uses read the
 same layout, and the lineage is cut, so a lost executor never triggers a re-sample. Rows that tie on
 the whole sort tuple are numbered in an arbitrary order, exactly as with the window.
@@ -26,7 +26,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakestrata.session import checkpoint_dir
+from lakestrata.session import materialize
 
 
 def row_number_within(df: DataFrame, keys: Sequence[str], order: Sequence[str], alias: str = "rn",
@@ -37,8 +37,7 @@ def row_number_within(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     placed = (df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
                 .withColumn("_pid", F.spark_partition_id())
                 .withColumn("_pos", F.monotonically_increasing_id()))
-    checkpoint_dir(df.sparkSession)
-    placed = placed.checkpoint(eager=True)
+    placed = materialize(placed, "numbering")
     pieces = placed.groupBy(*keys, "_pid").agg(F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_n"))
     earlier = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     pieces = pieces.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_pid").alias("_p"),

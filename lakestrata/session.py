@@ -10,8 +10,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
 
@@ -61,5 +62,18 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or d
 
 
+def materialize(df: DataFrame, tag: str = "stage") -> DataFrame:
+    """Write ``df`` as Parquet under the session's checkpoint folder and return the re-read frame.
+
+    Used where a plan must be evaluated exactly once (its later uses must see the same rows in the
+    same places) and to cut the lineage: one columnar write instead of ``checkpoint()``'s count job
+    plus serialized-row write, and a lost executor never re-runs the upstream plan.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/lakestrata-{tag}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
 def default_parallelism_hint() -> int:
     return int(os.environ.get("BENCH_CPUS", os.cpu_count() or 8))

@@ -73,6 +73,8 @@ def main(argv):
 
     names = argv[2:] or list(QUERIES)
     spark = get_session("local[8]", shuffle_partitions=8)
+    if os.environ.get("ANSI"):
+        spark.conf.set("spark.sql.ansi.enabled", os.environ["ANSI"])
     con = duck(sf_dir)
     failed = 0
     for n in names:
