@@ -1,14 +1,21 @@
 """Exact ``row_number() OVER (PARTITION BY keys ORDER BY order)`` that stays balanced under skew.
 
 A plain window sends every row of a key to one task, so a key holding a third of the data becomes a
-third of the work on one core. Here the rows are range-partitioned on the FULL sort tuple
-``(keys, order)``: the sampled range bounds split a hot key across as many partitions as its size
-needs. Inside each range partition the rows are sorted and get increasing positions. Then, per
-(key, partition) piece, one aggregate gives the first position and the piece's row count (pieces are
-at most one per partition per key), a window over the pieces of a key adds the counts of earlier
-pieces, and a join on (key, partition) turns each position into the row number. No step handles more
-than one range partition's worth of rows of one key; the join is keyed by (key, partition), so the hot
-key is already split there too.
+third of the work on one core. The rows are therefore split in two:
+
+* cold keys (at most ``hot_threshold`` rows each) are numbered by the plain window: every window
+  group is bounded by the threshold, so tasks stay balanced;
+* hot keys (above the threshold) are found by one aggregate (with a map-side partial step, so the
+  hot key itself collapses before the shuffle). There are at most ``rows / hot_threshold`` of them, a
+  proven bound, so the list is collected and broadcast to split the input.
+
+Hot keys are numbered by :func:`range_row_number`. The rows are range-partitioned on the FULL sort
+tuple ``(keys, order)``, so the sampled bounds split a hot key across as many partitions as its size
+needs. Inside each range partition the rows are sorted and get increasing positions. Per
+(key, partition) piece, one aggregate gives the first position and the row count; a window over the
+pieces of a key (at most one piece per partition) adds the counts of earlier pieces; and a join on
+(key, partition) turns each position into the row number. No step handles more than one range
+partition's worth of rows of one key.
 
 The positioned rows are used twice (pieces and join), and Spark draws range bounds from a sample
 seeded by the RDD id, so two evaluations could place rows differently. They are therefore
@@ -28,9 +35,31 @@ from pyspark.sql import functions as F
 
 from lakestrata.session import materialize
 
+DEFAULT_HOT_THRESHOLD = 1_000_000
+
+
+def _key_match(left: DataFrame, right: DataFrame, keys: Sequence[str]):
+    return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
+
 
 def row_number_within(df: DataFrame, keys: Sequence[str], order: Sequence[str], alias: str = "rn",
-                      num_partitions: int | None = None) -> DataFrame:
+                      hot_threshold: int = DEFAULT_HOT_THRESHOLD, num_partitions: int | None = None) -> DataFrame:
+    keys, order = list(keys), list(order)
+    window = Window.partitionBy(*keys).orderBy(*order)
+    hot_rows = (df.groupBy(*keys).count().where(F.col("count") > hot_threshold).select(*keys).collect())
+    if not hot_rows:
+        return df.withColumn(alias, F.row_number().over(window))
+    hot = df.sparkSession.createDataFrame(hot_rows, df.select(*keys).schema)
+    cold = (df.join(F.broadcast(hot), _key_match(df, hot, keys), "left_anti")
+              .withColumn(alias, F.row_number().over(window)))
+    hot_part = range_row_number(df.join(F.broadcast(hot), _key_match(df, hot, keys), "left_semi"),
+                                keys, order, alias, num_partitions)
+    return cold.unionByName(hot_part)
+
+
+def range_row_number(df: DataFrame, keys: Sequence[str], order: Sequence[str], alias: str = "rn",
+                     num_partitions: int | None = None) -> DataFrame:
+    """Row number of every row, computed from range-partition pieces (see the module docstring)."""
     keys, order = list(keys), list(order)
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cols = keys + order

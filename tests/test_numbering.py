@@ -3,7 +3,7 @@
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from lakestrata.operators.numbering import row_number_within
+from lakestrata.operators.numbering import range_row_number, row_number_within
 
 
 def _brute(df, keys, order):
@@ -11,19 +11,32 @@ def _brute(df, keys, order):
     return df.withColumn("rn", F.row_number().over(w))
 
 
-def test_matches_window_on_a_hot_key(spark):
+def _same(a, b):
+    return a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def _skewed(spark):
     # key 0 holds a third of the rows; the rest are spread over many small keys
-    df = spark.range(30000).selectExpr(
+    return spark.range(30000).selectExpr(
         "CASE WHEN id % 3 = 0 THEN 0 ELSE id % 997 + 1 END AS k", "id * 7919 % 10007 AS o1", "id AS o2")
-    got = row_number_within(df, ["k"], ["o1", "o2"], num_partitions=16)
-    exp = _brute(df, ["k"], ["o1", "o2"])
+
+
+def test_hot_key_path_matches_window(spark):
+    df = _skewed(spark)
+    got = row_number_within(df, ["k"], ["o1", "o2"], hot_threshold=1000, num_partitions=16)
     assert got.count() == df.count()
-    assert got.exceptAll(exp).count() == 0 and exp.exceptAll(got).count() == 0
+    assert _same(got, _brute(df, ["k"], ["o1", "o2"]))
+
+
+def test_cold_path_matches_window(spark):
+    df = _skewed(spark)
+    got = row_number_within(df, ["k"], ["o1", "o2"])  # default threshold: no hot key here
+    assert _same(got, _brute(df, ["k"], ["o1", "o2"]))
 
 
-def test_hot_key_is_split_across_partitions(spark):
+def test_range_numbering_splits_one_key(spark):
     df = spark.range(20000).selectExpr("0 AS k", "id AS o")
-    got = row_number_within(df, ["k"], ["o"], num_partitions=8)
+    got = range_row_number(df, ["k"], ["o"], num_partitions=8)
     assert sorted(r.rn for r in got.collect()) == list(range(1, 20001))
     pieces = (df.repartitionByRange(8, "k", "o").withColumn("p", F.spark_partition_id())
                 .select("p").distinct().count())
@@ -33,5 +46,7 @@ def test_hot_key_is_split_across_partitions(spark):
 def test_null_keys_and_compound_keys(spark):
     df = spark.createDataFrame([(None, "a", 2), (None, "a", 1), (1, "b", 5), (1, "b", 3), (1, "c", 1)],
                                "k1 int, k2 string, o int")
-    got = {(r.k1, r.k2, r.o): r.rn for r in row_number_within(df, ["k1", "k2"], ["o"], num_partitions=3).collect()}
-    assert got == {(None, "a", 1): 1, (None, "a", 2): 2, (1, "b", 3): 1, (1, "b", 5): 2, (1, "c", 1): 1}
+    expected = {(None, "a", 1): 1, (None, "a", 2): 2, (1, "b", 3): 1, (1, "b", 5): 2, (1, "c", 1): 1}
+    for threshold in (1, 10):  # hot path (NULL key and (1,'b') are hot) and cold path
+        got = row_number_within(df, ["k1", "k2"], ["o"], hot_threshold=threshold, num_partitions=3)
+        assert {(r.k1, r.k2, r.o): r.rn for r in got.collect()} == expected
