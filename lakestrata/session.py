@@ -50,14 +50,19 @@ def get_session(master: str | None = None, app: str = "lakestrata", shuffle_part
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
-    On a cluster the setting must point at shared storage and is only read. When it is unset (local
-    runs and tests) a fresh scratch folder is created and registered once for the session.
+    On a cluster the setting must point at shared storage and is only read; a cluster session without
+    it is an error (a machine-local folder would not be visible to the executors). When it is unset in
+    local mode (local runs and tests) a fresh scratch folder is created and registered once.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
-    d = sc.getConf().get(CHECKPOINT_CONF, None) or tempfile.mkdtemp(prefix="lakestrata-ckpt-")
+    d = sc.getConf().get(CHECKPOINT_CONF, None)
+    if not d:
+        if not sc.master.startswith("local"):
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a shared folder (e.g. on HDFS or the object store)")
+        d = tempfile.mkdtemp(prefix="lakestrata-ckpt-")
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
 
