@@ -45,8 +45,8 @@ def _key(row):
     return tuple((x is None, str(type(x)), x if x is not None else 0) for x in row)
 
 
-def compare(spark, con, name: str, sf_dir: str, queries, oracles):
-    sdf = queries[name](spark, sf_dir)
+def compare(spark, con, name: str, sf_dir: str, queries, oracles, sdf=None):
+    sdf = sdf if sdf is not None else queries[name](spark, sf_dir)
     s_cols = sdf.columns
     s_rows = [tuple(_norm(r[c]) for c in sorted(s_cols)) for r in sdf.collect()]
     rel = con.sql(oracles[name])
