@@ -18,6 +18,7 @@ import datetime as dt
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakestrata.specs import TableSpec
 
@@ -67,9 +68,16 @@ def csv_reader(spark: SparkSession, spec: TableSpec | None = None):
 
 
 def read_landing(spark: SparkSession, landing_root: str, spec: TableSpec, ingestion_date: str) -> DataFrame:
-    """One landing partition of ``spec``'s table as all-string columns (partition column dropped)."""
+    """One landing partition of ``spec``'s table as all-string columns (partition column dropped).
+
+    The column names come from the header of that partition's own files (older drops may have had
+    other columns); the relation is the whole table directory with a literal partition filter, so
+    Spark prunes to the one directory at planning time."""
     base = landing_path(landing_root, spec.name)
-    df = csv_reader(spark, spec).csv(base)
+    header = csv_reader(spark, spec).csv(f"{base}/{PARTITION_COLUMN}={ingestion_date}").schema
+    schema = T.StructType([T.StructField(f.name, T.StringType()) for f in header.fields]
+                          + [T.StructField(PARTITION_COLUMN, T.DateType())])
+    df = csv_reader(spark, spec).schema(schema).csv(base)
     return df.where(F.col(PARTITION_COLUMN) == F.lit(ingestion_date).cast("date")).drop(PARTITION_COLUMN)
 
 

@@ -56,3 +56,13 @@ def test_unknown_names(spark, landed):
     assert not out[0].passed and "ValueError" in out[0].error
     with pytest.raises(ValueError):
         jobs.run_layer(spark, landed, "platinum", log=None)
+
+
+def test_bronze_reads_only_the_newest_drop(spark, landed):
+    customers = raw_tables(spark, SMALL_SF)["customers"]
+    jobs.land_tables({"customers": customers.limit(7)}, landed.landing, "2024-02-01")
+    jobs.land_tables({"customers": customers.limit(3)}, landed.landing, "2023-12-31")
+    out = jobs.bronze_job(spark, landed, "customers", log=None)
+    assert out.passed and out.rows == 7 and out.source_partition == "2024-02-01"
+    audit = io.read_audit(spark, landed.lake).where("table_name = 'customers'").collect()
+    assert audit[0].source_partition == "2024-02-01" and audit[0].rows == 7

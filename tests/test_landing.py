@@ -69,3 +69,12 @@ def test_write_landing_roundtrips_multiline_text(spark, scratch):
     landing.write_landing(df, scratch, "reviews", "2024-03-01")
     back, _ = landing.read_landing_latest(spark, scratch, table_spec("reviews"))
     assert back.collect()[0].review_comment_message == 'a\n"b", c'
+
+
+def test_newest_header_defines_the_columns(spark, scratch):
+    spec = TableSpec("sellers", "x.csv")
+    _drop(scratch, "sellers", "2024-01-01", "seller_id,old_col\ns1,x\n")
+    _drop(scratch, "sellers", "2024-02-01", "seller_id,seller_city,seller_state\ns2,rio,RJ\n")
+    df, _ = landing.read_landing_latest(spark, scratch, spec)
+    assert df.columns == ["seller_id", "seller_city", "seller_state"]
+    assert [tuple(r) for r in df.collect()] == [("s2", "rio", "RJ")]
