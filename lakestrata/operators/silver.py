@@ -18,6 +18,8 @@ from lakestrata.functions.clean import clean_code, clean_id, clean_text, to_doub
 
 Expr = Callable[[str], Column]
 
+# ---- fixed values: per table, the columns each cleaning expression applies to (source column names,
+# including the source dataset's own "lenght" spelling) ----------------------------------------------
 SILVER_RULES: dict[str, dict[str, Expr]] = {
     "customers": {
         "customer_id": clean_id, "customer_unique_id": clean_id, "customer_zip_code_prefix": clean_id,

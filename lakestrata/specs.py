@@ -11,8 +11,9 @@ from dataclasses import dataclass, field
 
 @dataclass(frozen=True)
 class TableSpec:
+    """A landing table: its name (also its folder under the landing root) and its CSV read options."""
+
     name: str
-    file: str
     csv_options: dict[str, str] = field(default_factory=dict)
 
 
@@ -63,18 +64,18 @@ CHECK_KINDS = ("row_count_min", "not_null", "unique", "accepted_values", "range"
                "row_count_equals_source", "referential", "cast_audit")
 
 
-# ---- fixed values: landing files and CSV options of the source dataset -----------------------------
+# ---- fixed values: landing tables and their CSV options -----------------------------
 MULTILINE_CSV = {"multiLine": "true", "quote": '"', "escape": '"'}
 TABLES = [
-    TableSpec("customers", "olist_customers_dataset.csv"),
-    TableSpec("orders", "olist_orders_dataset.csv"),
-    TableSpec("items", "olist_order_items_dataset.csv"),
-    TableSpec("payments", "olist_order_payments_dataset.csv"),
-    TableSpec("reviews", "olist_order_reviews_dataset.csv", MULTILINE_CSV),
-    TableSpec("products", "olist_products_dataset.csv"),
-    TableSpec("sellers", "olist_sellers_dataset.csv"),
-    TableSpec("geolocation", "olist_geolocation_dataset.csv"),
-    TableSpec("category_name", "product_category_name_translation.csv"),
+    TableSpec("customers"),
+    TableSpec("orders"),
+    TableSpec("items"),
+    TableSpec("payments"),
+    TableSpec("reviews", MULTILINE_CSV),
+    TableSpec("products"),
+    TableSpec("sellers"),
+    TableSpec("geolocation"),
+    TableSpec("category_name"),
 ]
 
 # ---- fixed values: Gold objects and the Silver tables each one reads --------------------------------

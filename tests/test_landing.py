@@ -31,7 +31,7 @@ def test_naive_vs_multiline_row_count(spark, scratch):
 
 
 def test_only_newest_partition_is_read(spark, scratch):
-    spec = TableSpec("customers", "x.csv")
+    spec = TableSpec("customers")
     _drop(scratch, "customers", "2024-01-01", "customer_id,customer_city\nold1,a\nold2,b\n")
     _drop(scratch, "customers", "2024-02-01", "customer_id,customer_city\nnew1,c\n")
     df, d = landing.read_landing_latest(spark, scratch, spec)
@@ -58,7 +58,7 @@ def test_write_landing_rerun_is_idempotent(spark, scratch):
     landing.write_landing(df, scratch, "t", "2024-01-01")
     landing.write_landing(df, scratch, "t", "2024-01-01")
     landing.write_landing(df.limit(1), scratch, "t", "2024-01-02")
-    spec = TableSpec("t", "t.csv")
+    spec = TableSpec("t")
     assert landing.read_landing(spark, scratch, spec, "2024-01-01").count() == 2
     df2, d = landing.read_landing_latest(spark, scratch, spec)
     assert d == "2024-01-02" and df2.count() == 1
@@ -72,7 +72,7 @@ def test_write_landing_roundtrips_multiline_text(spark, scratch):
 
 
 def test_newest_header_defines_the_columns(spark, scratch):
-    spec = TableSpec("sellers", "x.csv")
+    spec = TableSpec("sellers")
     _drop(scratch, "sellers", "2024-01-01", "seller_id,old_col\ns1,x\n")
     _drop(scratch, "sellers", "2024-02-01", "seller_id,seller_city,seller_state\ns2,rio,RJ\n")
     df, _ = landing.read_landing_latest(spark, scratch, spec)
