@@ -48,7 +48,7 @@ def write_landing(df: DataFrame, landing_root: str, table: str, ingestion_date:
 def latest_partition(spark: SparkSession, base: str) -> str:
     """Newest ``ingestion_date`` under ``base`` (lexicographic = chronological for ISO dates)."""
     try:
-        listing = (spark.read.format("binaryFile").option("pathGlobFilter", "*.csv")
+        listing = (spark.read.format("binaryFile").option("pathGlobFilter", "*.csv*")
                    .option("recursiveFileLookup", "false").load(base))
     except AnalysisException as e:
         raise NoLandingPartitionError(f"no landing data under {base}: {e.getMessage() if hasattr(e, 'getMessage') else e}") from e
