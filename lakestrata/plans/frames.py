@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from lakestrata.operators import gold as gold_ops
 from lakestrata.operators.silver import to_silver
 from lakestrata.sources.adapter import raw_table
+from lakestrata.sources.layers import read_layer
 from lakestrata.specs import gold_spec
 
 
@@ -35,3 +36,22 @@ class Layers:
     def gold(self, name: str) -> DataFrame:
         src = {s: self.silver(s) for s in gold_spec(name).sources}
         return gold_ops.build(name, src)
+
+
+class PublishedLayers:
+    """The same accessors over a published lake (``{root}/{layer}/{table}`` Parquet): what an analyst
+    uses once the layer jobs have run. Technical stamp columns are present and simply not selected."""
+
+    def __init__(self, spark: SparkSession, lake_root: str):
+        self.spark = spark
+        self.root = lake_root
+
+    def raw(self, table: str) -> DataFrame:
+        return read_layer(self.spark, self.root, "bronze", table)
+
+    def silver(self, table: str) -> DataFrame:
+        return read_layer(self.spark, self.root, "silver", table)
+
+    def gold(self, name: str) -> DataFrame:
+        gold_spec(name)
+        return read_layer(self.spark, self.root, "gold", name)

@@ -186,3 +186,40 @@ def land_tables(frames: dict[str, DataFrame], landing_root: str, ingestion_date:
     else:
         for item in frames.items():
             one(item)
+
+
+def main(argv: list[str] | None = None) -> int:
+    """Command line: ``python -m lakestrata.plans.jobs --landing L --lake K [--layer X [--table T ...]]``.
+
+    Without ``--layer`` all three layers run with gating; with it, the named layer (optionally only
+    some tables). Exit status 1 when any table failed."""
+    import argparse
+
+    from lakestrata.session import get_session
+
+    ap = argparse.ArgumentParser(prog="lakestrata-jobs")
+    ap.add_argument("--landing", required=True)
+    ap.add_argument("--lake", required=True)
+    ap.add_argument("--layer", choices=LAYERS)
+    ap.add_argument("--table", action="append")
+    ap.add_argument("--parallel", type=int, default=1)
+    a = ap.parse_args(argv)
+    spark = get_session()
+    paths = LakePaths(a.landing, a.lake)
+    try:
+        if a.layer:
+            outcomes = run_layer(spark, paths, a.layer, a.table, max_parallel=a.parallel)
+        else:
+            outcomes = [o for v in run_all(spark, paths, max_parallel=a.parallel).values() for o in v]
+    except LayerGateError as e:
+        print(e)
+        return 1
+    bad = [o for o in outcomes if not o.passed]
+    for o in outcomes:
+        print(f"{o.layer}/{o.table}: {'published' if o.published else 'FAILED'} rows={o.rows} checksum={o.checksum}"
+              + (f" error={o.error}" if o.error else ""))
+    return 1 if bad else 0
+
+
+if __name__ == "__main__":
+    raise SystemExit(main())

@@ -1,26 +1,40 @@
 import datetime as dt
 import os
+import tempfile
 
 import pytest
 
+from lakestrata.plans import analytics as qa
 from lakestrata.plans import jobs
+from lakestrata.plans.frames import Layers, PublishedLayers
 from lakestrata.sources import layers as io
 from lakestrata.sources.adapter import raw_tables
 
 from conftest import SMALL_SF
 
 
+@pytest.fixture(scope="module")
+def landing_root(spark):
+    root = os.path.join(tempfile.mkdtemp(prefix="lakestrata-test-landing-"), "landing")
+    jobs.land_tables(raw_tables(spark, SMALL_SF), root, "2024-01-01", max_parallel=3)
+    return root
+
+
 @pytest.fixture()
-def landed(spark, scratch):
-    paths = jobs.LakePaths(os.path.join(scratch, "landing"), os.path.join(scratch, "lake"))
-    jobs.land_tables(raw_tables(spark, SMALL_SF), paths.landing, "2024-01-01")
-    return paths
+def landed(landing_root, scratch):
+    """The shared (read-only) landing drop and a fresh lake per test."""
+    return jobs.LakePaths(landing_root, os.path.join(scratch, "lake"))
 
 
 def test_end_to_end_and_stable_checksums(spark, landed):
     out1 = jobs.run_all(spark, landed, run_ts=dt.datetime(2024, 1, 2), max_parallel=3, log=None)
     assert all(o.passed and o.published for v in out1.values() for o in v)
     assert sum(len(v) for v in out1.values()) == 25
+    # analytics over the published lake equal the ones derived directly from the driver tables
+    pub, der = PublishedLayers(spark, landed.lake), Layers(spark, SMALL_SF)
+    a = qa.revenue_by_state(pub.gold("fato_pedidos_itens"), pub.gold("dim_cliente"), k=None)
+    b = qa.revenue_by_state(der.gold("fato_pedidos_itens"), der.gold("dim_cliente"), k=None)
+    assert sorted(a.collect()) == sorted(b.collect())
     fact = io.read_layer(spark, landed.lake, "gold", "fato_pedidos_itens")
     assert "dt_criacao_gold" in fact.columns
     assert fact.count() == io.read_layer(spark, landed.lake, "silver", "items").count()
@@ -58,11 +72,19 @@ def test_unknown_names(spark, landed):
         jobs.run_layer(spark, landed, "platinum", log=None)
 
 
-def test_bronze_reads_only_the_newest_drop(spark, landed):
+def test_bronze_reads_only_the_newest_drop(spark, scratch):
+    landed = jobs.LakePaths(os.path.join(scratch, "landing"), os.path.join(scratch, "lake"))
     customers = raw_tables(spark, SMALL_SF)["customers"]
+    jobs.land_tables({"customers": customers}, landed.landing, "2024-01-01")
     jobs.land_tables({"customers": customers.limit(7)}, landed.landing, "2024-02-01")
     jobs.land_tables({"customers": customers.limit(3)}, landed.landing, "2023-12-31")
     out = jobs.bronze_job(spark, landed, "customers", log=None)
     assert out.passed and out.rows == 7 and out.source_partition == "2024-02-01"
     audit = io.read_audit(spark, landed.lake).where("table_name = 'customers'").collect()
     assert audit[0].source_partition == "2024-02-01" and audit[0].rows == 7
+
+
+def test_command_line_runs_one_layer(spark, landed):
+    assert jobs.main(["--landing", landed.landing, "--lake", landed.lake, "--layer", "bronze",
+                      "--table", "sellers"]) == 0
+    assert os.path.exists(io.layer_path(landed.lake, "bronze", "sellers"))
