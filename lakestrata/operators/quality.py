@@ -89,7 +89,7 @@ def _rows(layer: str, table: str, agg: DataFrame, specs: list[tuple[str, str, st
     structs = [
         F.struct(F.lit(name).alias("check"), (F.col(col) == 0).alias("passed"),
                  F.col(col).cast("bigint").alias("violations"), detail.alias("detail"))
-        for name, col, detail in [(n, c, d) for n, c, d in specs]
+        for name, col, detail in specs
     ]
     return (agg.select(F.explode(F.array(*structs)).alias("r"))
                .select(F.lit(layer).alias("layer"), F.lit(table).alias("table_name"), "r.*"))
