@@ -8,4 +8,4 @@ from lakestrata.functions.clean import (  # noqa: F401
     to_int,
     to_ts,
 )
-from lakestrata.functions.hashing import fold_int64, row_hash  # noqa: F401
+from lakestrata.functions.hashing import checksum_agg, fold_int64, row_hash  # noqa: F401

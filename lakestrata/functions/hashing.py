@@ -18,14 +18,21 @@ _TWO_63 = 2**63
 _TWO_64 = 2**64
 
 
-def row_hash(cols: Sequence[str], compat: bool = False) -> Column:
+def row_hash(cols: Sequence[str | Column], compat: bool = False) -> Column:
+    """Per-row ``xxhash64`` of the given columns (names or expressions)."""
+    exprs = [F.col(c) if isinstance(c, str) else c for c in cols]
     if compat:
-        args = [F.col(c) for c in cols]
+        args = exprs
     else:
-        args = [a for c in cols for a in (F.col(c), F.isnull(F.col(c)))]
+        args = [a for e in exprs for a in (e, F.isnull(e))]
     return F.xxhash64(*args)
 
 
+def checksum_agg(cols: Sequence[str | Column], compat: bool = False) -> Column:
+    """Aggregate expression: the folded 64-bit sum of the row hashes (NULL for no rows)."""
+    return fold_int64(F.sum(row_hash(cols, compat).cast("decimal(38,0)")))
+
+
 def fold_int64(dec_sum: Column) -> Column:
     """``((s + 2^63) mod 2^64) - 2^63`` on an exact decimal sum, as ``bigint``."""
     two63 = F.lit(Decimal(_TWO_63)).cast("decimal(38,0)")

@@ -27,7 +27,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakestrata.functions.hashing import fold_int64, row_hash
+from lakestrata.functions.hashing import checksum_agg
 from lakestrata.specs import Check, declared_checks
 
 RESULT_COLUMNS = ["layer", "table_name", "check", "passed", "violations", "detail"]
@@ -114,7 +114,7 @@ def fused_check_frame(df: DataFrame, checks: list[Check], layer: str, table: str
     aggs = [v.alias(f"_v{i}") for i, (_, v, _) in enumerate(parts)] + [F.count(F.lit(1)).alias("_rows")]
     if stats:
         cols = checksum_cols if checksum_cols is not None else df.columns
-        aggs.append(fold_int64(F.sum(row_hash(cols).cast("decimal(38,0)"))).alias("_checksum"))
+        aggs.append(checksum_agg(cols).alias("_checksum"))
     agg = df.agg(*aggs)
     specs = []
     for i, (c, _, tmpl) in enumerate(parts):
@@ -318,8 +318,7 @@ def checksum_frame(df: DataFrame, columns: list[str] | None = None, compat: bool
     """One row: ``checksum`` (bigint, NULL for an empty table), the wrapped 64-bit sum of per-row
     ``xxhash64``, and ``linhas``, the row count of the same scan. Order independent; one partial + final aggregate, no sort, no shuffle of rows."""
     cols = list(columns) if columns is not None else df.columns
-    h = row_hash(cols, compat=compat).cast("decimal(38,0)")
-    return df.agg(fold_int64(F.sum(h)).alias("checksum"), F.count(F.lit(1)).alias("linhas"))
+    return df.agg(checksum_agg(cols, compat).alias("checksum"), F.count(F.lit(1)).alias("linhas"))
 
 
 def checksum(df: DataFrame, columns: list[str] | None = None, compat: bool = False) -> str:

@@ -16,6 +16,7 @@ from lakestrata.operators import quality as dq
 from lakestrata.operators.gold import build_fato_pedidos_itens
 from lakestrata.operators.silver import SILVER_COLUMNS, SILVER_RULES
 from lakestrata.functions.clean import to_double, to_int, to_ts
+from lakestrata.functions.hashing import checksum_agg
 from lakestrata.plans import analytics as qa
 from lakestrata.plans.frames import Layers
 from lakestrata.plans.oracle_sql import GOLD_CTES, R, check_sql, with_ctes
@@ -337,22 +338,20 @@ _register_report("dq_suite_gold", [
 # ------------------------------------------------------------------ checksum and manifest (DQ-10, SNK-3)
 
 def _checksum_report(t: str, df: DataFrame, cols: list[str]) -> DataFrame:
-    """Checksum of the table, of a re-shuffled copy and of a copy with one column edited, compared
-    inside one plan: three one-row aggregates, tagged, unioned and folded by one more aggregate."""
+    """Checksum of the table, of a re-partitioned copy and of a copy with one column edited.
+
+    The original and the edited copy hash the same rows, so one aggregate over one scan gives both;
+    the re-partitioned copy (hash-partitioned by the row hash into the session's shuffle partitions)
+    is a second aggregate. The two one-row results are tagged, unioned and folded by one more
+    aggregate, so the comparison stays inside the plan."""
     first = cols[0]
-    variants = {
-        "a": df,
-        "b": df.repartition(7),
-        "c": df.withColumn(first, F.concat(F.col(first).cast("string"), F.lit("x"))),
-    }
-    tagged = reduce(DataFrame.unionByName, [
-        dq.checksum_frame(v, cols).withColumn("side", F.lit(tag)) for tag, v in variants.items()])
-
-    def pick(tag: str, col: str) -> F.Column:
-        return F.max(F.when(F.col("side") == tag, F.col(col)))
-
-    folded = tagged.agg(pick("a", "checksum").alias("a"), pick("b", "checksum").alias("b"),
-                        pick("c", "checksum").alias("c"), pick("a", "linhas").alias("linhas"))
+    edited = [F.concat(F.col(c).cast("string"), F.lit("x")) if c == first else F.col(c) for c in cols]
+    same_scan = df.agg(checksum_agg(cols).alias("a"), checksum_agg(edited).alias("c"),
+                       F.count(F.lit(1)).alias("linhas")).withColumn("b", F.lit(None).cast("bigint"))
+    reshuffled = (df.repartition(F.xxhash64(*cols)).agg(checksum_agg(cols).alias("b"))
+                    .select(F.lit(None).cast("bigint").alias("a"), F.lit(None).cast("bigint").alias("c"),
+                            F.lit(None).cast("bigint").alias("linhas"), "b"))
+    folded = same_scan.unionByName(reshuffled).agg(*[F.max(c).alias(c) for c in ("a", "b", "c", "linhas")])
     return folded.select(
         F.lit(t).alias("table_name"), "linhas",
         F.coalesce(F.col("a") == F.col("b"), F.lit(False)).alias("igual_apos_embaralhar"),
