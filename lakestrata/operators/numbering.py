@@ -6,8 +6,9 @@ third of the work on one core. The rows are therefore split in two:
 * cold keys (at most ``hot_threshold`` rows each) are numbered by the plain window: every window
   group is bounded by the threshold, so tasks stay balanced;
 * hot keys (above the threshold) are found by one aggregate (with a map-side partial step, so the
-  hot key itself collapses before the shuffle). There are at most ``rows / hot_threshold`` of them, a
-  proven bound, so the list is collected and broadcast to split the input.
+  hot key itself collapses before the shuffle). There are at most ``rows / hot_threshold`` of them.
+  Up to ``max_broadcast_keys`` of them are collected and broadcast to split the input (the collect
+  itself is capped); a longer list stays distributed, written once, and is joined without a hint.
 
 Hot keys are numbered by :func:`range_row_number`. The rows are range-partitioned on the FULL sort
 tuple ``(keys, order)``, so the sampled bounds split a hot key across as many partitions as its size
@@ -36,6 +37,8 @@ from pyspark.sql import functions as F
 from lakestrata.session import materialize
 
 DEFAULT_HOT_THRESHOLD = 1_000_000
+# hot-key lists up to this length are broadcast; longer ones stay a distributed (written) table
+MAX_BROADCAST_HOT_KEYS = 100_000
 
 
 def _key_match(left: DataFrame, right: DataFrame, keys: Sequence[str]):
@@ -43,16 +46,24 @@ def _key_match(left: DataFrame, right: DataFrame, keys: Sequence[str]):
 
 
 def row_number_within(df: DataFrame, keys: Sequence[str], order: Sequence[str], alias: str = "rn",
-                      hot_threshold: int = DEFAULT_HOT_THRESHOLD, num_partitions: int | None = None) -> DataFrame:
+                      hot_threshold: int = DEFAULT_HOT_THRESHOLD, num_partitions: int | None = None,
+                      max_broadcast_keys: int = MAX_BROADCAST_HOT_KEYS) -> DataFrame:
     keys, order = list(keys), list(order)
     window = Window.partitionBy(*keys).orderBy(*order)
-    hot_rows = (df.groupBy(*keys).count().where(F.col("count") > hot_threshold).select(*keys).collect())
+    hot_keys = df.groupBy(*keys).count().where(F.col("count") > hot_threshold).select(*keys)
+    # at most max_broadcast_keys + 1 rows ever reach the driver
+    hot_rows = hot_keys.limit(max_broadcast_keys + 1).collect()
     if not hot_rows:
         return df.withColumn(alias, F.row_number().over(window))
-    hot = df.sparkSession.createDataFrame(hot_rows, df.select(*keys).schema)
-    cold = (df.join(F.broadcast(hot), _key_match(df, hot, keys), "left_anti")
+    if len(hot_rows) <= max_broadcast_keys:
+        hot = F.broadcast(df.sparkSession.createDataFrame(hot_rows, df.select(*keys).schema))
+    else:
+        # too many hot keys to broadcast: keep the set distributed, written once so both joins see
+        # the same keys, and let the planner pick the join strategy from its measured size
+        hot = materialize(hot_keys, "hot-keys")
+    cold = (df.join(hot, _key_match(df, hot, keys), "left_anti")
               .withColumn(alias, F.row_number().over(window)))
-    hot_part = range_row_number(df.join(F.broadcast(hot), _key_match(df, hot, keys), "left_semi"),
+    hot_part = range_row_number(df.join(hot, _key_match(df, hot, keys), "left_semi"),
                                 keys, order, alias, num_partitions)
     return cold.unionByName(hot_part)
 

@@ -50,3 +50,11 @@ def test_null_keys_and_compound_keys(spark):
     for threshold in (1, 10):  # hot path (NULL key and (1,'b') are hot) and cold path
         got = row_number_within(df, ["k1", "k2"], ["o"], hot_threshold=threshold, num_partitions=3)
         assert {(r.k1, r.k2, r.o): r.rn for r in got.collect()} == expected
+
+
+def test_many_hot_keys_stay_distributed(spark):
+    # more hot keys than may be broadcast: the key set is joined as a table, the numbers stay exact
+    df = spark.range(6000).selectExpr("id % 40 AS k", "id * 31 % 6007 AS o")
+    got = row_number_within(df, ["k"], ["o"], hot_threshold=100, num_partitions=8, max_broadcast_keys=10)
+    assert got.count() == df.count()
+    assert _same(got, _brute(df, ["k"], ["o"]))
