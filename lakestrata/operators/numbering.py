@@ -45,22 +45,49 @@ def _key_match(left: DataFrame, right: DataFrame, keys: Sequence[str]):
     return reduce(lambda a, b: a & b, [left[k].eqNullSafe(right[k]) for k in keys])
 
 
-def row_number_within(df: DataFrame, keys: Sequence[str], order: Sequence[str], alias: str = "rn",
-                      hot_threshold: int = DEFAULT_HOT_THRESHOLD, num_partitions: int | None = None,
-                      max_broadcast_keys: int = MAX_BROADCAST_HOT_KEYS) -> DataFrame:
-    keys, order = list(keys), list(order)
-    window = Window.partitionBy(*keys).orderBy(*order)
-    hot_keys = df.groupBy(*keys).count().where(F.col("count") > hot_threshold).select(*keys)
+# hot keys already found in this session, per key-column plan: [(spark app id, plan, threshold, cap, result)]
+_FOUND: list[tuple] = []
+
+
+def _hot_keys(df: DataFrame, keys: list[str], hot_threshold: int, max_broadcast_keys: int) -> DataFrame | None:
+    """The keys with more than ``hot_threshold`` rows: a local frame (broadcast by the caller) when there
+    are at most ``max_broadcast_keys`` of them, else a written table; ``None`` when there is none.
+
+    The answer is remembered per session for the same key-column plan (``sameSemantics``), so queries
+    that derive the same input do not repeat the aggregate. The list only decides which rows take the
+    plain window and which the range path, and both number exactly, so a list that is out of date
+    (new files under the same path) changes the balance of the work, never the result."""
+    spark = df.sparkSession
+    app = spark.sparkContext.applicationId
+    key_plan = df.select(*keys)
+    for f_app, f_plan, f_thr, f_cap, f_res in _FOUND:
+        if (f_app, f_thr, f_cap) == (app, hot_threshold, max_broadcast_keys) and f_plan.sameSemantics(key_plan):
+            return f_res
+    hot_keys = key_plan.groupBy(*keys).count().where(F.col("count") > hot_threshold).select(*keys)
     # at most max_broadcast_keys + 1 rows ever reach the driver
     hot_rows = hot_keys.limit(max_broadcast_keys + 1).collect()
     if not hot_rows:
-        return df.withColumn(alias, F.row_number().over(window))
-    if len(hot_rows) <= max_broadcast_keys:
-        hot = F.broadcast(df.sparkSession.createDataFrame(hot_rows, df.select(*keys).schema))
+        res = None
+    elif len(hot_rows) <= max_broadcast_keys:
+        res = spark.createDataFrame(hot_rows, key_plan.schema)
     else:
         # too many hot keys to broadcast: keep the set distributed, written once so both joins see
         # the same keys, and let the planner pick the join strategy from its measured size
-        hot = materialize(hot_keys, "hot-keys")
+        res = materialize(hot_keys, "hot-keys")
+    _FOUND.append((app, key_plan, hot_threshold, max_broadcast_keys, res))
+    del _FOUND[:-64]
+    return res
+
+
+def row_number_within(df: DataFrame, keys: Sequence[str], order: Sequence[str], alias: str = "rn",
+                      hot_threshold: int = DEFAULT_HOT_THRESHOLD, num_partitions: int | None = None,
+                      max_broadcast_keys: int = MAX_BROADCAST_HOT_KEYS) -> DataFrame:
+    keys, order = list(keys), list(order)
+    window = Window.partitionBy(*keys).orderBy(*order)
+    found = _hot_keys(df, keys, hot_threshold, max_broadcast_keys)
+    if found is None:
+        return df.withColumn(alias, F.row_number().over(window))
+    hot = F.broadcast(found) if found.isLocal() else found
     cold = (df.join(hot, _key_match(df, hot, keys), "left_anti")
               .withColumn(alias, F.row_number().over(window)))
     hot_part = range_row_number(df.join(hot, _key_match(df, hot, keys), "left_semi"),
