@@ -82,9 +82,9 @@ def _refs(spark: SparkSession, paths: LakePaths, checks) -> dict[str, DataFrame]
 
 def stage_validate_publish(spark: SparkSession, paths: LakePaths, layer: str, table: str, df: DataFrame,
                            run_id: str, extra_checks: bool = False, source_partition: str | None = None,
-                           log=print) -> TableOutcome:
-    staged_path = io.write_staged(df, paths.lake, layer, table, run_id)
-    staged = spark.read.parquet(staged_path)
+                           log=print, partition_by: tuple[str, ...] = ()) -> TableOutcome:
+    staged_path = io.write_staged(df, paths.lake, layer, table, run_id, partition_by)
+    staged = io.read_staged(spark, staged_path, df.schema, partition_by)
     checks = declared_checks(layer, table, extra=extra_checks)
     report = run_report(staged, checks, layer, table, _refs(spark, paths, checks), stats=True,
                         checksum_cols=content_columns(staged))
@@ -98,7 +98,7 @@ def stage_validate_publish(spark: SparkSession, paths: LakePaths, layer: str, ta
         "passed": passed, "published": passed, "source_partition": source_partition,
     })
     if passed:
-        io.publish(spark, staged_path, io.layer_path(paths.lake, layer, table))
+        io.publish(spark, staged_path, io.layer_path(paths.lake, layer, table), partition_by)
     return TableOutcome(layer, table, run_id, passed, passed, report.rows, report.checksum, report.results,
                         source_partition)
 
@@ -125,7 +125,8 @@ def gold_job(spark: SparkSession, paths: LakePaths, name: str, run_id: str | Non
     spec = gold_spec(name)
     src = io.read_layers(spark, paths.lake, "silver", spec.sources)
     df = gold_ops.build(name, src).withColumn(STAMP["gold"], _stamp(run_ts))
-    return stage_validate_publish(spark, paths, "gold", name, df, run_id or _new_run_id(), **kw)
+    return stage_validate_publish(spark, paths, "gold", name, df, run_id or _new_run_id(),
+                                  partition_by=spec.partition_by, **kw)
 
 
 JOBS = {"bronze": bronze_job, "silver": silver_job, "gold": gold_job}

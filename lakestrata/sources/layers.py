@@ -15,7 +15,7 @@ table untouched and its staged files for inspection.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -61,19 +61,41 @@ def read_layers(spark: SparkSession, root: str, layer: str, tables: Iterable[str
     return {t: read_layer(spark, root, layer, t) for t in tables}
 
 
-def write_staged(df: DataFrame, root: str, layer: str, table: str, run_id: str) -> str:
+def write_staged(df: DataFrame, root: str, layer: str, table: str, run_id: str,
+                 partition_by: Sequence[str] = ()) -> str:
+    """Write ``df`` to its run-specific staging directory; with ``partition_by``, one Hive-style
+    directory per value. The rows are first rebalanced on those columns, so each directory gets a few
+    large files instead of one per task, and AQE splits a hot value (a day with a third of the rows)
+    over several tasks and files instead of one."""
     path = staging_path(root, layer, table, run_id)
-    df.write.mode("overwrite").parquet(path)
+    _write(df, path, partition_by)
     return path
 
 
+def _write(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
+    if partition_by:
+        df.hint("rebalance", *partition_by).write.mode("overwrite").partitionBy(*partition_by).parquet(path)
+    else:
+        df.write.mode("overwrite").parquet(path)
+
+
+def read_staged(spark: SparkSession, path: str, schema: T.StructType, partition_by: Sequence[str] = ()) -> DataFrame:
+    """Re-read a staged directory with the written types (a partition column whose values are all NULL
+    would otherwise be inferred as text); partition columns come last, as on every later read."""
+    if not partition_by:
+        return spark.read.parquet(path)
+    parts = set(partition_by)
+    ordered = [f for f in schema.fields if f.name not in parts] + [schema[c] for c in partition_by]
+    return spark.read.schema(T.StructType(ordered)).parquet(path)
+
+
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def publish(spark: SparkSession, staged: str, final: str) -> None:
+def publish(spark: SparkSession, staged: str, final: str, partition_by: Sequence[str] = ()) -> None:
     """Move the staged directory to the published path (replacing the previous version)."""
     src, fs = _fs(spark, staged)
     dst, _ = _fs(spark, final)
@@ -82,7 +104,7 @@ def publish(spark: SparkSession, staged: str, final: str) -> None:
     fs.mkdirs(dst.getParent())
     if not fs.rename(src, dst):
         # stores without directory rename: rewrite from the validated staged files
-        spark.read.parquet(staged).write.mode("overwrite").parquet(final)
+        _write(spark.read.parquet(staged), final, partition_by)
         fs.delete(src, True)
 
 

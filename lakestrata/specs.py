@@ -21,6 +21,9 @@ class TableSpec:
 class GoldSpec:
     name: str
     sources: tuple[str, ...]
+    # published layout: Hive-style directories by these columns (the dated facts, by day), so date
+    # filters on the published table prune whole directories
+    partition_by: tuple[str, ...] = ()
 
 
 @dataclass(frozen=True)
@@ -84,9 +87,9 @@ GOLD_OBJECTS = [
     GoldSpec("dim_produto", ("products", "category_name")),
     GoldSpec("dim_vendedor", ("sellers",)),
     GoldSpec("dim_tempo", ("orders",)),
-    GoldSpec("fato_pedidos_itens", ("orders", "items")),
+    GoldSpec("fato_pedidos_itens", ("orders", "items"), partition_by=("data_pedido",)),
     GoldSpec("fato_pagamentos", ("payments",)),
-    GoldSpec("fato_avaliacoes", ("reviews",)),
+    GoldSpec("fato_avaliacoes", ("reviews",), partition_by=("data_avaliacao",)),
 ]
 
 # ---- fixed values: accepted order statuses -----------------------------------------------------------

@@ -1,5 +1,6 @@
 import datetime as dt
 import os
+import re
 import tempfile
 
 import pytest
@@ -38,6 +39,18 @@ def test_end_to_end_and_stable_checksums(spark, landed):
     fact = io.read_layer(spark, landed.lake, "gold", "fato_pedidos_itens")
     assert "dt_criacao_gold" in fact.columns
     assert fact.count() == io.read_layer(spark, landed.lake, "silver", "items").count()
+    # the dated facts are published by day; a date filter prunes directories
+    fact_dir = io.layer_path(landed.lake, "gold", "fato_pedidos_itens")
+    assert any(d.startswith("data_pedido=") for d in os.listdir(fact_dir))
+    assert dict(fact.dtypes)["data_pedido"] == "date"
+    plan = fact.where("data_pedido >= DATE'1995-01-01'")._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*data_pedido", plan), plan
+    p = qa.revenue_by_period(pub.gold("fato_pedidos_itens"), pub.gold("dim_tempo"))
+    d = qa.revenue_by_period(der.gold("fato_pedidos_itens"), der.gold("dim_tempo"))
+    assert sorted(p.collect()) == sorted(d.collect())
+    reviews = pub.gold("fato_avaliacoes")
+    assert reviews.count() == der.gold("fato_avaliacoes").count()
+    assert dict(reviews.dtypes)["data_avaliacao"] == "date"
     jobs.run_all(spark, landed, run_ts=dt.datetime(2024, 1, 3), log=None)
     cmp = io.compare_runs(io.read_audit(spark, landed.lake)).where("previous_checksum IS NOT NULL")
     assert cmp.count() == 25 and cmp.where("NOT unchanged").count() == 0
