@@ -3,7 +3,8 @@
 The library never creates a session behind the caller's back in operators; jobs and tests call
 :func:`get_session`. Only settings the operators depend on are pinned here: UTC session zone (so
 ``to_date``/``datediff`` never see an offset), AQE with skew-join splitting and partition coalescing.
-Shuffle-partition counts are left to AQE on a cluster (an explicit value is honoured).
+On a cluster without an explicit shuffle-partition count, the count is sized from the executor cores
+(:func:`cluster_shuffle_partitions`) and AQE coalesces it per stage; an explicit value is honoured.
 """
 
 from __future__ import annotations
@@ -43,10 +44,29 @@ def get_session(master: str | None = None, app: str = "lakestrata", shuffle_part
     for k, v in conf.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
-    spark.sparkContext.setLogLevel("ERROR")
+    sc = spark.sparkContext
+    sc.setLogLevel("ERROR")
+    if (not shuffle_partitions and not sc.master.startswith("local")
+            and not sc.getConf().contains("spark.sql.shuffle.partitions")):
+        # AQE only merges shuffle partitions (and splits skewed join sides); it never splits a big one.
+        # Spark's default of 200 would put terabytes in each, so start from the cluster's size
+        conf_items = dict(sc.getConf().getAll())
+        spark.conf.set("spark.sql.shuffle.partitions",
+                       str(cluster_shuffle_partitions(conf_items, sc.defaultParallelism)))
     return spark
 
 
+def cluster_shuffle_partitions(conf: dict[str, str], default_parallelism: int, waves: int = 3,
+                               minimum: int = 200) -> int:
+    """Shuffle partitions for a cluster: ``waves`` task waves over every executor core the job can get
+    (fixed executor count, else the dynamic-allocation maximum, else the current parallelism). AQE
+    coalesces the partitions a small stage does not need."""
+    executors = int(conf.get("spark.executor.instances") or conf.get("spark.dynamicAllocation.maxExecutors") or 0)
+    cores = int(conf.get("spark.executor.cores") or 1)
+    slots = executors * cores if executors else default_parallelism
+    return max(minimum, waves * slots)
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names in ``spark.checkpoint.dir``.
 
