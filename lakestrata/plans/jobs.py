@@ -125,8 +125,12 @@ def gold_job(spark: SparkSession, paths: LakePaths, name: str, run_id: str | Non
     spec = gold_spec(name)
     src = io.read_layers(spark, paths.lake, "silver", spec.sources)
     df = gold_ops.build(name, src).withColumn(STAMP["gold"], _stamp(run_ts))
+    part: tuple[str, ...] = ()
+    if spec.partition_column:
+        df = df.withColumn(spec.partition_column, F.trunc(spec.partition_month_of, "month"))
+        part = (spec.partition_column,)
     return stage_validate_publish(spark, paths, "gold", name, df, run_id or _new_run_id(),
-                                  partition_by=spec.partition_by, **kw)
+                                  partition_by=part, **kw)
 
 
 JOBS = {"bronze": bronze_job, "silver": silver_job, "gold": gold_job}

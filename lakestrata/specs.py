@@ -21,9 +21,15 @@ class TableSpec:
 class GoldSpec:
     name: str
     sources: tuple[str, ...]
-    # published layout: Hive-style directories by these columns (the dated facts, by day), so date
-    # filters on the published table prune whole directories
-    partition_by: tuple[str, ...] = ()
+    # published layout of the dated facts: one Hive-style directory per month of this date column,
+    # named by the layout column ``<date column>_mes`` (first day of the month); a filter on that
+    # column prunes whole directories. Month, not day: a day per directory gave thousands of tiny
+    # directories at small scale, and the listing and file overhead dominated every read
+    partition_month_of: str | None = None
+
+    @property
+    def partition_column(self) -> str | None:
+        return f"{self.partition_month_of}_mes" if self.partition_month_of else None
 
 
 @dataclass(frozen=True)
@@ -87,9 +93,9 @@ GOLD_OBJECTS = [
     GoldSpec("dim_produto", ("products", "category_name")),
     GoldSpec("dim_vendedor", ("sellers",)),
     GoldSpec("dim_tempo", ("orders",)),
-    GoldSpec("fato_pedidos_itens", ("orders", "items"), partition_by=("data_pedido",)),
+    GoldSpec("fato_pedidos_itens", ("orders", "items"), partition_month_of="data_pedido"),
     GoldSpec("fato_pagamentos", ("payments",)),
-    GoldSpec("fato_avaliacoes", ("reviews",), partition_by=("data_avaliacao",)),
+    GoldSpec("fato_avaliacoes", ("reviews",), partition_month_of="data_avaliacao"),
 ]
 
 # ---- fixed values: accepted order statuses -----------------------------------------------------------

@@ -39,12 +39,13 @@ def test_end_to_end_and_stable_checksums(spark, landed):
     fact = io.read_layer(spark, landed.lake, "gold", "fato_pedidos_itens")
     assert "dt_criacao_gold" in fact.columns
     assert fact.count() == io.read_layer(spark, landed.lake, "silver", "items").count()
-    # the dated facts are published by day; a date filter prunes directories
+    # the dated facts are published by month; a filter on the month column prunes directories
     fact_dir = io.layer_path(landed.lake, "gold", "fato_pedidos_itens")
-    assert any(d.startswith("data_pedido=") for d in os.listdir(fact_dir))
-    assert dict(fact.dtypes)["data_pedido"] == "date"
-    plan = fact.where("data_pedido >= DATE'1995-01-01'")._jdf.queryExecution().executedPlan().toString()
-    assert re.search(r"PartitionFilters: \[[^\]]*data_pedido", plan), plan
+    assert any(d.startswith("data_pedido_mes=") for d in os.listdir(fact_dir))
+    assert dict(fact.dtypes)["data_pedido"] == "date" and dict(fact.dtypes)["data_pedido_mes"] == "date"
+    assert fact.where("data_pedido_mes <> trunc(data_pedido, 'month')").count() == 0
+    plan = fact.where("data_pedido_mes >= DATE'1995-01-01'")._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*data_pedido_mes", plan), plan
     p = qa.revenue_by_period(pub.gold("fato_pedidos_itens"), pub.gold("dim_tempo"))
     d = qa.revenue_by_period(der.gold("fato_pedidos_itens"), der.gold("dim_tempo"))
     assert sorted(p.collect()) == sorted(d.collect())
