@@ -10,7 +10,10 @@ instead (see :mod:`lakestrata.plans.jobs`).
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lakestrata.operators import gold as gold_ops
 from lakestrata.operators.silver import to_silver
@@ -55,3 +58,13 @@ class PublishedLayers:
     def gold(self, name: str) -> DataFrame:
         gold_spec(name)
         return read_layer(self.spark, self.root, "gold", name)
+
+    def gold_between(self, name: str, start: str | dt.date, end: str | dt.date) -> DataFrame:
+        """Rows of a dated Gold fact whose date lies in ``[start, end]``. The same range is also put on
+        the month layout column, so Spark reads only the matching month directories."""
+        spec = gold_spec(name)
+        if not spec.partition_month_of:
+            raise ValueError(f"{name} has no date layout")
+        lo, hi = F.lit(str(start)).cast("date"), F.lit(str(end)).cast("date")
+        d, m = F.col(spec.partition_month_of), F.col(spec.partition_column)
+        return self.gold(name).where(d.between(lo, hi) & m.between(F.trunc(lo, "month"), F.trunc(hi, "month")))

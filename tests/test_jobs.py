@@ -46,6 +46,10 @@ def test_end_to_end_and_stable_checksums(spark, landed, monkeypatch):
     assert fact.where("data_pedido_mes <> trunc(data_pedido, 'month')").count() == 0
     plan = fact.where("data_pedido_mes >= DATE'1995-01-01'")._jdf.queryExecution().executedPlan().toString()
     assert re.search(r"PartitionFilters: \[[^\]]*data_pedido_mes", plan), plan
+    window = pub.gold_between("fato_pedidos_itens", "1995-03-10", "1995-06-20")
+    wplan = window._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*data_pedido_mes", wplan), wplan
+    assert window.count() == fact.where("data_pedido BETWEEN DATE'1995-03-10' AND DATE'1995-06-20'").count() > 0
     p = qa.revenue_by_period(pub.gold("fato_pedidos_itens"), pub.gold("dim_tempo"))
     d = qa.revenue_by_period(der.gold("fato_pedidos_itens"), der.gold("dim_tempo"))
     assert sorted(p.collect()) == sorted(d.collect())
