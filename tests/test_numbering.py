@@ -58,3 +58,18 @@ def test_many_hot_keys_stay_distributed(spark):
     got = row_number_within(df, ["k"], ["o"], hot_threshold=100, num_partitions=8, max_broadcast_keys=10)
     assert got.count() == df.count()
     assert _same(got, _brute(df, ["k"], ["o"]))
+
+
+def test_hot_key_list_is_found_once_per_plan(spark):
+    # the same key-column plan built again (a new DataFrame object) reuses the list: no Spark job
+    def frame():
+        return spark.range(5000).selectExpr("id % 7 AS k", "id AS o")
+
+    sc = spark.sparkContext
+    row_number_within(frame(), ["k"], ["o"], hot_threshold=123_456)
+    sc.setJobGroup("second-build", "second build")
+    try:
+        row_number_within(frame(), ["k"], ["o"], hot_threshold=123_456)
+        assert sc.statusTracker().getJobIdsForGroup("second-build") == []
+    finally:
+        sc.setJobGroup(None, None)
