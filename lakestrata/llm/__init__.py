@@ -3,7 +3,8 @@ where SQL can express it, the DuckDB text in ``ORACLES``."""
 
 from importlib import import_module
 
-MODULES = ("token_output",)
+MODULES = ("token_output", "mix_sources", "license_scan", "url_templates", "substring_dedup", "decontaminate", "importance", "near_dedup",
+           "line_quality", "chat_rotation")
 
 
 def registered() -> tuple[dict, dict]:

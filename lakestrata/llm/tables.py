@@ -6,14 +6,33 @@ step is computed once. Steps that a later written table replaces are removed aga
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+import lakestrata
 from lakestrata.session import checkpoint_dir
 
+_SHIPPED: set[str] = set()
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Give this package to the application's executors, once: their workers import it, wherever the
+    driver has it from."""
+    sc = spark.sparkContext
+    if sc.applicationId not in _SHIPPED:
+        _SHIPPED.add(sc.applicationId)
+        package = os.path.dirname(os.path.abspath(lakestrata.__file__))
+        if os.path.isdir(package):
+            at = os.path.join(tempfile.mkdtemp(prefix="lakestrata-code-"), "lakestrata")
+            sc.addPyFile(shutil.make_archive(at, "zip", os.path.dirname(package), os.path.basename(package)))
+
 
 def documents(spark: SparkSession, sf_dir: str, name: str = "documents") -> DataFrame:
+    ship_code(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
