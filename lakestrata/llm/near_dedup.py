@@ -1,14 +1,13 @@
 """Operator 8: near duplicates by fast similarity sketching, banding and exact verification.
 
-*Sketch.* A set of word shingles fills ``COORDINATES`` bins: in round i every shingle falls into one bin
-with the value (i, hash); a bin keeps its smallest value, and rounds go on until no bin is empty. Rounds
-from ``COORDINATES`` on put every shingle into one given bin, so each coordinate fills for any set; large
-sets need one round. Equal coordinates estimate the Jaccard similarity with concentration bounds.
+*Sketch.* A set of word shingles fills t bins: in round i every shingle falls into one bin with the value
+(i, hash); a bin keeps its smallest value, and rounds go on until no bin is empty. From round t on every
+shingle goes into one given bin, so each coordinate fills for any set; large sets need one round. Equal coordinates estimate the Jaccard similarity with concentration bounds.
 
 *Classes.* Rows with equal shingle sets are one class; everything after this works on classes.
 
-*Buckets.* ``BANDS`` bands of ``ROWS`` coordinates; classes with an equal band meet in a bucket. Two sets at
-the limit of 0.85 miss each other in all bands with a probability of 2e-8.
+*Buckets.* Bands of ``ROWS`` coordinates; classes with an equal band meet in a bucket. There are so many bands
+that two sets at the limit miss each other in all of them with a probability below ``MISS``.
 
 *Verification.* Pairs are confirmed on the full shingle sets. A bucket never gives all its pairs: first its
 centre (the class with most copies) meets the others. Then only classes in different components are left.
@@ -27,6 +26,7 @@ texts; other columns do not matter.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,16 +34,23 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lakestrata.llm.tables import Scratch, documents
+from lakestrata.llm.tables import Scratch, documents, small
 from lakestrata.llm.words import Words, mix64, word_slices
 
 SHINGLE, PERCENT = 5, 80
-BANDS, ROWS = 24, 4
-COORDINATES = BANDS * ROWS
+ROWS = 4
+MISS = 1e-7  # chance that two sets at the limit share no band
 CENTRES = 32
 NO_ID = (1 << 63) - 1
 _U = np.uint64
-_SEEDS = mix64(np.arange(1, 2 * COORDINATES + 8, dtype=np.uint64) * _U(0x9E3779B97F4A7C15))
+
+
+def bands_for(percent: int) -> int:
+    return math.ceil(math.log(MISS) / math.log(1 - (percent / 100) ** ROWS))
+
+
+def _seeds(n: int) -> np.ndarray:
+    return mix64(np.arange(1, n + 1, dtype=np.uint64) * _U(0x9E3779B97F4A7C15))
 
 
 def shingle_sets(w: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -71,15 +78,16 @@ def shingle_sets(w: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
     return h, np.searchsorted(doc, np.arange(len(counts) + 1))
 
 
-def sketches(h: np.ndarray, first: np.ndarray, t: int = COORDINATES) -> np.ndarray:
+def sketches(h: np.ndarray, first: np.ndarray, t: int) -> np.ndarray:
     """Fast similarity sketches of the sets, one row of t coordinates each; empty sets keep the largest value."""
     n = len(first) - 1
     out = np.full(n * t, np.iinfo(np.uint64).max, np.uint64)
     doc = np.repeat(np.arange(n), np.diff(first))
+    seeds = _seeds(2 * t)
     for i in range(2 * t):
         if not len(h):
             break
-        g = mix64(h ^ _SEEDS[i])
+        g = mix64(h ^ seeds[i])
         place = ((g >> _U(32)) * _U(t) >> _U(32)).astype(np.int64) if i < t else np.full(len(h), i - t)
         np.minimum.at(out, doc * t + place, (_U(i) << _U(56)) | (mix64(g) >> _U(8)))
         full = (out.reshape(n, t) != np.iinfo(np.uint64).max).all(1)
@@ -88,8 +96,8 @@ def sketches(h: np.ndarray, first: np.ndarray, t: int = COORDINATES) -> np.ndarr
     return out.reshape(n, t)
 
 
-def band_keys(sketch: np.ndarray, bands: int = BANDS) -> np.ndarray:
-    key = np.repeat(_SEEDS[None, :bands], len(sketch), 0)
+def band_keys(sketch: np.ndarray, bands: int) -> np.ndarray:
+    key = np.repeat(_seeds(bands)[None, :], len(sketch), 0)
     parts = sketch.reshape(len(sketch), bands, -1)
     for j in range(parts.shape[2]):
         key = mix64((key ^ parts[:, :, j]) * _U(0x9E3779B97F4A7C15))
@@ -107,7 +115,7 @@ def _signatures(h: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarra
             _sum_by_set(mix64(h * _U(0xD6E8FEB86659FD93) + _U(0x5BE0CD19137E2179)), first).view(np.int64))
 
 
-def _sketch_rows(rows: DataFrame, k: int) -> DataFrame:
+def _sketch_rows(rows: DataFrame, k: int, bands: int) -> DataFrame:
     """(id, n, sig1, sig2, bands) of (id, text)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -115,9 +123,9 @@ def _sketch_rows(rows: DataFrame, k: int) -> DataFrame:
                 h, first = shingle_sets(w, k)
                 n = np.diff(first)
                 some = n > 0
-                keys = band_keys(sketches(h, first)[some]).view(np.int64)
+                keys = band_keys(sketches(h, first, bands * ROWS)[some], bands).view(np.int64)
                 sig1, sig2 = _signatures(h, first)
-                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(some * BANDS)]).astype(np.int32)), pa.array(keys.ravel()))
+                lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(some * bands)]).astype(np.int32)), pa.array(keys.ravel()))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(n.astype(np.int64)), pa.array(sig1),
                                                   pa.array(sig2), lists], names=["id", "n", "sig1", "sig2", "bands"])
 
@@ -242,7 +250,7 @@ def near_duplicates(docs: DataFrame, scratch: Scratch, *, id_col: str = "doc_id"
                     percent: int = PERCENT) -> DataFrame:
     """One row per row of ``docs``: id, n_shingles, component_id (the smallest id of its component), kept."""
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    every = scratch.keep(_sketch_rows(rows, shingle).withColumn("cls", _class_key()), "sketches")
+    every = scratch.keep(_sketch_rows(rows, shingle, bands_for(percent)).withColumn("cls", _class_key()), "sketches")
     classes = every.filter("n > 0").groupBy("cls").agg(F.min("id").alias("first_id"), F.first("n").alias("n"), F.count("*").alias("copies"),
                                                        F.first("bands").alias("bands"))
     classes = scratch.keep(classes, "classes")
@@ -250,7 +258,8 @@ def near_duplicates(docs: DataFrame, scratch: Scratch, *, id_col: str = "doc_id"
     shared = scratch.keep(keyed.groupBy("bucket").agg(F.count("*").alias("c")).filter("c > 1").select("bucket"), "buckets")
     members = scratch.keep(keyed.join(shared, "bucket", "left_semi"), "members")
     wanted = members.select("cls").distinct().join(classes.select("cls", "first_id"), "cls")
-    text = rows.join(wanted.select(F.col("first_id").alias("id")).distinct(), "id", "left_semi")
+    wanted = scratch.keep(wanted, "wanted")
+    text = rows.join(small(wanted.select(F.col("first_id").alias("id")).distinct()), "id", "left_semi")
     sets = _set_rows(text, shingle).withColumn("cls", _class_key()).dropDuplicates(["cls"]).select("cls", "shingles")
     sets = scratch.keep(sets.join(wanted.select("cls"), "cls", "left_semi"), "sets")
     links = find_links(members, sets, scratch, percent)
@@ -265,6 +274,13 @@ def near_duplicates(docs: DataFrame, scratch: Scratch, *, id_col: str = "doc_id"
                       (F.col("id") == F.col("component")).alias("kept"))
 
 
+def one_of_each(docs: DataFrame, scratch: Scratch, *, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
+    """``docs`` without the rows whose component has a smaller id."""
+    found = near_duplicates(docs, scratch, id_col=id_col, text_col=text_col, **how)
+    gone = scratch.keep(found.filter(~F.coalesce("kept", F.lit(True))).select(F.col(id_col).alias("__gone")).distinct(), "gone")
+    return docs.join(small(gone), F.col(id_col).eqNullSafe(F.col("__gone")), "left_anti")
+
+
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir), Scratch(spark, "near"), shingle=3, percent=85)
 

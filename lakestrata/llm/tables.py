@@ -12,6 +12,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import lakestrata
 from lakestrata.session import checkpoint_dir
@@ -57,3 +58,13 @@ class Scratch:
         for name in names:
             p = jvm.org.apache.hadoop.fs.Path(self.path(name))
             p.getFileSystem(conf).delete(p, True)
+
+
+#: rows of keys (a few numbers each) that a join may broadcast; it counts them first
+MAX_BROADCAST_KEYS = 300_000
+
+
+def small(keys: DataFrame) -> DataFrame:
+    """``keys`` (a written table of few bytes a row) with a broadcast hint if it is small; a larger one is
+    joined by shuffle."""
+    return F.broadcast(keys) if keys.count() <= MAX_BROADCAST_KEYS else keys
