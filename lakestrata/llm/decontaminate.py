@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakestrata.llm.tables import Scratch, documents
+from lakestrata.llm.tables import Scratch, documents, small
 
 WINDOW = 10
 MAX_BROADCAST_WINDOWS = 500_000
@@ -70,23 +70,30 @@ def find_hits(docs: DataFrame, windows: DataFrame, lengths: list[int], small: bo
     return hits.select("id", "text_hash", "i", "hit.length", "hit.phrase")
 
 
+def _hits(docs: DataFrame, windows: DataFrame, scratch: Scratch, id_col: str, text_col: str) -> DataFrame:
+    """The distinct (id, text_hash, i, length, phrase) of all hits, written."""
+    lengths = sorted(r["length"] for r in windows.select("length").distinct().collect())  # at most a window's words
+    text = _hashed(docs, id_col, text_col)
+    if lengths:
+        few = windows.count() <= MAX_BROADCAST_WINDOWS
+        hits = find_hits(text, windows.select("length", "phrase").distinct(), lengths, few)
+    else:
+        hits = docs.sparkSession.createDataFrame([], f"id {docs.schema[id_col].dataType.simpleString()}, text_hash long, i int, length int, phrase string")
+    return scratch.keep(hits.distinct(), "hits")
+
+
+def _hashed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).withColumn("text_hash", F.xxhash64("text"))
+
+
 def contamination(docs: DataFrame, items: DataFrame, scratch: Scratch, *, id_col: str = "doc_id", text_col: str = "text",
                   window: int = WINDOW) -> DataFrame:
     """One row per row of ``docs``: id, text_hash, n_words, n_hit, n_items, items (sorted ids) and
     ``spans`` (sorted, disjoint (start, end) ranges of hit words)."""
-    spark = docs.sparkSession
     windows = scratch.keep(benchmark_windows(items, window=window), "windows")
-    lengths = sorted(r["length"] for r in windows.select("length").distinct().collect())  # at most `window` of them
-    text = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).withColumn("text_hash", F.xxhash64("text"))
-    every = text.select("id", "text_hash", F.regexp_count(F.coalesce("text", F.lit("")), F.lit(_WORD_ANY_CASE)).cast("long").alias("n_words"))
-    schema = f"id {docs.schema[id_col].dataType.simpleString()}, text_hash long, i int, length int, phrase string"
-    if lengths:
-        phrases = windows.select("length", "phrase").distinct()
-        small = windows.count() <= MAX_BROADCAST_WINDOWS
-        hits = find_hits(text, phrases, lengths, small)
-    else:
-        hits = spark.createDataFrame([], schema)
-    hits = scratch.keep(hits.distinct(), "hits")
+    hits = _hits(docs, windows, scratch, id_col, text_col)
+    every = _hashed(docs, id_col, text_col).select(
+        "id", "text_hash", F.regexp_count(F.coalesce("text", F.lit("")), F.lit(_WORD_ANY_CASE)).cast("long").alias("n_words"))
     spot = F.array_sort(F.collect_set(F.struct("i", (F.col("i") + F.col("length")).alias("end"))))
     # ranges that touch or overlap become one
     joined = F.aggregate(
@@ -113,9 +120,10 @@ def contamination(docs: DataFrame, items: DataFrame, scratch: Scratch, *, id_col
 def drop_contaminated(docs: DataFrame, items: DataFrame, scratch: Scratch, *, id_col: str = "doc_id", text_col: str = "text",
                       window: int = WINDOW) -> DataFrame:
     """The rows of ``docs`` without a hit word, unchanged."""
-    found = contamination(docs, items, scratch, id_col=id_col, text_col=text_col, window=window).filter("n_hit > 0")
-    bad = found.select(F.col(id_col).alias("__id"), F.col("text_hash").alias("__hash")).distinct()
-    return docs.join(bad, F.col(id_col).eqNullSafe(F.col("__id")) & (F.xxhash64(text_col) == F.col("__hash")), "left_anti")
+    windows = scratch.keep(benchmark_windows(items, window=window), "windows")
+    hits = _hits(docs, windows, scratch, id_col, text_col)
+    bad = scratch.keep(hits.select(F.col("id").alias("__id"), F.col("text_hash").alias("__hash")).distinct(), "bad")
+    return docs.join(small(bad), F.col(id_col).eqNullSafe(F.col("__id")) & (F.xxhash64(text_col) == F.col("__hash")), "left_anti")
 
 
 def cut_spans(docs: DataFrame, items: DataFrame, scratch: Scratch, *, id_col: str = "doc_id", text_col: str = "text",

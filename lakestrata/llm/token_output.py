@@ -211,14 +211,16 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str, *, id_col: str = "d
 
 
 def read_tokens(spark: SparkSession, path: str, id_type: str = "long", id_col: str = "doc_id",
-                where: Column | None = None) -> DataFrame:
+                metadata: str = "", where: Column | None = None) -> DataFrame:
     """The token table with the global ``start`` of each row. A filter on the id reads only the row
-    groups and pages that can hold it; columns that are not used are not read."""
-    schema = f"`{id_col}` {id_type}, shard int, local_start long, n_tokens long, tokens array<int>"
+    groups and pages that can hold it; columns that are not used are not read. ``metadata``: names and types
+    of the metadata columns."""
+    more = [c.split()[0] for c in metadata.split(",") if c.strip()]
+    schema = f"`{id_col}` {id_type}, {metadata + ',' if more else ''} shard int, local_start long, n_tokens long, tokens array<int>"
     rows = spark.read.schema(schema).parquet(f"{path}/tokens")
     rows = rows if where is None else rows.filter(where)
     shards = spark.read.schema("shard int, base long").parquet(f"{path}/shards")
-    return rows.join(shards, "shard").select(id_col, (F.col("base") + F.col("local_start")).alias("start"), "n_tokens", "tokens")
+    return rows.join(shards, "shard").select(id_col, *more, (F.col("base") + F.col("local_start")).alias("start"), "n_tokens", "tokens")
 
 
 def digest(tokens: DataFrame, id_col: str = "doc_id") -> DataFrame:
