@@ -1,21 +1,20 @@
 """Data-quality operators: declared checks compiled into as few Spark jobs as possible.
 
-A check suite for one table becomes ONE result DataFrame ``(layer, table_name, check, passed,
-violations, detail)``, built from
-* one fused global aggregate over the table: row count, NULL counts, range and accepted-value
-  violations and cast audits are all ``count_if`` expressions of the same scan;
-* one grouped aggregate per ``unique`` check (``groupBy(keys).count()`` then ``sum(n - 1)``: the excess
-  rows, with NULL keys comparing equal, like ``distinct``); partial aggregation collapses hot keys
-  map-side;
-* one distinct + ``left_anti`` join per ``referential`` check (NULL never matches, so a NULL key is an
-  orphan); Spark broadcasts the reference side only when its measured size is under the threshold;
+A check suite for one table becomes ONE result DataFrame ``(layer, table_name, check, passed, violations,
+observed, expected)``, built from
+* one fused global aggregate over the table: row count, NULL counts, range and accepted-value violations and
+  cast audits are all ``count_if`` expressions of the same scan;
+* one grouped aggregate per ``unique`` check (excess rows, NULL keys comparing equal); partial aggregation
+  collapses hot keys map-side. It is a pass of its own on purpose: over written Parquet it reads the key
+  columns only, while carrying every other check's counters through its shuffle would move more;
+* one distinct + ``left_anti`` join per ``referential`` check (NULL never matches, so a NULL key is an orphan);
 * one pair of counts per ``row_count_equals_source`` check.
-The parts are combined with ``unionByName`` and collected once: the driver receives one small row per
-check, never table data. ``accepted_values`` names at most ``max_offenders`` offending values, and only
-for a check that failed (a bounded top-k job), so nothing unbounded is gathered.
+The parts are united and collected once: the driver receives one small row per check, never table data.
+The values that an ``accepted_values`` check rejects are a table of their own (:func:`offenders`), complete
+and distributed.
 
-Semantics kept from the declared rules: ``range`` bounds are inclusive, ``None`` means open, NULL
-passes (three-valued logic), NaN fails an upper bound only; ``accepted_values`` lets NULL pass.
+Semantics: ``range`` bounds are inclusive, ``None`` means open, NULL passes (three-valued logic), NaN fails an
+upper bound only; ``accepted_values`` lets NULL pass.
 """
 
 from __future__ import annotations
@@ -30,20 +29,21 @@ from pyspark.sql import functions as F
 from lakestrata.functions.hashing import checksum_agg
 from lakestrata.specs import Check, declared_checks
 
-RESULT_COLUMNS = ["layer", "table_name", "check", "passed", "violations", "detail"]
+RESULT_COLUMNS = ["layer", "table_name", "check", "passed", "violations", "observed", "expected"]
+OFFENDER_SCHEMA = "layer string, table_name string, check string, value string, rows long"
 
 
 @dataclass(frozen=True)
 class CheckResult:
+    """``observed`` is the figure that was found, ``expected`` the rule it is held against."""
+
     layer: str
     table_name: str
     check: str
     passed: bool
     violations: int
-    detail: str
-
-    def as_dict(self) -> dict:
-        return {"check": self.check, "passed": self.passed, "violations": self.violations, "detail": self.detail}
+    observed: str
+    expected: str
 
 
 class QualityError(RuntimeError):
@@ -51,110 +51,87 @@ class QualityError(RuntimeError):
 
     def __init__(self, layer: str, table: str, failures: list[CheckResult]):
         self.failures = failures
-        msg = "; ".join(f"{f.check} ({f.detail})" for f in failures)
-        super().__init__(f"quality checks failed for {layer}/{table}: {msg}")
+        super().__init__(f"{layer}/{table}: " + "; ".join(f"{f.check} observed={f.observed} expected={f.expected}" for f in failures))
 
 
 # ------------------------------------------------------------------------------------------ parts
 
-def _fused_aggs(df: DataFrame, checks: list[Check]) -> list[tuple[Check, Column, str]]:
-    """(check, violation-count aggregate, detail template) for the checks answered by one scan."""
-    out = []
-    for c in checks:
-        k = c.kind
-        if k == "row_count_min":
-            v = F.greatest(F.lit(c.minimum) - F.count(F.lit(1)), F.lit(0)).cast("bigint")
-            out.append((c, v, "row_count"))
-        elif k == "not_null":
-            out.append((c, F.count_if(F.col(c.column).isNull()), f"rows with {c.column} NULL"))
-        elif k == "accepted_values":
-            bad = ~F.col(c.column).isin(list(c.values))
-            out.append((c, F.count_if(bad), f"rows with {c.column} outside the accepted values"))
-        elif k == "range":
-            v = F.lit(0).cast("bigint")
-            if c.lo is not None:
-                v = v + F.count_if(F.col(c.column) < F.lit(c.lo))
-            if c.hi is not None:
-                v = v + F.count_if(F.col(c.column) > F.lit(c.hi))
-            out.append((c, v, f"rows with {c.column} out of range"))
-        elif k == "cast_audit":
-            raw = F.col(c.column)
-            v = F.count_if(raw.isNotNull() & raw.try_cast(c.cast_type).isNull())
-            out.append((c, v, f"non-NULL {c.column} values that do not parse as {c.cast_type}"))
-    return out
-
-
-def _rows(layer: str, table: str, agg: DataFrame, specs: list[tuple[str, str, str]]) -> DataFrame:
-    """Turn a one-row frame of violation columns into one result row per check."""
-    structs = [
-        F.struct(F.lit(name).alias("check"), (F.col(col) == 0).alias("passed"),
-                 F.col(col).cast("bigint").alias("violations"), detail.alias("detail"))
-        for name, col, detail in specs
-    ]
-    return (agg.select(F.explode(F.array(*structs)).alias("r"))
-               .select(F.lit(layer).alias("layer"), F.lit(table).alias("table_name"), "r.*"))
-
-
-def _detail(template: str, col: str) -> Column:
-    return F.concat(F.col(col).cast("string"), F.lit(" " + template))
+def outside(c: Check) -> Column:
+    """Whether a row's value is not one of an ``accepted_values`` check's."""
+    return ~F.col(c.column).isin(list(c.values))
+
+
+def _violations(c: Check) -> Column | None:
+    """The violation count of a check that one scan answers, as an aggregate."""
+    col = F.col(c.column) if c.columns else None
+    if c.kind == "row_count_min":
+        return F.greatest(F.lit(c.minimum) - F.count(F.lit(1)), F.lit(0)).cast("bigint")
+    if c.kind == "not_null":
+        return F.count_if(col.isNull())
+    if c.kind == "accepted_values":
+        return F.count_if(outside(c))
+    if c.kind == "cast_audit":
+        return F.count_if(col.isNotNull() & col.try_cast(c.cast_type).isNull())
+    if c.kind == "range":
+        sides = [F.count_if(col < F.lit(c.lo))] * (c.lo is not None) + [F.count_if(col > F.lit(c.hi))] * (c.hi is not None)
+        return reduce(Column.__add__, sides, F.lit(0).cast("bigint"))
+    return None
+
+
+def _expected(c: Check) -> str:
+    return {
+        "row_count_min": f"rows >= {c.minimum}", "not_null": "no NULL", "accepted_values": f"one of {len(c.values)} values",
+        "range": f"{'-inf' if c.lo is None else c.lo} .. {'inf' if c.hi is None else c.hi}", "cast_audit": f"parses as {c.cast_type}",
+        "unique": f"one row per {'+'.join(c.columns)}", "row_count_equals_source": f"rows of {c.ref_layer}/{c.ref_table}",
+        "referential": f"found in {c.ref_layer}/{c.ref_table}",
+    }[c.kind]
 
 
 STAT_ROWS = "__rows__"
 STAT_CHECKSUM = "__checksum__"
 
 
+def _rows(layer: str, table: str, agg: DataFrame, parts: list[tuple[str, str, str, str]]) -> DataFrame:
+    """A one-row frame as result rows: (check name, violation column, observed column, expected) each."""
+    structs = [F.struct(F.lit(name).alias("check"), (F.col(v) == 0).alias("passed"), F.col(v).cast("bigint").alias("violations"),
+                        F.col(seen).cast("string").alias("observed"), F.lit(want).alias("expected"))
+               for name, v, seen, want in parts]
+    return (agg.select(F.explode(F.array(*structs)).alias("r"))
+               .select(F.lit(layer).alias("layer"), F.lit(table).alias("table_name"), "r.*"))
+
+
 def fused_check_frame(df: DataFrame, checks: list[Check], layer: str, table: str,
                       checksum_cols: list[str] | None = None, stats: bool = False) -> DataFrame | None:
-    """The checks answered by one scan, as result rows. With ``stats`` the same aggregate also yields
-    two pseudo-rows, the row count and the content checksum, so a job gets count, checksum and the
-    scan-based checks from one pass over the data."""
-    parts = _fused_aggs(df, checks)
-    if not parts and not stats:
+    """The checks answered by one scan, as result rows. With ``stats`` the same aggregate also yields two
+    pseudo-rows, the row count and the content checksum."""
+    fused = [(c, v) for c in checks if (v := _violations(c)) is not None]
+    if not fused and not stats:
         return None
-    aggs = [v.alias(f"_v{i}") for i, (_, v, _) in enumerate(parts)] + [F.count(F.lit(1)).alias("_rows")]
-    if stats:
-        cols = checksum_cols if checksum_cols is not None else df.columns
-        aggs.append(checksum_agg(cols).alias("_checksum"))
-    agg = df.agg(*aggs)
-    specs = []
-    for i, (c, _, tmpl) in enumerate(parts):
-        if c.kind == "row_count_min":
-            det = F.concat(F.col("_rows").cast("string"), F.lit(" rows found"))
-        else:
-            det = _detail(tmpl, f"_v{i}")
-        specs.append((c.name, f"_v{i}", det))
+    aggs = [v.alias(f"v{i}") for i, (_, v) in enumerate(fused)] + [F.count(F.lit(1)).alias("n")]
+    parts = [(c.name, f"v{i}", "n" if c.kind == "row_count_min" else f"v{i}", _expected(c)) for i, (c, _) in enumerate(fused)]
     if stats:
-        specs.append((STAT_ROWS, "_rows", F.lit("")))
-        specs.append((STAT_CHECKSUM, "_checksum", F.lit("")))
-    return _rows(layer, table, agg, specs)
+        aggs.append(checksum_agg(checksum_cols if checksum_cols is not None else df.columns).alias("checksum"))
+        parts += [(STAT_ROWS, "n", "n", ""), (STAT_CHECKSUM, "checksum", "checksum", "")]
+    return _rows(layer, table, df.agg(*aggs), parts)
 
 
 def unique_check_frame(df: DataFrame, c: Check, layer: str, table: str) -> DataFrame:
-    excess = (df.groupBy(*c.columns).count()
-                .agg(F.coalesce(F.sum(F.col("count") - 1), F.lit(0)).cast("bigint").alias("_v")))
-    det = F.concat(F.col("_v").cast("string"), F.lit(f" duplicated rows on key ({'+'.join(c.columns)})"))
-    return _rows(layer, table, excess, [(c.name, "_v", det)])
+    per_key = df.groupBy(*c.columns).agg(F.count(F.lit(1)).alias("n"))
+    excess = per_key.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("bigint").alias("v"))
+    return _rows(layer, table, excess, [(c.name, "v", "v", _expected(c))])
 
 
 def referential_check_frame(df: DataFrame, c: Check, ref: DataFrame, layer: str, table: str) -> DataFrame:
-    col = c.column
-    orphans = (df.select(col).distinct()
-                 .join(ref.select(F.col(c.ref_column or col).alias(col)).distinct(), col, "left_anti")
-                 .agg(F.count(F.lit(1)).alias("_v")))
-    det = F.concat(F.col("_v").cast("string"),
-                   F.lit(f" values of {col} without a match in {c.ref_layer}/{c.ref_table}"))
-    return _rows(layer, table, orphans, [(c.name, "_v", det)])
+    known = ref.select(F.expr(c.ref_column or c.column).alias(c.column)).distinct()
+    orphans = df.select(c.column).distinct().join(known, c.column, "left_anti").agg(F.count(F.lit(1)).alias("v"))
+    return _rows(layer, table, orphans, [(c.name, "v", "v", _expected(c))])
 
 
 def source_count_check_frame(df: DataFrame, c: Check, src: DataFrame, layer: str, table: str) -> DataFrame:
-    counts = (df.agg(F.count(F.lit(1)).alias("n")).withColumn("side", F.lit("here"))
-              .unionByName(src.agg(F.count(F.lit(1)).alias("n")).withColumn("side", F.lit("source"))))
-    both = counts.agg(F.max(F.when(F.col("side") == "here", F.col("n"))).alias("_here"),
-                      F.max(F.when(F.col("side") == "source", F.col("n"))).alias("_src"))
-    both = both.withColumn("_v", F.abs(F.col("_here") - F.col("_src")))
-    det = F.concat(F.col("_here").cast("string"), F.lit(" rows here vs "), F.col("_src").cast("string"),
-                   F.lit(f" in {c.ref_layer}/{c.ref_table} (a difference means fan-out or loss in a join)"))
-    return _rows(layer, table, both, [(c.name, "_v", det)])
+    one = [x.agg(F.count(F.lit(1)).alias("n")).select(F.lit(sign).alias("sign"), "n") for sign, x in ((1, df), (-1, src))]
+    both = one[0].unionByName(one[1]).agg(F.abs(F.sum(F.col("sign") * F.col("n"))).alias("v"),
+                                          F.max(F.when(F.col("sign") == 1, F.col("n"))).alias("n"))
+    return _rows(layer, table, both, [(c.name, "v", "n", _expected(c))])
 
 
 # ------------------------------------------------------------------------------------------ suite
@@ -167,39 +144,28 @@ def check_frame(df: DataFrame, checks: Iterable[Check], layer: str, table: str,
     ``refs`` maps ``ref_table`` (or ``"{ref_layer}/{ref_table}"``) to the frame a ``referential`` or
     ``row_count_equals_source`` check compares against.
     """
-    checks = list(checks)
-    refs = refs or {}
-    parts: list[DataFrame] = []
+    checks, refs = list(checks), refs or {}
     fused = fused_check_frame(df, checks, layer, table, checksum_cols=checksum_cols, stats=stats)
-    if fused is not None:
-        parts.append(fused)
+    parts = [] if fused is None else [fused]
     for c in checks:
         if c.kind == "unique":
             parts.append(unique_check_frame(df, c, layer, table))
-        elif c.kind in ("referential", "row_count_equals_source"):
+        elif c.ref_table:
             ref = refs.get(f"{c.ref_layer}/{c.ref_table}", refs.get(c.ref_table))
             if ref is None:
                 raise ValueError(f"check {c.name} needs the frame of {c.ref_layer}/{c.ref_table}")
-            if c.kind == "referential":
-                parts.append(referential_check_frame(df, c, ref, layer, table))
-            else:
-                parts.append(source_count_check_frame(df, c, ref, layer, table))
-    if not parts:
-        return None
-    order = {c.name: i for i, c in enumerate(checks)}
-    order.update({STAT_ROWS: len(order), STAT_CHECKSUM: len(order) + 1})
-    out = reduce(DataFrame.unionByName, parts)
-    # keep declaration order for the report (a handful of rows)
-    return out.withColumn("_o", F.element_at(F.create_map(*[x for n, i in order.items()
-                                                          for x in (F.lit(n), F.lit(i))]), F.col("check")))
+            compare = referential_check_frame if c.kind == "referential" else source_count_check_frame
+            parts.append(compare(df, c, ref, layer, table))
+    return reduce(DataFrame.unionByName, parts) if parts else None
 
 
-def offenders(df: DataFrame, c: Check, max_offenders: int = 20) -> list:
-    """Up to ``max_offenders`` distinct offending values of an ``accepted_values`` check, most frequent
-    first. A distributed group-by plus top-k: the driver gets at most ``max_offenders`` rows."""
-    bad = df.where(~F.col(c.column).isin(list(c.values)))
-    top = bad.groupBy(c.column).count().orderBy(F.desc("count"), F.asc(c.column)).limit(max_offenders)
-    return [r[0] for r in top.collect()]
+def offenders(df: DataFrame, checks: Iterable[Check], layer: str, table: str) -> DataFrame:
+    """Every distinct value that an ``accepted_values`` check rejects, with its number of rows: a grouped
+    count per check, complete however many values there are."""
+    parts = [df.where(outside(c)).groupBy(F.col(c.column).cast("string").alias("value")).agg(F.count(F.lit(1)).alias("rows"))
+             .select(F.lit(layer).alias("layer"), F.lit(table).alias("table_name"), F.lit(c.name).alias("check"), "value", "rows")
+             for c in checks if c.kind == "accepted_values"]
+    return reduce(DataFrame.unionByName, parts) if parts else df.sparkSession.createDataFrame([], OFFENDER_SCHEMA)
 
 
 @dataclass(frozen=True)
@@ -215,43 +181,28 @@ class TableReport:
 
 def run_report(df: DataFrame, checks: Iterable[Check], layer: str, table: str,
                refs: Mapping[str, DataFrame] | None = None, stats: bool = True,
-               checksum_cols: list[str] | None = None, max_offenders: int = 20) -> TableReport:
+               checksum_cols: list[str] | None = None) -> TableReport:
     """Run the checks (plus count and checksum with ``stats``) as ONE action; results come back in
     declaration order. Never raises on a failed check."""
     checks = list(checks)
     frame = check_frame(df, checks, layer, table, refs, stats=stats, checksum_cols=checksum_cols)
     if frame is None:
         return TableReport([])
-    rows = sorted(frame.collect(), key=lambda r: r["_o"])
-    by_name = {c.name: c for c in checks}
-    results, n, cs = [], None, None
-    for r in rows:
-        if r["check"] == STAT_ROWS:
-            n = int(r["violations"])
-            continue
-        if r["check"] == STAT_CHECKSUM:
-            cs = None if r["violations"] is None else int(r["violations"])
-            continue
-        detail = r["detail"]
-        c = by_name[r["check"]]
-        if c.kind == "accepted_values" and not r["passed"]:
-            detail = f"values outside the accepted set: {offenders(df, c, max_offenders)} ({detail})"
-        results.append(CheckResult(r["layer"], r["table_name"], r["check"], bool(r["passed"]),
-                                   int(r["violations"]), detail))
-    return TableReport(results, n, cs)
+    by_check = {r["check"]: r for r in frame.collect()}  # one row per check
+    stat = {k: by_check.pop(k)["violations"] if k in by_check else None for k in (STAT_ROWS, STAT_CHECKSUM)}
+    results = [CheckResult(**{k: by_check[c.name][k] for k in RESULT_COLUMNS}) for c in checks]
+    return TableReport(results, stat[STAT_ROWS], stat[STAT_CHECKSUM])
 
 
 def run_checks(df: DataFrame, checks: Iterable[Check], layer: str, table: str,
-               refs: Mapping[str, DataFrame] | None = None, max_offenders: int = 20) -> list[CheckResult]:
+               refs: Mapping[str, DataFrame] | None = None) -> list[CheckResult]:
     """Run the checks as one action; results in declaration order; never raises on failure."""
-    return run_report(df, checks, layer, table, refs, stats=False, max_offenders=max_offenders).results
+    return run_report(df, checks, layer, table, refs, stats=False).results
 
 
 def log_results(layer: str, table: str, results: list[CheckResult], log=print) -> None:
-    failures = [r for r in results if not r.passed]
-    log(f"checks for {layer}/{table}: {len(results)} run, {len(failures)} failed")
     for r in results:
-        log(f"  [{'OK    ' if r.passed else 'FAILED'}] {r.check} -- {r.detail}")
+        log(f"{layer}/{table} {'ok' if r.passed else 'VIOLATED'} {r.check} violations={r.violations} observed={r.observed} expected={r.expected}")
 
 
 def run_suite(df: DataFrame, layer: str, table: str, refs: Mapping[str, DataFrame] | None = None,
@@ -262,8 +213,6 @@ def run_suite(df: DataFrame, layer: str, table: str, refs: Mapping[str, DataFram
     """
     checks = declared_checks(layer, table, extra=extra)
     if not checks:
-        if log:
-            log(f"no checks declared for {layer}/{table}")
         return []
     results = run_checks(df, checks, layer, table, refs)
     failures = [r for r in results if not r.passed]

@@ -45,12 +45,13 @@ class Check:
     minimum: int | None = None
     ref_layer: str = "silver"
     cast_type: str | None = None
-    ref_column: str | None = None  # column name in the reference table when it differs
+    ref_column: str | None = None  # SQL expression over the reference table when it is not the column itself
 
     @property
     def column(self) -> str:
         return self.columns[0]
 
+    # fixed values: the names of the checks
     @property
     def name(self) -> str:
         k = self.kind
@@ -158,11 +159,12 @@ CHECKS: dict[str, dict[str, list[Check]]] = {
 }
 
 # Opt-in checks the reference leaves out (uniqueness of the translation key, which guards the
-# dim_produto join against fan-out, and the calendar key of the item fact).
+# dim_produto join against fan-out, and the dates of the item fact, held against the orders of Silver: a
+# check never reads another object of the layer that is being published).
 EXTRA_CHECKS: dict[str, dict[str, list[Check]]] = {
     "silver": {"category_name": [Check("unique", ("product_category_name",))]},
-    "gold": {"fato_pedidos_itens": [Check("referential", ("data_pedido",), ref_table="dim_tempo",
-                                          ref_layer="gold", ref_column="data")]},
+    "gold": {"fato_pedidos_itens": [Check("referential", ("data_pedido",), ref_table="orders",
+                                          ref_column="to_date(order_purchase_timestamp)")]},
 }
 
 
@@ -190,12 +192,12 @@ def declared_checks(layer: str, table: str, extra: bool = False) -> list[Check]:
 
 def assert_consistent() -> None:
     """Every table has a Silver rule, every object a builder, every source and check target exists."""
-    from lakestrata.operators.gold import GOLD_BUILDERS
+    from lakestrata.operators.gold import STARS
     from lakestrata.operators.silver import SILVER_RULES
 
     names = {t.name for t in TABLES}
     assert names == set(SILVER_RULES), (names, set(SILVER_RULES))
-    assert {g.name for g in GOLD_OBJECTS} == set(GOLD_BUILDERS)
+    assert {g.name for g in GOLD_OBJECTS} == set(STARS)
     for g in GOLD_OBJECTS:
         assert set(g.sources) <= names, g
     assert set(CHECKS["bronze"]) <= names and set(CHECKS["silver"]) <= names

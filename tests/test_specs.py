@@ -1,7 +1,7 @@
 import pytest
 
 from lakestrata import specs
-from lakestrata.operators.gold import GOLD_BUILDERS
+from lakestrata.operators.gold import STARS
 from lakestrata.operators.silver import SILVER_RULES
 
 
@@ -14,7 +14,7 @@ def test_every_table_has_a_silver_rule():
 
 
 def test_every_gold_object_has_a_builder_and_known_sources():
-    assert {g.name for g in specs.GOLD_OBJECTS} == set(GOLD_BUILDERS)
+    assert {g.name for g in specs.GOLD_OBJECTS} == set(STARS)
     names = {t.name for t in specs.TABLES}
     for g in specs.GOLD_OBJECTS:
         assert set(g.sources) <= names
