@@ -1,51 +1,69 @@
 """Business queries the Gold layer answers (QRY-1..15).
 
-Every function takes the frames it needs (never paths) and returns a lazy DataFrame; money is summed
-as double and rounded HALF_UP to 2 places at the end. Facts of different grains are never joined
-row-to-row: the cross-fact questions reduce the item fact to order grain first (one row per order
-before the join), and the fan-out measurement counts ``sum(items_o * payments_o)`` from per-order
-counts instead of materialising the pairs.
+Every function takes the frames it needs (never paths) and returns a lazy DataFrame. Money is summed as
+decimal, so totals are exact and independent of the order of the rows at any size; results are doubles.
+
+Facts meet dimensions one row per key: the fact is aggregated to the customer (or the order) first, with a
+map-side partial step, so a customer with a third of all items is one row when the join sees it. Questions
+about orders take the order grain (``order_grain`` of the layer frames), which never joins items row by row;
+the fan-out measurement counts ``sum(items_o * payments_o)`` instead of making the pairs.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _money(c) -> F.Column:
+def _money(c) -> Column:
     return F.round(c, 2)
 
 
-def _per(total: F.Column, n: F.Column) -> F.Column:
-    """Ratio of a money total (first rounded to cents) to a count, rounded to cents. Dividing the
-    rounded total keeps the result independent of the order in which the doubles were summed."""
-    return F.round(F.round(total, 2) / n, 2)
+def _total(col: str) -> Column:
+    """An exact sum of cents."""
+    return F.sum(F.col(col).cast("decimal(18,2)"))
+
+
+def _cents(total: Column) -> Column:
+    return total.cast("double")
+
+
+def _per(total: Column, n: Column) -> Column:
+    """Ratio of a money total to a count, rounded to cents."""
+    return F.round(_cents(total) / n, 2)
+
+
+def _position(df: DataFrame, *order) -> DataFrame:
+    """The rank of each row of a small result (one row per group)."""
+    return df.withColumn("posicao", F.row_number().over(Window.orderBy(*order)))
 
 
 # QRY-1 -------------------------------------------------------------------------------------------
 def revenue_by_state(fato_itens: DataFrame, dim_cliente: DataFrame, k: int | None = 5) -> DataFrame:
     """Revenue (sum of item price) by customer state, highest first; top ``k`` (None = all)."""
-    out = (fato_itens.select("customer_id", "price")
-           .join(dim_cliente.select("customer_id", "customer_state"), "customer_id")
-           .groupBy("customer_state")
-           .agg(_money(F.sum("price")).alias("receita"))
-           .orderBy(F.desc("receita"), F.asc("customer_state")))
-    return out.limit(k) if k else out
+    if k is not None and k < 0:
+        raise ValueError("k must not be negative")
+    by_customer = fato_itens.groupBy("customer_id").agg(_total("price").alias("total"))
+    by_state = (by_customer.join(dim_cliente.select("customer_id", "customer_state"), "customer_id")
+                .groupBy("customer_state").agg(F.sum("total").alias("total"))
+                .select("customer_state", _cents(F.col("total")).alias("receita")))
+    order = (F.desc("receita"), F.asc("customer_state"))
+    top = by_state.orderBy(*order)
+    return _position(top if k is None else top.limit(k), *order)
 
 
 # QRY-2 -------------------------------------------------------------------------------------------
 def ticket_by_state(fato_itens: DataFrame, dim_cliente: DataFrame) -> DataFrame:
-    """Revenue, average item price (the published "ticket"), orders, items and revenue per order."""
-    j = (fato_itens.select("customer_id", "order_id", "price")
-         .join(dim_cliente.select("customer_id", "customer_state"), "customer_id"))
-    return (j.groupBy("customer_state")
-            .agg(_money(F.sum("price")).alias("receita"),
-                 _per(F.sum("price"), F.count(F.lit(1))).alias("ticket_medio_item"),
-                 F.count_distinct("order_id").alias("pedidos"),
-                 F.count(F.lit(1)).alias("itens"),
-                 _per(F.sum("price"), F.count_distinct("order_id")).alias("receita_por_pedido"))
-            .orderBy(F.desc("receita"), F.asc("customer_state")))
+    """Revenue, average item price (the published "ticket"), orders, items and revenue per order. An order
+    belongs to one customer, so orders add up over customers."""
+    by_order = fato_itens.groupBy("customer_id", "order_id").agg(_total("price").alias("total"), F.count(F.lit(1)).alias("n"))
+    by_customer = by_order.groupBy("customer_id").agg(F.sum("total").alias("total"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("orders"))
+    by_state = (by_customer.join(dim_cliente.select("customer_id", "customer_state"), "customer_id")
+                .groupBy("customer_state").agg(*(F.sum(c).alias(c) for c in ("total", "n", "orders"))))
+    total = F.col("total")
+    return by_state.select("customer_state", _cents(total).alias("receita"), _per(total, F.col("n")).alias("ticket_medio_item"),
+                           F.col("orders").alias("pedidos"), F.col("n").alias("itens"),
+                           _per(total, F.col("orders")).alias("receita_por_pedido")).orderBy(F.desc("receita"), F.asc("customer_state"))
 
 
 # QRY-3 -------------------------------------------------------------------------------------------
@@ -54,8 +72,8 @@ def revenue_by_category(fato_itens: DataFrame, dim_produto: DataFrame) -> DataFr
          .join(dim_produto.select("product_id", "product_category_name", "product_category_name_english"),
                "product_id"))
     return (j.groupBy("product_category_name", "product_category_name_english")
-            .agg(_money(F.sum("price")).alias("receita"),
-                 _per(F.sum("price"), F.count(F.lit(1))).alias("ticket_medio_item"),
+            .agg(_cents(_total("price")).alias("receita"),
+                 _per(_total("price"), F.count(F.lit(1))).alias("ticket_medio_item"),
                  F.count_distinct("order_id").alias("pedidos"),
                  F.count(F.lit(1)).alias("itens"))
             .orderBy(F.desc("receita"), F.asc("product_category_name")))
@@ -65,24 +83,18 @@ def revenue_by_period(fato_itens: DataFrame, dim_tempo: DataFrame) -> DataFrame:
     cal = dim_tempo.select(F.col("data").alias("data_pedido"), "ano", "mes", "trimestre")
     j = fato_itens.select("data_pedido", "order_id", "price").join(cal, "data_pedido")
     return (j.groupBy("ano", "trimestre", "mes")
-            .agg(_money(F.sum("price")).alias("receita"),
+            .agg(_cents(_total("price")).alias("receita"),
                  F.count_distinct("order_id").alias("pedidos"),
                  F.count(F.lit(1)).alias("itens"),
-                 _per(F.sum("price"), F.count_distinct("order_id")).alias("receita_por_pedido"))
+                 _per(_total("price"), F.count_distinct("order_id")).alias("receita_por_pedido"))
             .orderBy("ano", "mes"))
 
 
 # QRY-4 -------------------------------------------------------------------------------------------
-def order_grain(fato_itens: DataFrame, *cols: str) -> DataFrame:
-    """The item fact reduced to one row per order. The order-level columns come from the order header,
-    so they are constant within an order and ``distinct`` on (order_id, cols) is one row per order."""
-    return fato_itens.select("order_id", *cols).distinct()
-
-
-def delivery_kpis(fato_itens: DataFrame) -> DataFrame:
-    o = order_grain(fato_itens, "prazo_entrega_dias", "atraso_entrega_dias", "entregue_com_atraso")
+def delivery_kpis(orders: DataFrame) -> DataFrame:
+    """Over one row per order that has an item (``order_grain``)."""
     late = F.col("entregue_com_atraso")
-    return o.agg(
+    return orders.agg(
         F.count(F.lit(1)).alias("pedidos"),
         F.count(late).alias("pedidos_entregues"),
         F.count_if(late).alias("pedidos_com_atraso"),
@@ -93,14 +105,16 @@ def delivery_kpis(fato_itens: DataFrame) -> DataFrame:
 
 
 # QRY-5 -------------------------------------------------------------------------------------------
-def score_by_delay(fato_avaliacoes: DataFrame, fato_itens: DataFrame) -> DataFrame:
-    """Average review score by delivery situation: on time / late / not delivered."""
-    flags = order_grain(fato_itens, "entregue_com_atraso")
+def score_by_delay(fato_avaliacoes: DataFrame, orders: DataFrame) -> DataFrame:
+    """Average review score by delivery situation: on time / late / not delivered. Reviews are added up per
+    order before they meet the order."""
     late = F.col("entregue_com_atraso")
-    situ = (F.when(late.isNull(), "nao_entregue").when(late, "com_atraso").otherwise("no_prazo"))
-    return (fato_avaliacoes.select("order_id", "review_score").join(flags, "order_id")
-            .groupBy(situ.alias("situacao_entrega"))
-            .agg(_money(F.avg("review_score")).alias("nota_media"), F.count(F.lit(1)).alias("avaliacoes"))
+    situation = F.when(late.isNull(), "nao_entregue").when(late, "com_atraso").otherwise("no_prazo")
+    per_order = fato_avaliacoes.groupBy("order_id").agg(F.sum("review_score").alias("score"), F.count("review_score").alias("scored"),
+                                                        F.count(F.lit(1)).alias("n"))
+    return (per_order.join(orders.select("order_id", "entregue_com_atraso"), "order_id")
+            .groupBy(situation.alias("situacao_entrega"))
+            .agg(_money(F.sum("score") / F.sum("scored")).alias("nota_media"), F.sum("n").alias("avaliacoes"))
             .orderBy(F.desc("nota_media"), F.asc("situacao_entrega")))
 
 
@@ -109,7 +123,7 @@ def payment_mix(fato_pagamentos: DataFrame) -> DataFrame:
     return (fato_pagamentos.groupBy("payment_type", "payment_installments")
             .agg(F.count(F.lit(1)).alias("pagamentos"),
                  F.count_distinct("order_id").alias("pedidos"),
-                 _money(F.sum("payment_value")).alias("valor_total"))
+                 _cents(_total("payment_value")).alias("valor_total"))
             .orderBy("payment_type", "payment_installments"))
 
 
@@ -120,12 +134,9 @@ def recurring_customers(orders: DataFrame, dim_cliente: DataFrame) -> DataFrame:
     ``ids_extras`` = distinct customer ids − persons (the published "recurring" figure, an upper bound);
     ``clientes_recorrentes`` = persons with more than one order (the actual count).
     """
-    ids_per_person = dim_cliente.groupBy("customer_unique_id").agg(F.count(F.lit(1)).alias("n_ids"))
-    orders_per_person = (orders.select("order_id", "customer_id")
-                         .join(dim_cliente.select("customer_id", "customer_unique_id"), "customer_id")
-                         .groupBy("customer_unique_id")
-                         .agg(F.count_distinct("order_id").alias("n_pedidos")))
-    p = ids_per_person.join(orders_per_person, "customer_unique_id", "left")
+    per_customer = orders.select("order_id", "customer_id").distinct().groupBy("customer_id").agg(F.count(F.lit(1)).alias("n"))
+    ids = dim_cliente.select("customer_id", "customer_unique_id").join(per_customer, "customer_id", "left")
+    p = ids.groupBy("customer_unique_id").agg(F.count(F.lit(1)).alias("n_ids"), F.sum("n").alias("n_pedidos"))
     return p.agg(
         F.sum("n_ids").alias("customer_ids"),
         F.count(F.lit(1)).alias("pessoas"),
@@ -166,7 +177,8 @@ def undelivered_share(orders: DataFrame) -> DataFrame:
 
 # QRY-10 ------------------------------------------------------------------------------------------
 def score_histogram(reviews: DataFrame) -> DataFrame:
-    return reviews.groupBy("review_score").agg(F.count(F.lit(1)).alias("avaliacoes")).orderBy("review_score")
+    counts = reviews.groupBy("review_score").agg(F.count(F.lit(1)).alias("avaliacoes"))
+    return _position(counts, F.asc_nulls_first("review_score")).orderBy("posicao")
 
 
 # QRY-11 ------------------------------------------------------------------------------------------

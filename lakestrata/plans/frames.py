@@ -16,21 +16,25 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakestrata.operators import gold as gold_ops
+from lakestrata.operators.gold import ORDER_HEADER
 from lakestrata.operators.silver import to_silver
-from lakestrata.sources.adapter import raw_table
+from lakestrata.sources.adapter import dirty_table, raw_table
 from lakestrata.sources.layers import read_layer
 from lakestrata.specs import gold_spec
 
 
 class Layers:
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, dirty: bool = False):
+        """``dirty``: with the faults of FIXTURES.md part C, for checks that must find something."""
         self.spark = spark
         self.sf_dir = sf_dir
+        self.dirty = dirty
         self._raw: dict[str, DataFrame] = {}
 
     def raw(self, table: str) -> DataFrame:
         if table not in self._raw:
-            self._raw[table] = raw_table(self.spark, self.sf_dir, table)
+            clean = raw_table(self.spark, self.sf_dir, table)
+            self._raw[table] = dirty_table(clean, table) if self.dirty else clean
         return self._raw[table]
 
     def silver(self, table: str) -> DataFrame:
@@ -40,6 +44,10 @@ class Layers:
         src = {s: self.silver(s) for s in gold_spec(name).sources}
         return gold_ops.build(name, src)
 
+    def order_grain(self) -> DataFrame:
+        """One row per order that has an item, with its delivery measures."""
+        return gold_ops.order_grain({s: self.silver(s) for s in ("orders", "items")})
+
 
 class PublishedLayers:
     """The same accessors over a published lake (``{root}/{layer}/{table}`` Parquet): what an analyst
@@ -59,6 +67,9 @@ class PublishedLayers:
         gold_spec(name)
         return read_layer(self.spark, self.root, "gold", name)
 
+    def order_grain(self) -> DataFrame:
+        return self.gold("fato_pedidos_itens").select(*ORDER_HEADER.columns, *ORDER_HEADER.after).distinct()
+
     def gold_between(self, name: str, start: str | dt.date, end: str | dt.date) -> DataFrame:
         """Rows of a dated Gold fact whose date lies in ``[start, end]``. The same range is also put on
         the month layout column, so Spark reads only the matching month directories."""

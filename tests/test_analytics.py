@@ -29,7 +29,7 @@ def test_delivery_kpis_brute_force(L):
     fact = L.gold("fato_pedidos_itens").select("order_id", "prazo_entrega_dias", "atraso_entrega_dias",
                                                "entregue_com_atraso").toPandas()
     orders = fact.drop_duplicates("order_id")
-    r = qa.delivery_kpis(L.gold("fato_pedidos_itens")).collect()[0]
+    r = qa.delivery_kpis(L.order_grain()).collect()[0]
     assert r.pedidos == len(orders)
     assert r.pedidos_entregues == orders["entregue_com_atraso"].notna().sum()
     assert r.pedidos_com_atraso == (orders["entregue_com_atraso"] == True).sum()  # noqa: E712
@@ -43,8 +43,7 @@ def test_score_by_delay_brute_force(L):
     j = reviews.merge(flags, on="order_id")
     j["situ"] = j["entregue_com_atraso"].map({True: "com_atraso", False: "no_prazo"}).fillna("nao_entregue")
     exp = j.groupby("situ")["review_score"].agg(["count", "mean"])
-    got = {r.situacao_entrega: r for r in qa.score_by_delay(L.gold("fato_avaliacoes"),
-                                                            L.gold("fato_pedidos_itens")).collect()}
+    got = {r.situacao_entrega: r for r in qa.score_by_delay(L.gold("fato_avaliacoes"), L.order_grain()).collect()}
     assert set(got) == set(exp.index)
     for s, row in exp.iterrows():
         assert got[s].avaliacoes == row["count"]
@@ -60,3 +59,18 @@ def test_recurring_customers_brute_force(L):
     assert r.pessoas == dim["customer_unique_id"].nunique()
     assert r.clientes_recorrentes == int((per_person > 1).sum())
     assert isinstance(per_person, pd.Series)
+
+
+def test_money_is_exact_at_any_size(spark):
+    """Cents survive totals beyond what a sum of doubles keeps."""
+    fact = spark.range(1000).selectExpr("'k' AS customer_id", "IF(id = 0, 0.01D, 9999999999999.99D) AS price")
+    dim = spark.createDataFrame([("k", "S")], "customer_id string, customer_state string")
+    total = qa.revenue_by_state(fact, dim).collect()[0]["receita"]
+    assert total == float("9989999999999990.02")
+
+
+def test_top_k(L):
+    every = qa.revenue_by_state(L.gold("fato_pedidos_itens"), L.gold("dim_cliente"), k=None).collect()
+    assert [r["posicao"] for r in every] == list(range(1, len(every) + 1))
+    assert qa.revenue_by_state(L.gold("fato_pedidos_itens"), L.gold("dim_cliente"), k=2).collect() == every[:2]
+    assert qa.revenue_by_state(L.gold("fato_pedidos_itens"), L.gold("dim_cliente"), k=0).collect() == []
