@@ -25,10 +25,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakestrata.operators import gold as gold_ops
-from lakestrata.operators.quality import CheckResult, content_columns, log_results, run_report
+from lakestrata.operators.quality import CheckResult, content_columns, log_results, offenders, run_report
 from lakestrata.operators.silver import to_silver
 from lakestrata.sources import layers as io
-from lakestrata.sources.landing import read_landing_latest, write_landing
+from lakestrata.sources.landing import latest_ingestion, read_landing, write_landing
 from lakestrata.specs import GOLD_OBJECTS, TABLES, declared_checks, gold_spec, table_spec
 
 STAMP = {"bronze": "data_processamento_bronze", "silver": "dt_criacao_silver", "gold": "dt_criacao_gold"}
@@ -83,6 +83,8 @@ def _refs(spark: SparkSession, paths: LakePaths, checks) -> dict[str, DataFrame]
 def stage_validate_publish(spark: SparkSession, paths: LakePaths, layer: str, table: str, df: DataFrame,
                            run_id: str, extra_checks: bool = False, source_partition: str | None = None,
                            log=print, partition_by: tuple[str, ...] = ()) -> TableOutcome:
+    """Write the run's version, check the written files, publish if they pass, and then write the audit row
+    with what really happened; an error while publishing is in the row and goes on to the caller."""
     staged_path = io.write_staged(df, paths.lake, layer, table, run_id, partition_by)
     staged = io.read_staged(spark, staged_path, df.schema, partition_by)
     checks = declared_checks(layer, table, extra=extra_checks)
@@ -90,24 +92,33 @@ def stage_validate_publish(spark: SparkSession, paths: LakePaths, layer: str, ta
                         checksum_cols=content_columns(staged))
     if log and report.results:
         log_results(layer, table, report.results, log)
-    passed = not report.failures
+    if any(c.kind == "accepted_values" for c in checks) and report.failures:
+        io.append_offenders(offenders(staged, checks, layer, table), paths.lake, layer, table, run_id)
+    passed, error = not report.failures, None
+    if passed:
+        try:
+            io.publish(spark, paths.lake, layer, table, run_id)
+        except Exception as e:
+            error = e
+    published = passed and error is None
     io.append_audit(spark, paths.lake, {
         "run_id": run_id, "layer": layer, "table_name": table, "rows": report.rows,
         "columns": io.schema_strings(staged), "checksum": report.checksum,
-        "checks": [(r.check, r.passed, r.violations, r.detail) for r in report.results],
-        "passed": passed, "published": passed, "source_partition": source_partition,
+        "checks": [(r.check, r.passed, r.violations, r.observed, r.expected) for r in report.results],
+        "passed": passed, "published": published, "error": None if error is None else f"{type(error).__name__}: {error}",
+        "source_partition": source_partition,
     })
-    if passed:
-        io.publish(spark, staged_path, io.layer_path(paths.lake, layer, table), partition_by)
-    return TableOutcome(layer, table, run_id, passed, passed, report.rows, report.checksum, report.results,
+    if error is not None:
+        raise error
+    return TableOutcome(layer, table, run_id, passed, published, report.rows, report.checksum, report.results,
                         source_partition)
 
 
 def bronze_job(spark: SparkSession, paths: LakePaths, table: str, run_id: str | None = None,
-               run_ts: dt.datetime | None = None, **kw) -> TableOutcome:
+               run_ts: dt.datetime | None = None, ingestion_date: str | None = None, **kw) -> TableOutcome:
     spec = table_spec(table)
-    raw, partition = read_landing_latest(spark, paths.landing, spec)
-    df = raw.withColumn(STAMP["bronze"], _stamp(run_ts))
+    partition = ingestion_date or latest_ingestion(spark, paths.landing, [table])
+    df = read_landing(spark, paths.landing, spec, partition).withColumn(STAMP["bronze"], _stamp(run_ts))
     return stage_validate_publish(spark, paths, "bronze", table, df, run_id or _new_run_id(),
                                   source_partition=partition, **kw)
 
@@ -148,6 +159,8 @@ def run_layer(spark: SparkSession, paths: LakePaths, layer: str, tables: Iterabl
         raise ValueError(f"unknown layer {layer!r}")
     run_id = run_id or _new_run_id()
     names = list(tables) if tables is not None else layer_tables(layer)
+    if layer == "bronze" and "ingestion_date" not in kw:  # one date for the whole run
+        kw["ingestion_date"] = latest_ingestion(spark, paths.landing, names)
 
     def one(name: str) -> TableOutcome:
         try:

@@ -4,22 +4,21 @@ Layout: ``{landing}/{table}/ingestion_date=YYYY-MM-DD/part-*.csv``, one partitio
 history kept. Writing a date again replaces only that date (dynamic partition overwrite), so a rerun
 on the same day is idempotent.
 
-Reading picks the newest partition: the partition values are discovered from the directory names
-(a ``binaryFile`` listing that selects no file content, so no CSV byte is read), the maximum is
-collected as one scalar, and the CSV relation is filtered with that literal. The filter is a
-partition filter, so only the newest directory's files are scanned (``PartitionFilters`` in the
-plan). CSV is read as all strings, with the header's names and no inference.
+Reading takes one date for a whole run (:func:`latest_ingestion`): the newest one of any table, which every
+table must have, so a half-landed drop is an error and two dates never mix in one layer. Only the names of
+the table folders' sub-folders are listed, never the files of the history, and only the one date's folder is
+read, whatever its files are called. CSV is read as all strings, with the header's names and no inference.
 """
 
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Iterable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from lakestrata.sources.files import file_system
 from lakestrata.specs import TableSpec
 
 PARTITION_COLUMN = "ingestion_date"
@@ -45,19 +44,25 @@ def write_landing(df: DataFrame, landing_root: str, table: str, ingestion_date:
     return path
 
 
-def latest_partition(spark: SparkSession, base: str) -> str:
-    """Newest ``ingestion_date`` under ``base`` (lexicographic = chronological for ISO dates)."""
-    try:
-        listing = (spark.read.format("binaryFile").option("pathGlobFilter", "*.csv*")
-                   .option("recursiveFileLookup", "false").load(base))
-    except AnalysisException as e:
-        raise NoLandingPartitionError(f"no landing data under {base}: {e.getMessage() if hasattr(e, 'getMessage') else e}") from e
-    if PARTITION_COLUMN not in listing.columns:
-        raise NoLandingPartitionError(f"no '{PARTITION_COLUMN}=' partition under {base}")
-    row = listing.agg(F.max(PARTITION_COLUMN).cast("string").alias("d")).collect()[0]
-    if row["d"] is None:
-        raise NoLandingPartitionError(f"no CSV file in any '{PARTITION_COLUMN}=' partition under {base}")
-    return row["d"]
+def landed_dates(spark: SparkSession, landing_root: str, table: str) -> list[str]:
+    """The dates of ``table``, ascending: the names of its partition folders (ISO dates sort as text)."""
+    path, fs = file_system(spark, landing_path(landing_root, table))
+    if not fs.exists(path):
+        return []
+    names = [s.getPath().getName() for s in fs.listStatus(path) if s.isDirectory()]
+    return sorted(n.partition("=")[2] for n in names if n.startswith(f"{PARTITION_COLUMN}="))
+
+
+def latest_ingestion(spark: SparkSession, landing_root: str, tables: Iterable[str]) -> str:
+    """The newest date of any of ``tables``; an error if one of them has no drop of that date."""
+    dates = {t: landed_dates(spark, landing_root, t) for t in tables}
+    newest = max((d[-1] for d in dates.values() if d), default=None)
+    if newest is None:
+        raise NoLandingPartitionError(f"no '{PARTITION_COLUMN}=' partition under {landing_root} for {sorted(dates)}")
+    missing = sorted(t for t, d in dates.items() if newest not in d)
+    if missing:
+        raise NoLandingPartitionError(f"the drop of {newest} under {landing_root} lacks {missing}")
+    return newest
 
 
 def csv_reader(spark: SparkSession, spec: TableSpec | None = None):
@@ -68,25 +73,15 @@ def csv_reader(spark: SparkSession, spec: TableSpec | None = None):
 
 
 def read_landing(spark: SparkSession, landing_root: str, spec: TableSpec, ingestion_date: str) -> DataFrame:
-    """One landing partition of ``spec``'s table as all-string columns (partition column dropped).
-
-    The column names come from the header of that partition's own files (older drops may have had
-    other columns); the relation is the whole table directory with a literal partition filter, so
-    Spark prunes to the one directory at planning time."""
-    base = landing_path(landing_root, spec.name)
-    header = csv_reader(spark, spec).csv(f"{base}/{PARTITION_COLUMN}={ingestion_date}").schema
-    schema = T.StructType([T.StructField(f.name, T.StringType()) for f in header.fields]
-                          + [T.StructField(PARTITION_COLUMN, T.DateType())])
-    df = csv_reader(spark, spec).schema(schema).csv(base)
-    return df.where(F.col(PARTITION_COLUMN) == F.lit(ingestion_date).cast("date")).drop(PARTITION_COLUMN)
-
-
-def read_landing_latest(spark: SparkSession, landing_root: str, spec: TableSpec) -> tuple[DataFrame, str]:
-    base = landing_path(landing_root, spec.name)
-    d = latest_partition(spark, base)
-    df = read_landing(spark, landing_root, spec, d)
+    """One landing partition of ``spec``'s table as all-string columns, named by that drop's own header."""
+    df = csv_reader(spark, spec).csv(f"{landing_path(landing_root, spec.name)}/{PARTITION_COLUMN}={ingestion_date}")
     if spec.csv_options.get("multiLine") == "true":
         # a multi-line CSV file cannot be split: one task per file. Rebalance so the rest of the job
         # (stamping, checks, the Parquet write) runs on evenly sized partitions chosen by AQE.
         df = df.hint("rebalance")
-    return df, d
+    return df
+
+
+def read_landing_latest(spark: SparkSession, landing_root: str, spec: TableSpec) -> tuple[DataFrame, str]:
+    d = latest_ingestion(spark, landing_root, [spec.name])
+    return read_landing(spark, landing_root, spec, d), d

@@ -10,6 +10,7 @@ from lakestrata.plans import catalog, jobs
 from lakestrata.plans.frames import Layers, PublishedLayers
 from lakestrata.sources import layers as io
 from lakestrata.sources.adapter import raw_tables
+from lakestrata.sources.landing import NoLandingPartitionError
 
 from conftest import SMALL_SF
 
@@ -40,7 +41,7 @@ def test_end_to_end_and_stable_checksums(spark, landed, monkeypatch):
     assert "dt_criacao_gold" in fact.columns
     assert fact.count() == io.read_layer(spark, landed.lake, "silver", "items").count()
     # the dated facts are published by month; a filter on the month column prunes directories
-    fact_dir = io.layer_path(landed.lake, "gold", "fato_pedidos_itens")
+    fact_dir = io.version_path(landed.lake, "gold", "fato_pedidos_itens", io.current_version(spark, landed.lake, "gold", "fato_pedidos_itens"))
     assert any(d.startswith("data_pedido_mes=") for d in os.listdir(fact_dir))
     assert dict(fact.dtypes)["data_pedido"] == "date" and dict(fact.dtypes)["data_pedido_mes"] == "date"
     assert fact.where("data_pedido_mes <> trunc(data_pedido, 'month')").count() == 0
@@ -78,14 +79,15 @@ def test_failed_checks_block_publish_and_are_audited(spark, landed):
     res = jobs.silver_job(spark, landed, "orders", run_id="silver-bad", log=None)
     assert not res.passed and not res.published
     assert [f.check for f in res.failures] == ["unique:order_id"]
-    assert not os.path.exists(io.layer_path(landed.lake, "silver", "orders"))
+    with pytest.raises(FileNotFoundError):
+        io.read_layer(spark, landed.lake, "silver", "orders")
     audit = io.read_audit(spark, landed.lake).where("run_id = 'silver-bad'").collect()
     assert len(audit) == 1 and audit[0].passed is False and audit[0].published is False
     assert any(c.check == "unique:order_id" and not c.passed for c in audit[0].checks)
 
 
 def test_layer_gate_stops_next_layer(spark, landed):
-    with pytest.raises(jobs.LayerGateError):
+    with pytest.raises(NoLandingPartitionError):
         jobs.run_all(spark, jobs.LakePaths(landed.landing + "-missing", landed.lake), log=None)
     assert not os.path.exists(os.path.join(landed.lake, "silver"))
 
@@ -112,4 +114,76 @@ def test_bronze_reads_only_the_newest_drop(spark, scratch):
 def test_command_line_runs_one_layer(spark, landed):
     assert jobs.main(["--landing", landed.landing, "--lake", landed.lake, "--layer", "bronze",
                       "--table", "sellers"]) == 0
-    assert os.path.exists(io.layer_path(landed.lake, "bronze", "sellers"))
+    assert io.read_layer(spark, landed.lake, "bronze", "sellers").count() > 0
+
+
+STATUS = "order_id string, customer_id string, order_status string"
+
+
+def _lake(scratch):
+    return jobs.LakePaths(os.path.join(scratch, "landing"), os.path.join(scratch, "lake"))
+
+
+def test_repeated_run_leaves_no_old_partition(spark, scratch):
+    """Whatever the session's overwrite mode, a second try of a run id replaces the first one whole."""
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "x int, month string")
+    old = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        io.write_staged(df, scratch, "gold", "t", "run1", ["month"])
+        path = io.write_staged(df.where("x = 1"), scratch, "gold", "t", "run1", ["month"])
+    finally:
+        spark.conf.set("spark.sql.sources.partitionOverwriteMode", old)
+    assert spark.read.parquet(path).count() == 1
+
+
+def test_audit_tells_what_publishing_did(spark, scratch, monkeypatch):
+    paths = _lake(scratch)
+
+    def broken(*a, **k):
+        raise OSError("store is away")
+
+    monkeypatch.setattr(io, "publish", broken)
+    with pytest.raises(OSError):
+        jobs.stage_validate_publish(spark, paths, "silver", "sellers", spark.createDataFrame([("s",)], "seller_id string"), "r1", log=None)
+    row = io.read_audit(spark, paths.lake).collect()[0]
+    assert (row["passed"], row["published"]) == (True, False) and "store is away" in row["error"]
+    with pytest.raises(FileNotFoundError):
+        io.read_layer(spark, paths.lake, "silver", "sellers")
+
+
+def test_readers_keep_the_old_version_until_the_marker(spark, scratch):
+    paths, schema = _lake(scratch), "seller_id string"
+    jobs.stage_validate_publish(spark, paths, "silver", "sellers", spark.createDataFrame([("s1",)], schema), "r1", log=None)
+    first = io.read_layer(spark, paths.lake, "silver", "sellers")
+    io.write_staged(spark.createDataFrame([("s2",), ("s3",)], schema), paths.lake, "silver", "sellers", "r2")
+    assert io.read_layer(spark, paths.lake, "silver", "sellers").count() == 1
+    io.publish(spark, paths.lake, "silver", "sellers", "r2")
+    assert io.read_layer(spark, paths.lake, "silver", "sellers").count() == 2 and first.count() == 1
+    io.publish(spark, paths.lake, "silver", "sellers", "r1")  # back to a version that is still there
+    assert io.read_layer(spark, paths.lake, "silver", "sellers").count() == 1
+    assert io.remove_old_versions(spark, paths.lake, "silver", "sellers", keep=1) == ["r2"]
+    assert io.read_layer(spark, paths.lake, "silver", "sellers").count() == 1
+
+
+def test_failed_runs_are_no_predecessors(spark, scratch):
+    paths, schema = _lake(scratch), "seller_id string"
+    good, bad = spark.createDataFrame([("s1",)], schema), spark.createDataFrame([("s1",), (None,)], schema)
+    for i, df in enumerate((good, bad, good)):
+        jobs.stage_validate_publish(spark, paths, "silver", "sellers", df, f"r{i}", log=None)
+    got = {r["run_id"]: r["unchanged"] for r in io.compare_runs(io.read_audit(spark, paths.lake)).collect()}
+    assert got == {"r0": None, "r1": False, "r2": True}
+
+
+def test_rejected_values_are_kept_with_the_audit(spark, scratch):
+    paths = _lake(scratch)
+    rows = [(f"q{i}", "k", f"odd{i % 33}") for i in range(99)]
+    out = jobs.stage_validate_publish(spark, paths, "silver", "orders", spark.createDataFrame(rows, STATUS), "r1", log=None)
+    assert not out.published
+    kept = io.read_offenders(spark, paths.lake).where("run_id = 'r1'").collect()
+    assert {(r["value"], r["rows"]) for r in kept} == {(f"odd{i}", 3) for i in range(33)}
+
+
+def test_extra_checks_read_finished_layers_only():
+    from lakestrata.specs import EXTRA_CHECKS
+    assert all(c.ref_layer == "silver" for layer in EXTRA_CHECKS.values() for checks in layer.values() for c in checks if c.ref_table)

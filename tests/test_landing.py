@@ -21,7 +21,7 @@ def _drop(root, table, date, text, name="part-0.csv"):
 
 def test_naive_vs_multiline_row_count(spark, scratch):
     _drop(scratch, "reviews", "2024-01-01", MULTILINE)
-    base = os.path.join(scratch, "reviews")
+    base = os.path.join(scratch, "reviews", "ingestion_date=2024-01-01")
     naive = landing.csv_reader(spark).csv(base).count()
     proper = landing.csv_reader(spark, table_spec("reviews")).csv(base).count()
     assert proper == 4 and naive > proper
@@ -39,18 +39,34 @@ def test_only_newest_partition_is_read(spark, scratch):
     assert [r.customer_id for r in df.collect()] == ["new1"]
     assert df.columns == ["customer_id", "customer_city"]
     assert all(t == "string" for _, t in df.dtypes)
-    plan = df._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters" in plan and "ingestion_date" in plan
+    assert {f.rsplit("/", 2)[1] for f in df.inputFiles()} == {"ingestion_date=2024-02-01"}
+
+
+def test_newest_drop_counts_whatever_its_files_are_called(spark, scratch):
+    _drop(scratch, "sellers", "2024-01-01", "seller_id\nold\n")
+    _drop(scratch, "sellers", "2024-02-01", "seller_id\nnew\n", name="a.txt")
+    df, d = landing.read_landing_latest(spark, scratch, TableSpec("sellers"))
+    assert d == "2024-02-01" and [r[0] for r in df.collect()] == ["new"]
+
+
+def test_half_landed_drop_is_an_error(spark, scratch):
+    """One date for all tables; a table without it stops the run, and no older drop is taken."""
+    for t in ("sellers", "customers"):
+        _drop(scratch, t, "2024-01-01", "a\n1\n")
+    assert landing.latest_ingestion(spark, scratch, ["sellers", "customers"]) == "2024-01-01"
+    _drop(scratch, "sellers", "2024-02-01", "a\n2\n")
+    with pytest.raises(landing.NoLandingPartitionError, match="2024-02-01.*customers"):
+        landing.latest_ingestion(spark, scratch, ["sellers", "customers"])
 
 
 def test_missing_landing_raises(spark, scratch):
     with pytest.raises(landing.NoLandingPartitionError):
-        landing.latest_partition(spark, os.path.join(scratch, "nothing"))
+        landing.latest_ingestion(spark, scratch, ["nothing"])
     os.makedirs(os.path.join(scratch, "flat"))
     with open(os.path.join(scratch, "flat", "a.csv"), "w") as f:
         f.write("a\n1\n")
     with pytest.raises(landing.NoLandingPartitionError):
-        landing.latest_partition(spark, os.path.join(scratch, "flat"))
+        landing.latest_ingestion(spark, scratch, ["flat"])
 
 
 def test_write_landing_rerun_is_idempotent(spark, scratch):
