@@ -88,6 +88,3 @@ def rule_for(table: str) -> Callable[[DataFrame], DataFrame]:
 def to_silver(table: str, df: DataFrame) -> DataFrame:
     return df.transform(rule_for(table))
 
-
-def silver_tables(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    return {t: to_silver(t, df) for t, df in raw.items()}

@@ -5,20 +5,18 @@ frame below is a projection/aggregation of the driver tables (the mapping is fix
 so everything downstream grows with the given data. Dirt (blanks, mixed case) is there on purpose so
 the Silver rules have work to do.
 
-Scale notes: the two numbered frames need a row number per order. ``items`` numbers lines with
-:func:`~lakestrata.operators.numbering.row_number_within`, which splits an order holding a third of
-all lines across tasks instead of handing it to one window task. ``payments`` is first aggregated to
-one row per (order, return flag), at most three rows per order, so its plain window has bounded
-groups. The nation lookups join a 25-row table that Spark broadcasts after its own size check.
+Scale notes: ``items`` is one aggregate per (order, line number) with a map-side partial step. ``payments``
+is first aggregated to one row per (order, return flag), at most three rows per order, so its window has
+bounded groups. The nation lookups join a 25-row table that Spark broadcasts after its own size check.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass, field
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lakestrata.operators.numbering import row_number_within
-
 DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 RAW_TABLES = ("customers", "orders", "items", "payments", "reviews", "products", "sellers", "geolocation",
               "category_name")
@@ -70,13 +68,13 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read_driver(spark, sf_dir, "lineitem")
-    li = li.select("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_extendedprice", "l_tax", "l_shipdate")
-    # item number within the order; skew-safe: an order with a third of all lines is still split
-    li = row_number_within(li, ["l_orderkey"], ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"],
-                           alias="_item_no")
+    # one item per order and line number, the smallest of the rows that share them: an aggregate with a
+    # map-side partial step, so no order is gathered in one place to number its items
+    rest = F.struct("l_partkey", "l_suppkey", "l_extendedprice", "l_tax", "l_shipdate")
+    li = li.groupBy("l_orderkey", "l_linenumber").agg(F.min(rest).alias("i")).select("l_orderkey", "l_linenumber", "i.*")
     return li.select(
         F.concat(_s("l_orderkey"), F.lit(" ")).alias("order_id"),
-        _s("_item_no").alias("order_item_id"),
+        _s("l_linenumber").alias("order_item_id"),
         F.concat(F.lit(" "), _s("l_partkey")).alias("product_id"),
         F.concat(F.lit(" "), _s("l_suppkey")).alias("seller_id"),
         _ts_text("l_shipdate").alias("shipping_limit_date"),
@@ -182,3 +180,61 @@ def raw_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return {name: b(spark, sf_dir) for name, b in _BUILDERS.items()}
+
+
+# ------------------------------------------------------------------------------ dirt (FIXTURES.md, part C)
+# What rules and checks must find. Expressions are SQL over the raw columns, the same in every engine; the
+# rows of ``repeat`` come a second time, with the columns of ``second`` replaced.
+
+@dataclass(frozen=True)
+class Dirt:
+    columns: dict[str, str] = field(default_factory=dict)
+    repeat: str | None = None
+    second: dict[str, str] = field(default_factory=dict)
+    where: str | None = None
+
+
+def _every(n: int, key: str, then: str, column: str) -> str:
+    return f"CASE WHEN CAST(trim({key}) AS BIGINT) % {n} = 0 THEN {then} ELSE {column} END"
+
+
+DIRT = {
+    "customers": Dirt(repeat="CAST(trim(customer_id) AS BIGINT) % 50 = 0", second={"customer_city": "' Elsewhere '"}),
+    "orders": Dirt(
+        columns={
+            "order_status": _every(37, "order_id", "' LOST'", "order_status"),
+            "customer_id": _every(43, "order_id", "'nobody'", "customer_id"),
+            "order_purchase_timestamp": _every(40, "order_id", "'not a date'", _every(41, "order_id", "NULL", "order_purchase_timestamp")),
+        }),
+    "items": Dirt(
+        columns={
+            "order_id": _every(47, "order_id", "concat('x', order_id)", "order_id"),
+            "product_id": _every(501, "product_id", "NULL", "product_id"),
+            "seller_id": _every(19, "seller_id", "'none'", "seller_id"),
+            "price": _every(50, "product_id", "'-5.00'", _every(51, "product_id", "'abc'", "price")),
+            "freight_value": _every(53, "product_id", "'-1'", "freight_value"),
+        },
+        repeat="CAST(trim(order_id) AS BIGINT) % 59 = 0"),
+    "payments": Dirt(columns={"payment_value": _every(31, "order_id", "'-1.00'", "payment_value"),
+                              "payment_type": _every(29, "order_id", "NULL", "payment_type")}),
+    "reviews": Dirt(columns={"review_score": _every(23, "order_id", "'9'", "review_score"), "order_id": _every(27, "order_id", "NULL", "order_id")}),
+    "products": Dirt(columns={"product_weight_g": _every(11, "product_id", "'heavy'", "product_weight_g")},
+                     repeat="CAST(trim(product_id) AS BIGINT) % 60 = 0"),
+    "sellers": Dirt(repeat="CAST(trim(seller_id) AS BIGINT) % 10 = 0", second={"seller_city": "' Elsewhere '"}),
+    "geolocation": Dirt(columns={"geolocation_zip_code_prefix": _every(3, "geolocation_zip_code_prefix", "NULL", "geolocation_zip_code_prefix")}),
+    "category_name": Dirt(where="1 = 0"),
+}
+
+
+def dirty_select(dirt: Dirt, columns: list[str], second: bool = False) -> list[str]:
+    """The select list of a dirty table: ``expression AS column``."""
+    exprs = dirt.columns | (dirt.second if second else {})
+    return [f"{exprs.get(c, c)} AS {c}" for c in columns]
+
+
+def dirty_table(df: DataFrame, name: str) -> DataFrame:
+    dirt = DIRT[name]
+    out = df.selectExpr(*dirty_select(dirt, df.columns))
+    if dirt.repeat:
+        out = out.unionByName(df.where(dirt.repeat).selectExpr(*dirty_select(dirt, df.columns, second=True)))
+    return out.where(dirt.where) if dirt.where else out
