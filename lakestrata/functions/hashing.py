@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from decimal import Decimal
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _TWO_63 = 2**63
@@ -39,3 +39,17 @@ def fold_int64(dec_sum: Column) -> Column:
     shifted = dec_sum + two63
     folded = F.pmod(shifted, F.lit(Decimal(_TWO_64)).cast("decimal(38,0)")) - two63
     return folded.cast("bigint")
+
+
+def portable_checksum(df: DataFrame, columns: Sequence[str]) -> Column:
+    """Order-independent checksum that any SQL engine can compute: the sum, modulo 2^63 - 1, of the first 60
+    bits of each row's md5 over its columns as text (cents, seconds; ``~`` for NULL). NULL without rows."""
+    def text(name: str) -> Column:
+        kind = df.schema[name].dataType.simpleString()
+        c = F.col(name)
+        as_text = {"double": c.cast("decimal(18,2)").cast("string"), "timestamp_ntz": F.date_format(c, "yyyy-MM-dd HH:mm:ss")}.get(kind, c.cast("string"))
+        return F.coalesce(as_text, F.lit("~"))
+
+    row = F.md5(F.concat_ws("|", *map(text, columns)))
+    number = F.conv(F.substring(row, 1, 15), 16, 10).cast("decimal(38,0)")
+    return F.pmod(F.sum(number), F.lit(Decimal(_TWO_63 - 1)).cast("decimal(38,0)")).cast("bigint")

@@ -6,6 +6,8 @@ agree between the two; technical timestamp columns are never output.
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -13,25 +15,29 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakestrata.operators import quality as dq
-from lakestrata.operators.gold import build_fato_pedidos_itens
-from lakestrata.operators.silver import SILVER_COLUMNS, SILVER_RULES
+from lakestrata.operators.silver import SILVER_COLUMNS, SILVER_RULES, to_silver
 from lakestrata.functions.clean import to_double, to_int, to_ts
-from lakestrata.functions.hashing import checksum_agg, fold_int64, row_hash
+from lakestrata.functions.hashing import portable_checksum
+from lakestrata.operators import gold as gold_ops
 from lakestrata.plans import analytics as qa
+from lakestrata.plans import jobs
 from lakestrata.plans.frames import Layers
-from lakestrata.plans.oracle_sql import GOLD_CTES, R, check_sql, with_ctes
-from lakestrata.specs import CHECKS, ORDER_STATUSES, TABLES, Check
+from lakestrata.plans.oracle_sql import CHECKSUM_SQL, GOLD_CTES, MANIFEST_SQL, MONEY, R, check_sql, suite_sql, with_ctes
+from lakestrata.session import checkpoint_dir, materialize
+from lakestrata.sources import landing, layers
+from lakestrata.sources.layers import schema_strings
+from lakestrata.specs import CHECKS, ORDER_STATUSES, TABLES, Check, table_spec
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
-def register(name: str, sql: str | None):
+def register(name: str, sql: str | None, dirty: bool = False):
     def deco(fn: Query) -> Query:
         QUERIES[name] = fn
         if sql is not None:
-            ORACLES[name] = with_ctes(sql)
+            ORACLES[name] = with_ctes(sql, dirty)
         return fn
     return deco
 
@@ -51,9 +57,9 @@ for _t in SILVER_RULES:
 
 # ------------------------------------------------------------------------------- Gold (GLD-1..7)
 
-def _gold_query(name: str) -> Query:
+def _gold_query(name: str, dirty: bool = False) -> Query:
     def q(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return Layers(spark, sf_dir).gold(name)
+        return Layers(spark, sf_dir, dirty).gold(name)
     q.__name__ = f"gold_{name}"
     return q
 
@@ -62,23 +68,28 @@ for _g in GOLD_CTES:
     _name = _g[len("gold_"):]
     register(_g, f"SELECT * FROM {_g}")(_gold_query(_name))
 
+# over tables with repeated keys, NULL and unparsable dates, and items without an order
+for _name in ("dim_cliente", "dim_vendedor", "dim_tempo", "fato_pedidos_itens"):
+    register(f"gold_dirty_{_name}", f"SELECT * FROM gold_{_name}", dirty=True)(_gold_query(_name, dirty=True))
+
 
 # ----------------------------------------------------------------------------- queries (QRY-*)
 
 @register("q_revenue_by_state", f"""
-SELECT d.customer_state, {R('sum(f.price)', 2)} AS receita
-FROM gold_fato_pedidos_itens f JOIN gold_dim_cliente d ON f.customer_id = d.customer_id
-GROUP BY d.customer_state ORDER BY receita DESC, d.customer_state LIMIT 5""")
+SELECT *, CAST(row_number() OVER (ORDER BY receita DESC, customer_state) AS INTEGER) AS posicao FROM (
+  SELECT d.customer_state, {MONEY('f.price')} AS receita
+  FROM gold_fato_pedidos_itens f JOIN gold_dim_cliente d ON f.customer_id = d.customer_id
+  GROUP BY d.customer_state ORDER BY receita DESC, d.customer_state LIMIT 5)""")
 def q_revenue_by_state(spark, sf_dir):
     L = Layers(spark, sf_dir)
     return qa.revenue_by_state(L.gold("fato_pedidos_itens"), L.gold("dim_cliente"), k=5)
 
 
 @register("q_ticket_by_state", f"""
-SELECT d.customer_state, {R('sum(f.price)', 2)} AS receita,
-       {R(R('sum(f.price)', 2) + ' / count(*)', 2)} AS ticket_medio_item,
+SELECT d.customer_state, {MONEY('f.price')} AS receita,
+       {R(MONEY('f.price') + ' / count(*)', 2)} AS ticket_medio_item,
        count(DISTINCT f.order_id) AS pedidos, count(*) AS itens,
-       {R(R('sum(f.price)', 2) + ' / count(DISTINCT f.order_id)', 2)} AS receita_por_pedido
+       {R(MONEY('f.price') + ' / count(DISTINCT f.order_id)', 2)} AS receita_por_pedido
 FROM gold_fato_pedidos_itens f JOIN gold_dim_cliente d ON f.customer_id = d.customer_id
 GROUP BY d.customer_state""")
 def q_ticket_by_state(spark, sf_dir):
@@ -87,8 +98,8 @@ def q_ticket_by_state(spark, sf_dir):
 
 
 @register("q_revenue_by_category", f"""
-SELECT p.product_category_name, p.product_category_name_english, {R('sum(f.price)', 2)} AS receita,
-       {R(R('sum(f.price)', 2) + ' / count(*)', 2)} AS ticket_medio_item, count(DISTINCT f.order_id) AS pedidos, count(*) AS itens
+SELECT p.product_category_name, p.product_category_name_english, {MONEY('f.price')} AS receita,
+       {R(MONEY('f.price') + ' / count(*)', 2)} AS ticket_medio_item, count(DISTINCT f.order_id) AS pedidos, count(*) AS itens
 FROM gold_fato_pedidos_itens f JOIN gold_dim_produto p ON f.product_id = p.product_id
 GROUP BY p.product_category_name, p.product_category_name_english""")
 def q_revenue_by_category(spark, sf_dir):
@@ -97,8 +108,8 @@ def q_revenue_by_category(spark, sf_dir):
 
 
 @register("q_revenue_by_period", f"""
-SELECT t.ano, t.trimestre, t.mes, {R('sum(f.price)', 2)} AS receita, count(DISTINCT f.order_id) AS pedidos,
-       count(*) AS itens, {R(R('sum(f.price)', 2) + ' / count(DISTINCT f.order_id)', 2)} AS receita_por_pedido
+SELECT t.ano, t.trimestre, t.mes, {MONEY('f.price')} AS receita, count(DISTINCT f.order_id) AS pedidos,
+       count(*) AS itens, {R(MONEY('f.price') + ' / count(DISTINCT f.order_id)', 2)} AS receita_por_pedido
 FROM gold_fato_pedidos_itens f JOIN gold_dim_tempo t ON f.data_pedido = t.data
 GROUP BY t.ano, t.trimestre, t.mes""")
 def q_revenue_by_period(spark, sf_dir):
@@ -114,7 +125,7 @@ SELECT count(*) AS pedidos, count(entregue_com_atraso) AS pedidos_entregues,
 FROM (SELECT DISTINCT order_id, prazo_entrega_dias, atraso_entrega_dias, entregue_com_atraso
       FROM gold_fato_pedidos_itens)""")
 def q_delivery_kpis(spark, sf_dir):
-    return qa.delivery_kpis(Layers(spark, sf_dir).gold("fato_pedidos_itens"))
+    return qa.delivery_kpis(Layers(spark, sf_dir).order_grain())
 
 
 @register("q_score_by_delay", f"""
@@ -126,12 +137,12 @@ JOIN (SELECT DISTINCT order_id, entregue_com_atraso FROM gold_fato_pedidos_itens
 GROUP BY 1""")
 def q_score_by_delay(spark, sf_dir):
     L = Layers(spark, sf_dir)
-    return qa.score_by_delay(L.gold("fato_avaliacoes"), L.gold("fato_pedidos_itens"))
+    return qa.score_by_delay(L.gold("fato_avaliacoes"), L.order_grain())
 
 
 @register("q_payment_mix", f"""
 SELECT payment_type, payment_installments, count(*) AS pagamentos, count(DISTINCT order_id) AS pedidos,
-       {R('sum(payment_value)', 2)} AS valor_total
+       {MONEY('payment_value')} AS valor_total
 FROM gold_fato_pagamentos GROUP BY payment_type, payment_installments""")
 def q_payment_mix(spark, sf_dir):
     return qa.payment_mix(Layers(spark, sf_dir).gold("fato_pagamentos"))
@@ -175,7 +186,8 @@ def q_undelivered_share(spark, sf_dir):
 
 
 @register("q_score_histogram", """
-SELECT review_score, count(*) AS avaliacoes FROM silver_reviews GROUP BY review_score""")
+SELECT review_score, count(*) AS avaliacoes, CAST(row_number() OVER (ORDER BY review_score NULLS FIRST) AS INTEGER) AS posicao
+FROM silver_reviews GROUP BY review_score""")
 def q_score_histogram(spark, sf_dir):
     return qa.score_histogram(Layers(spark, sf_dir).silver("reviews"))
 
@@ -229,7 +241,7 @@ def _relation(L: Layers, rel: str) -> DataFrame:
     if rel == "gold_fato_itens_dup_header":
         orders = L.silver("orders")
         dup = orders.unionByName(orders.where(F.col("order_status") == "created"))
-        return build_fato_pedidos_itens({"orders": dup, "items": L.silver("items")})
+        return gold_ops.build("fato_pedidos_itens", {"orders": dup, "items": L.silver("items")})
     layer, _, name = rel.partition("_")
     return {"raw": L.raw, "silver": L.silver, "gold": L.gold}[layer](name)
 
@@ -241,12 +253,21 @@ def _ref_rel(c: Check) -> str:
 Report = list[tuple[str, str, str, list[Check]]]
 
 
-def _report_frame(spark: SparkSession, sf_dir: str, report: Report) -> DataFrame:
-    L = Layers(spark, sf_dir)
+def _report_frame(spark: SparkSession, sf_dir: str, report: Report, dirty: bool = False) -> DataFrame:
+    """Relations that are joined or grouped are written once below the checkpoint folder, and every check
+    reads that copy: the same files that a layer job would check."""
+    L = Layers(spark, sf_dir, dirty)
+    made: dict[str, DataFrame] = {}
+
+    def relation(rel: str) -> DataFrame:
+        if rel not in made:
+            made[rel] = materialize(_relation(L, rel), rel) if rel.startswith("gold_fato_") else _relation(L, rel)
+        return made[rel]
+
     parts = []
     for layer, table, rel, checks in report:
-        refs = {f"{c.ref_layer}/{c.ref_table}": _relation(L, _ref_rel(c)) for c in checks if c.ref_table}
-        frame = dq.check_frame(_relation(L, rel), checks, layer, table, refs)
+        refs = {f"{c.ref_layer}/{c.ref_table}": relation(_ref_rel(c)) for c in checks if c.ref_table}
+        frame = dq.check_frame(relation(rel), checks, layer, table, refs)
         parts.append(frame.select("layer", "table_name", "check", "passed", "violations"))
     return reduce(DataFrame.unionByName, parts)
 
@@ -257,11 +278,11 @@ def _report_sql(report: Report) -> str:
         for layer, table, rel, checks in report for c in checks)
 
 
-def _register_report(name: str, report: Report) -> None:
+def _register_report(name: str, report: Report, sql: str | None = None, dirty: bool = False) -> None:
     def q(spark, sf_dir):
-        return _report_frame(spark, sf_dir, report)
+        return _report_frame(spark, sf_dir, report, dirty)
     q.__name__ = name
-    register(name, _report_sql(report))(q)
+    register(name, sql or _report_sql(report), dirty)(q)
 
 
 _nn = lambda *cols: [Check("not_null", (c,)) for c in cols]
@@ -316,6 +337,7 @@ _register_report("dq_referential", [
         Check("referential", ("seller_id",), ref_table="sellers"),
         Check("referential", ("customer_id",), ref_table="customers"),
         Check("referential", ("data_pedido",), ref_table="dim_tempo", ref_layer="gold", ref_column="data"),
+        Check("referential", ("order_id",), ref_table="reviews"),
     ]),
     ("gold", "fato_avaliacoes", "gold_fato_avaliacoes", [Check("referential", ("order_id",), ref_table="items")]),
 ])
@@ -325,75 +347,176 @@ _register_report("dq_cast_audit", [
     ("bronze", t, f"raw_{t}", [Check("cast_audit", (c,), cast_type=_CAST_TYPES[f])
                                for c, f in rules.items() if f in _CAST_TYPES])
     for t, rules in SILVER_RULES.items() if any(f in _CAST_TYPES for f in rules.values())
-])
+], dirty=True)
+
+# the declared suites over the faulty tables; their oracles list the 55 checks on their own
+for _layer, _prefix in (("bronze", "raw"), ("silver", "silver"), ("gold", "gold")):
+    _register_report(f"dq_suite_{_layer}", [(_layer, t, f"{_prefix}_{t}", checks) for t, checks in CHECKS[_layer].items()],
+                     suite_sql(_layer), dirty=True)
+
 
-_register_report("dq_suite_bronze", [
-    ("bronze", t, f"raw_{t}", checks) for t, checks in CHECKS["bronze"].items()])
-_register_report("dq_suite_silver", [
-    ("silver", t, f"silver_{t}", checks) for t, checks in CHECKS["silver"].items()])
-_register_report("dq_suite_gold", [
-    ("gold", t, f"gold_{t}", checks) for t, checks in CHECKS["gold"].items()])
+@register("dq_accepted_values_offenders", """
+SELECT 'silver' AS layer, 'customers' AS table_name, 'accepted_values:customer_city' AS "check", customer_city AS value, count(*) AS rows
+FROM silver_customers WHERE customer_city NOT IN ('city of brazil', 'city of france') GROUP BY customer_city
+UNION ALL
+SELECT 'silver', 'orders', 'accepted_values:order_status', order_status, count(*) FROM silver_orders
+WHERE order_status NOT IN ('delivered', 'shipped', 'canceled', 'unavailable', 'invoiced', 'processing', 'created', 'approved') GROUP BY order_status
+""", dirty=True)
+def dq_accepted_values_offenders(spark, sf_dir):
+    L = Layers(spark, sf_dir, dirty=True)
+    cities = Check("accepted_values", ("customer_city",), values=("city of brazil", "city of france"))
+    return dq.offenders(L.silver("customers"), [cities], "silver", "customers").unionByName(
+        dq.offenders(L.silver("orders"), CHECKS["silver"]["orders"], "silver", "orders"))
 
 
 # ------------------------------------------------------------------ checksum and manifest (DQ-10, SNK-3)
 
-def _checksum_report(t: str, df: DataFrame, cols: list[str]) -> DataFrame:
-    """Checksum of the table, of a re-partitioned copy and of a copy with one column edited.
-
-    The original and the edited copy hash the same rows, so one aggregate over one scan gives both;
-    the re-partitioned copy (the row hashes, hash-partitioned into the session's shuffle partitions)
-    is a second aggregate. The two one-row results are tagged, unioned and folded by one more
-    aggregate, so the comparison stays inside the plan."""
-    first = cols[0]
-    edited = [F.concat(F.col(c).cast("string"), F.lit("x")) if c == first else F.col(c) for c in cols]
-    same_scan = df.agg(checksum_agg(cols).alias("a"), checksum_agg(edited).alias("c"),
-                       F.count(F.lit(1)).alias("linhas")).withColumn("b", F.lit(None).cast("bigint"))
-    # a row's hash depends on that row alone, so the re-partitioned copy moves only the 8-byte hash,
-    # not the table's columns; what is checked is that the sum ignores how rows are partitioned
-    hashed = df.select(row_hash(cols).alias("_h"))
-    reshuffled = (hashed.repartition("_h").agg(fold_int64(F.sum(F.col("_h").cast("decimal(38,0)"))).alias("b"))
-                    .select(F.lit(None).cast("bigint").alias("a"), F.lit(None).cast("bigint").alias("c"),
-                            F.lit(None).cast("bigint").alias("linhas"), "b"))
-    folded = same_scan.unionByName(reshuffled).agg(*[F.max(c).alias(c) for c in ("a", "b", "c", "linhas")])
-    return folded.select(
-        F.lit(t).alias("table_name"), "linhas",
-        F.coalesce(F.col("a") == F.col("b"), F.lit(False)).alias("igual_apos_embaralhar"),
-        F.coalesce(F.col("a") != F.col("c"), F.lit(False)).alias("muda_apos_edicao"))
-
-
-@register("dq_checksum", "\nUNION ALL\n".join(
-    f"SELECT '{t}' AS table_name, count(*) AS linhas, true AS igual_apos_embaralhar, "
-    f"true AS muda_apos_edicao FROM silver_{t}" for t in SILVER_RULES))
+@register("dq_checksum", CHECKSUM_SQL)
 def dq_checksum(spark, sf_dir):
+    """Rows and portable checksum of every Silver table, one aggregate over one scan each."""
     L = Layers(spark, sf_dir)
     return reduce(DataFrame.unionByName, [
-        _checksum_report(t, L.silver(t).select(*SILVER_COLUMNS[t]), SILVER_COLUMNS[t]) for t in SILVER_RULES])
+        L.silver(t).agg(F.count(F.lit(1)).alias("linhas"), portable_checksum(L.silver(t), SILVER_COLUMNS[t]).alias("checksum"))
+        .select(F.lit(t).alias("table_name"), "linhas", "checksum") for t in SILVER_RULES])
+
+
+@register("dq_manifest", MANIFEST_SQL)
+def dq_manifest(spark, sf_dir):
+    """What the audit row of each Silver table says about its columns, of a table that was written."""
+    L = Layers(spark, sf_dir)
+    parts = []
+    for t in SILVER_RULES:
+        written = materialize(L.silver(t).select(*SILVER_COLUMNS[t]), f"manifest-{t}")
+        parts.append(written.agg(F.count(F.lit(1)).alias("linhas")).select(
+            F.lit("silver").alias("layer"), F.lit(t).alias("table_name"), "linhas", F.lit(",".join(schema_strings(written))).alias("colunas")))
+    return reduce(DataFrame.unionByName, parts)
 
 
-def _manifest_columns(df: DataFrame) -> str:
-    return ",".join(f"{f.name}:{f.dataType.simpleString()}" for f in df.schema.fields)
+# ------------------------------------------------------------------ landing and jobs, over written files
+# Each query makes a landing zone and a lake below the session's checkpoint folder.
 
+RUN_TS = dt.datetime(2024, 3, 1, 12, 0, 0)
+_LANDED = ("customers", "sellers", "geolocation")
 
-def _manifest_sql() -> str:
-    # column lists are fixed by the Silver rules; the oracle states them as literals
-    def typ(f):
-        return {"to_int": "int", "to_double": "double", "to_ts": "timestamp_ntz"}.get(f.__name__, "string")
 
-    rows = []
-    for t, rules in SILVER_RULES.items():
-        cols = ",".join(f"{c}:{typ(f)}" for c, f in rules.items())
-        rows.append(f"SELECT 'silver' AS layer, '{t}' AS table_name, count(*) AS linhas, '{cols}' AS colunas "
-                    f"FROM silver_{t}")
-    return "\nUNION ALL\n".join(rows)
+def _zone(spark: SparkSession) -> jobs.LakePaths:
+    root = f"{checkpoint_dir(spark).rstrip('/')}/lakestrata-zone-{uuid.uuid4().hex}"
+    return jobs.LakePaths(f"{root}/landing", f"{root}/lake")
 
 
-@register("dq_manifest", _manifest_sql())
-def dq_manifest(spark, sf_dir):
+def _land(spark: SparkSession, sf_dir: str, paths: jobs.LakePaths, tables=_LANDED) -> Layers:
+    """Two drops: an older one with other columns and fewer rows, and the newest, written twice."""
     L = Layers(spark, sf_dir)
+    for t in tables:
+        first = L.raw(t).columns[0]
+        jobs.land_tables({t: L.raw(t).where(F.length(first) % 2 == 0).withColumn("antiga", F.lit("x"))}, paths.landing, "2024-01-31")
+    for _ in range(2):
+        jobs.land_tables({t: L.raw(t) for t in tables}, paths.landing, "2024-02-29")
+    return L
+
+
+@register("src_landing_latest", "SELECT * FROM silver_sellers")
+def src_landing_latest(spark, sf_dir):
+    """SRC-1/3, FLT-5: only the newest drop, as strings, through the Silver rule."""
+    paths = _zone(spark)
+    _land(spark, sf_dir, paths, ("sellers",))
+    return to_silver("sellers", landing.read_landing_latest(spark, paths.landing, table_spec("sellers"))[0])
+
+
+@register("sink_landing", """
+SELECT 'sellers' AS table_name, '2024-01-31' AS ingestion_date, CAST(count_if(length(seller_id) % 2 = 0) AS BIGINT) AS linhas, true AS antiga FROM raw_sellers
+UNION ALL SELECT 'sellers', '2024-02-29', count(*), false FROM raw_sellers
+UNION ALL SELECT 'customers', '2024-01-31', CAST(count_if(length(customer_id) % 2 = 0) AS BIGINT), true FROM raw_customers
+UNION ALL SELECT 'customers', '2024-02-29', count(*), false FROM raw_customers""")
+def sink_landing(spark, sf_dir):
+    """SNK-2: a drop that is written again replaces its own date only."""
+    paths = _zone(spark)
+    _land(spark, sf_dir, paths, ("sellers", "customers"))
     parts = []
-    for t in SILVER_RULES:
-        df = L.silver(t).select(*SILVER_COLUMNS[t])
-        parts.append(df.agg(F.count(F.lit(1)).alias("linhas"))
-                     .select(F.lit("silver").alias("layer"), F.lit(t).alias("table_name"), "linhas",
-                             F.lit(_manifest_columns(df)).alias("colunas")))
+    for t in ("sellers", "customers"):
+        for d in landing.landed_dates(spark, paths.landing, t):
+            df = landing.read_landing(spark, paths.landing, table_spec(t), d)
+            parts.append(df.agg(F.count(F.lit(1)).alias("linhas")).select(
+                F.lit(t).alias("table_name"), F.lit(d).alias("ingestion_date"), "linhas", F.lit("antiga" in df.columns).alias("antiga")))
     return reduce(DataFrame.unionByName, parts)
+
+
+@register("src_multiline_rows", """
+SELECT count(*) + 2 * count(review_comment_message) AS linhas_ingenuas, count(*) AS linhas,
+       count(review_comment_message) AS com_comentario FROM raw_reviews""")
+def src_multiline_rows(spark, sf_dir):
+    """SRC-2, QRY-14: reviews with line breaks and quotes inside a field, read by line and as declared."""
+    paths, L = _zone(spark), Layers(spark, sf_dir)
+    text = F.concat(F.lit('first, "quoted"\nsecond\n'), "review_comment_message")
+    jobs.land_tables({"reviews": L.raw("reviews").withColumn("review_comment_message", text)}, paths.landing, "2024-02-29")
+    plain = landing.csv_reader(spark).csv(f"{landing.landing_path(paths.landing, 'reviews')}/ingestion_date=2024-02-29")
+    declared = landing.read_landing(spark, paths.landing, table_spec("reviews"), "2024-02-29")
+    whole = F.col("review_comment_message").contains("second\n")
+    none = F.lit(None).cast("bigint")
+    both = plain.agg(F.count(F.lit(1)).alias("linhas_ingenuas"), F.first(none).alias("linhas"), F.first(none).alias("com_comentario")).unionByName(
+        declared.agg(F.first(none).alias("linhas_ingenuas"), F.count(F.lit(1)).alias("linhas"), F.count_if(whole).alias("com_comentario")))
+    return both.agg(*(F.max(c).alias(c) for c in both.columns))
+
+
+def _run_layers(spark: SparkSession, sf_dir: str) -> jobs.LakePaths:
+    """landing -> bronze -> silver -> gold for three tables and two dimensions, gated."""
+    paths = _zone(spark)
+    _land(spark, sf_dir, paths)
+    for layer, tables in (("bronze", _LANDED), ("silver", _LANDED), ("gold", ("dim_cliente", "dim_vendedor"))):
+        outcomes = jobs.run_layer(spark, paths, layer, tables, run_id=f"run-{layer}", run_ts=RUN_TS, log=None)
+        if not all(o.published for o in outcomes):
+            raise jobs.LayerGateError(layer, outcomes)
+    return paths
+
+
+@register("job_audit", "\nUNION ALL\n".join(
+    f"SELECT '{layer}' AS layer, '{t}' AS table_name, count(*) AS rows, '{cols}' AS columns, {n} AS checks, true AS passed, true AS published, "
+    f"{day} AS source_partition FROM {rel}"
+    for layer, t, rel, n, day, cols in (
+        ("bronze", "customers", "raw_customers", 1, "'2024-02-29'",
+         "customer_id:string,customer_unique_id:string,customer_zip_code_prefix:string,customer_city:string,customer_state:string,data_processamento_bronze:timestamp"),
+        ("silver", "geolocation", "silver_geolocation", 1, "NULL",
+         "geolocation_zip_code_prefix:string,geolocation_lat:double,geolocation_lng:double,geolocation_city:string,geolocation_state:string,data_processamento_bronze:timestamp,dt_criacao_silver:timestamp"),
+        ("gold", "dim_vendedor", "gold_dim_vendedor", 1, "NULL",
+         "seller_id:string,seller_zip_code_prefix:string,seller_city:string,seller_state:string,dt_criacao_gold:timestamp"),
+    )))
+def job_audit(spark, sf_dir):
+    """SNK-3, JOB-1..3: the audit rows of a whole run, read back."""
+    audit = layers.read_audit(spark, _run_layers(spark, sf_dir).lake)
+    wanted = F.concat_ws("/", "layer", "table_name").isin("bronze/customers", "silver/geolocation", "gold/dim_vendedor")
+    return audit.where(wanted).select("layer", "table_name", "rows", F.array_join("columns", ",").alias("columns"),
+                                      F.size("checks").alias("checks"), "passed", "published", "source_partition")
+
+
+@register("job_layers", "SELECT *, TIMESTAMP '2024-03-01 12:00:00' AS dt_criacao_gold FROM gold_dim_cliente")
+def job_layers(spark, sf_dir):
+    """SRC-4, SNK-1, PRJ-4, JOB-4: a published dimension, with the run's stamp."""
+    dim = layers.read_layer(spark, _run_layers(spark, sf_dir).lake, "gold", "dim_cliente")
+    return dim.withColumn("dt_criacao_gold", F.col("dt_criacao_gold").cast("timestamp_ntz"))
+
+
+@register("src_layers", "\nUNION ALL\n".join(f"SELECT '{t}' AS table_name, count(*) AS linhas, {n} AS colunas FROM silver_{t}" for t, n in (
+    ("customers", 7), ("sellers", 6), ("geolocation", 7))))
+def src_layers(spark, sf_dir):
+    """SRC-5: several tables of a layer at once."""
+    silver = layers.read_layers(spark, _run_layers(spark, sf_dir).lake, "silver", _LANDED)
+    return reduce(DataFrame.unionByName, [
+        df.agg(F.count(F.lit(1)).alias("linhas")).select(F.lit(t).alias("table_name"), "linhas", F.lit(len(df.columns)).alias("colunas"))
+        for t, df in silver.items()])
+
+
+@register("dq_run_comparison", """
+WITH n AS (SELECT count(*) AS c FROM silver_sellers)
+SELECT 1 AS run, true AS passed, true AS published, c AS rows, CAST(NULL AS BIGINT) AS previous_rows, CAST(NULL AS BOOLEAN) AS unchanged FROM n
+UNION ALL SELECT 2, false, false, c + 1, c, false FROM n
+UNION ALL SELECT 3, true, true, c, c, true FROM n
+UNION ALL SELECT 4, true, true, (SELECT count(*) FROM silver_sellers WHERE seller_state <> 'BRAZIL'), c,
+  (SELECT count(*) FROM silver_sellers WHERE seller_state = 'BRAZIL') = 0 FROM n""")
+def dq_run_comparison(spark, sf_dir):
+    """DQ-11: a failed run is compared with the published one before it, and no later run with it."""
+    paths, good = _zone(spark), Layers(spark, sf_dir).silver("sellers")
+    nobody = good.limit(1).withColumn("seller_id", F.lit(None).cast("string"))
+    for i, df in enumerate((good, good.unionByName(nobody), good, good.where("seller_state <> 'BRAZIL'")), 1):
+        jobs.stage_validate_publish(spark, paths, "silver", "sellers", df, f"{i}", log=None)
+    runs = layers.compare_runs(layers.read_audit(spark, paths.lake))
+    return runs.select(F.col("run_id").cast("int").alias("run"), "passed", "published", "rows", "previous_rows", "unchanged")

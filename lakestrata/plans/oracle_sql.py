@@ -8,6 +8,8 @@ Spark's types; DuckDB's ``dayofweek`` is 0-based (Sunday = 0), Spark's is 1-base
 
 from __future__ import annotations
 
+from lakestrata.operators.silver import SILVER_COLUMNS
+from lakestrata.sources.adapter import DIRT, dirty_select
 from lakestrata.specs import Check
 
 RAW_CTES = {
@@ -27,14 +29,14 @@ SELECT ' ' || o_orderkey AS order_id, o_custkey || ' ' AS customer_id,
 FROM orders LEFT JOIN (SELECT l_orderkey, max(l_shipdate) AS mx FROM lineitem GROUP BY l_orderkey) s
   ON o_orderkey = l_orderkey""",
     "raw_items": """
-SELECT l_orderkey || ' ' AS order_id,
-       '' || row_number() OVER (PARTITION BY l_orderkey
-                                ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS order_item_id,
+SELECT l_orderkey || ' ' AS order_id, '' || l_linenumber AS order_item_id,
        ' ' || l_partkey AS product_id, ' ' || l_suppkey AS seller_id,
        CAST(l_shipdate AS VARCHAR) AS shipping_limit_date,
        CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR) AS price,
        CAST(CAST(l_tax * 100 AS DECIMAL(18,2)) AS VARCHAR) AS freight_value
-FROM lineitem""",
+FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
+                                   ORDER BY l_partkey, l_suppkey, l_extendedprice, l_tax, l_shipdate) AS rn FROM lineitem)
+WHERE rn = 1""",
     "raw_payments": """
 SELECT l_orderkey || ' ' AS order_id,
        '' || row_number() OVER (PARTITION BY l_orderkey ORDER BY l_returnflag) AS payment_sequential,
@@ -173,16 +175,35 @@ SELECT * FROM silver_orders UNION ALL SELECT * FROM silver_orders WHERE order_st
 ALL_CTES = {**RAW_CTES, **SILVER_CTES, **GOLD_CTES, **DEFECT_CTES}
 
 
-def with_ctes(body: str) -> str:
-    """Prefix ``body`` with every layer CTE (DuckDB skips the unused ones); a body that starts with
-    its own ``WITH`` continues the list."""
-    ctes = ",\n".join(f"{name} AS ({sql.strip()}\n)" for name, sql in ALL_CTES.items())
+def _dirty_ctes() -> dict[str, str]:
+    """The raw tables with the faults of FIXTURES.md part C, over the clean ones."""
+    out = {}
+    for name, sql in RAW_CTES.items():
+        table = name.removeprefix("raw_")
+        dirt, columns = DIRT[table], SILVER_COLUMNS[table]
+        rows = f"SELECT {', '.join(dirty_select(dirt, columns))} FROM clean_{table}"
+        if dirt.repeat:
+            rows += f" UNION ALL SELECT {', '.join(dirty_select(dirt, columns, second=True))} FROM clean_{table} WHERE {dirt.repeat}"
+        out |= {f"clean_{table}": sql, name: f"SELECT * FROM ({rows}) AS t WHERE {dirt.where}" if dirt.where else rows}
+    return out
+
+
+def with_ctes(body: str, dirty: bool = False) -> str:
+    """Prefix ``body`` with every layer CTE (DuckDB skips the unused ones); a body that starts with its own
+    ``WITH`` continues the list. ``dirty``: over the raw tables with faults."""
+    every = {**_dirty_ctes(), **SILVER_CTES, **GOLD_CTES, **DEFECT_CTES} if dirty else ALL_CTES
+    ctes = ",\n".join(f"{name} AS ({sql.strip()}\n)" for name, sql in every.items())
     body = body.strip()
     if body[:4].upper() == "WITH":
         return f"WITH {ctes},\n{body[4:].lstrip()}"
     return f"WITH {ctes}\n{body}"
 
 
+def MONEY(column: str) -> str:
+    """An exact total of cents, as a double."""
+    return f"CAST(sum(CAST({column} AS DECIMAL(18,2))) AS DOUBLE)"
+
+
 def R(expr: str, digits: int) -> str:
     """Spark's ``round(double, d)``: HALF_UP on the shortest decimal representation of the double.
     DuckDB's own ``round`` works on the binary value and differs at ties (1.005 → 1.0, Spark 1.01)."""
@@ -235,3 +256,94 @@ def check_sql(c: Check, rel: str, layer: str, table: str, ref_rel: str | None =
         raise ValueError(k)
     return (f"SELECT '{layer}' AS layer, '{table}' AS table_name, {_lit(c.name)} AS \"check\", "
             f"CAST({v} AS BIGINT) = 0 AS passed, CAST({v} AS BIGINT) AS violations FROM {src}")
+
+
+# ---- the declared checks, stated here on their own: (table, check name, violation count, source) -------------
+def _null(table: str, *cols: str) -> list[tuple[str, str, str, str]]:
+    return [(table, f"not_null:{c}", f"count_if({c} IS NULL)", "") for c in cols]
+
+
+def _once(table: str, *cols: str) -> tuple[str, str, str, str]:
+    keys = ", ".join(f"coalesce(CAST({c} AS VARCHAR), '~')" for c in cols)
+    return (table, "unique:" + "+".join(cols), f"count(*) - count(DISTINCT ({keys}))", "")
+
+
+def _from_zero(table: str, *cols: str) -> list[tuple[str, str, str, str]]:
+    return [(table, f"range:{c}[0,None]", f"count_if({c} < 0)", "") for c in cols]
+
+
+def _as_many(table: str, source: str) -> tuple[str, str, str, str]:
+    return (table, f"row_count_equals_source:{source}", f"abs(count(*) - (SELECT count(*) FROM silver_{source}))", "")
+
+
+def _known(table: str, col: str, ref: str) -> tuple[str, str, str, str]:
+    return (table, f"referential:{col}->{ref}", "count(*)",
+            f"(SELECT DISTINCT {col} FROM gold_{table} EXCEPT SELECT {col} FROM silver_{ref} WHERE {col} IS NOT NULL)")
+
+
+_STATUS = "'delivered', 'shipped', 'canceled', 'unavailable', 'invoiced', 'processing', 'created', 'approved'"
+_ITEMS = "fato_pedidos_itens"
+SUITES: dict[str, list[tuple[str, str, str, str]]] = {
+    "bronze": [(t, "row_count_min>=1", "CASE WHEN count(*) >= 1 THEN 0 ELSE 1 END", "") for t in (
+        "customers", "orders", "items", "payments", "reviews", "products", "sellers", "geolocation", "category_name")],
+    "silver": [
+        *_null("customers", "customer_id", "customer_unique_id"), _once("customers", "customer_id"),
+        *_null("orders", "order_id", "customer_id"), _once("orders", "order_id"),
+        ("orders", "accepted_values:order_status", f"count_if(order_status NOT IN ({_STATUS}))", ""),
+        *_null("items", "order_id", "product_id", "seller_id"), _once("items", "order_id", "order_item_id"),
+        *_from_zero("items", "price", "freight_value"),
+        *_null("payments", "order_id", "payment_type"), *_from_zero("payments", "payment_value"),
+        *_null("reviews", "review_id", "order_id"),
+        ("reviews", "range:review_score[1,5]", "count_if(review_score < 1 OR review_score > 5)", ""),
+        *_null("products", "product_id"), _once("products", "product_id"),
+        *_null("sellers", "seller_id"), _once("sellers", "seller_id"),
+        *_null("geolocation", "geolocation_zip_code_prefix"), *_null("category_name", "product_category_name"),
+    ],
+    "gold": [
+        _once("dim_cliente", "customer_id"), _once("dim_produto", "product_id"), _once("dim_vendedor", "seller_id"), _once("dim_tempo", "data"),
+        *_null(_ITEMS, "order_id", "product_id", "seller_id", "customer_id"), _once(_ITEMS, "order_id", "order_item_id"),
+        *_from_zero(_ITEMS, "price", "freight_value"), _as_many(_ITEMS, "items"),
+        _known(_ITEMS, "product_id", "products"), _known(_ITEMS, "seller_id", "sellers"), _known(_ITEMS, "customer_id", "customers"),
+        *_null("fato_pagamentos", "order_id"), *_from_zero("fato_pagamentos", "payment_value"), _as_many("fato_pagamentos", "payments"),
+        *_null("fato_avaliacoes", "order_id"),
+        ("fato_avaliacoes", "range:review_score[1,5]", "count_if(review_score < 1 OR review_score > 5)", ""), _as_many("fato_avaliacoes", "reviews"),
+    ],
+}
+
+
+def suite_sql(layer: str) -> str:
+    prefix = "raw" if layer == "bronze" else layer
+    return "\nUNION ALL\n".join(
+        f"SELECT '{layer}' AS layer, '{table}' AS table_name, '{name}' AS \"check\", CAST(coalesce({count}, 0) AS BIGINT) = 0 AS passed, "
+        f"CAST(coalesce({count}, 0) AS BIGINT) AS violations FROM {source or f'{prefix}_{table}'}" for table, name, count, source in SUITES[layer])
+
+
+# ---- the columns of Silver, stated here on their own ---------------------------------------------------------
+MANIFEST = {
+    "customers": "customer_id:string,customer_unique_id:string,customer_zip_code_prefix:string,customer_city:string,customer_state:string",
+    "orders": "order_id:string,customer_id:string,order_status:string,order_purchase_timestamp:timestamp_ntz,order_approved_at:timestamp_ntz,"
+              "order_delivered_carrier_date:timestamp_ntz,order_delivered_customer_date:timestamp_ntz,order_estimated_delivery_date:timestamp_ntz",
+    "items": "order_id:string,order_item_id:int,product_id:string,seller_id:string,shipping_limit_date:timestamp_ntz,price:double,freight_value:double",
+    "payments": "order_id:string,payment_sequential:int,payment_type:string,payment_installments:int,payment_value:double",
+    "reviews": "review_id:string,order_id:string,review_score:int,review_comment_title:string,review_comment_message:string,"
+               "review_creation_date:timestamp_ntz,review_answer_timestamp:timestamp_ntz",
+    "products": "product_id:string,product_category_name:string,product_name_lenght:int,product_description_lenght:int,product_photos_qty:int,"
+                "product_weight_g:double,product_length_cm:double,product_height_cm:double,product_width_cm:double",
+    "sellers": "seller_id:string,seller_zip_code_prefix:string,seller_city:string,seller_state:string",
+    "geolocation": "geolocation_zip_code_prefix:string,geolocation_lat:double,geolocation_lng:double,geolocation_city:string,geolocation_state:string",
+    "category_name": "product_category_name:string,product_category_name_english:string",
+}
+MANIFEST_SQL = "\nUNION ALL\n".join(
+    f"SELECT 'silver' AS layer, '{t}' AS table_name, count(*) AS linhas, '{cols}' AS colunas FROM silver_{t}" for t, cols in MANIFEST.items())
+
+
+def _portable(column: str) -> str:
+    name, kind = column.split(":")
+    text = {"double": f"CAST(CAST({name} AS DECIMAL(18,2)) AS VARCHAR)", "timestamp_ntz": f"strftime({name}, '%Y-%m-%d %H:%M:%S')"}.get(
+        kind, f"CAST({name} AS VARCHAR)")
+    return f"coalesce({text}, '~')"
+
+
+CHECKSUM_SQL = "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, count(*) AS linhas, CAST(sum(CAST(('0x' || substr(md5(concat_ws('|', {', '.join(map(_portable, cols.split(',')))})), 1, 15)) "
+    f"AS BIGINT)) % 9223372036854775807 AS BIGINT) AS checksum FROM silver_{t}" for t, cols in MANIFEST.items())

@@ -9,13 +9,13 @@ On a cluster without an explicit shuffle-partition count, the count is sized fro
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_CONF = "spark.checkpoint.dir"
+_WRITTEN: dict[str, list[str]] = {}
 
 
 def get_session(master: str | None = None, app: str = "lakestrata", shuffle_partitions: int | None = None,
@@ -36,7 +36,6 @@ def get_session(master: str | None = None, app: str = "lakestrata", shuffle_part
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256m",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
         "spark.sql.files.maxPartitionBytes": "128m",
-        "spark.sql.sources.partitionOverwriteMode": "dynamic",
     }
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
@@ -96,9 +95,16 @@ def materialize(df: DataFrame, tag: str = "stage") -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/lakestrata-{tag}-{uuid.uuid4().hex}"
+    _WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
-def default_parallelism_hint() -> int:
-    return int(os.environ.get("BENCH_CPUS", os.cpu_count() or 8))
+def drop_materialized(spark: SparkSession) -> int:
+    """Delete the tables that :func:`materialize` wrote for this application, once their results have been
+    used; returns how many there were."""
+    paths = _WRITTEN.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    return len(paths)

@@ -7,11 +7,9 @@ import pytest
 
 import __spark_entry__ as entry
 from conftest import SMALL_SF
+from lakestrata.plans.catalog import ORACLES, QUERIES
 from tools.check_oracles import compare, duck
 
-QUERIES = entry.queries()
-ORACLES = entry.oracle_sql()
-
 
 @pytest.fixture(scope="module")
 def con():
@@ -45,4 +43,11 @@ def test_scans_are_pruned(spark):
 
 def test_entry_has_rows(spark):
     df = entry.entry(spark)
-    assert df.columns == ["customer_state", "receita"] and df.count() == 5
+    assert df.columns == ["customer_state", "receita", "posicao"] and df.count() == 5
+
+
+@pytest.mark.parametrize("layer", ["bronze", "silver", "gold"])
+def test_suites_find_something(con, layer):
+    rows = con.sql(ORACLES[f"dq_suite_{layer}"]).fetchall()
+    assert len(rows) == {"bronze": 9, "silver": 25, "gold": 21}[layer]
+    assert any(r[-1] > 0 for r in rows) and any(r[-1] == 0 for r in rows)

@@ -20,3 +20,13 @@ def test_falls_back_to_parallelism_and_never_below_default():
 
 def test_local_session_keeps_its_count(spark):
     assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
+
+
+def test_materialized_tables_can_be_dropped(spark):
+    import os
+    from lakestrata.session import drop_materialized, materialize
+    drop_materialized(spark)
+    df = materialize(spark.range(5), "drop-test")
+    path = os.path.dirname(df.inputFiles()[0].replace("file://", "").replace("file:", ""))
+    assert df.count() == 5 and os.path.exists(path)
+    assert drop_materialized(spark) == 1 and not os.path.exists(path)
