@@ -3,9 +3,9 @@
 Every function takes the frames it needs (never paths) and returns a lazy DataFrame. Money is summed as
 decimal, so totals are exact and independent of the order of the rows at any size; results are doubles.
 
-Facts meet dimensions one row per key: the fact is aggregated to the customer (or the order) first, with a
-map-side partial step, so a customer with a third of all items is one row when the join sees it. Questions
-about orders take the order grain (``order_grain`` of the layer frames), which never joins items row by row;
+Facts meet dimensions one row per key: items are added up per order, and orders per customer, with a map-side
+partial step before each join, so an order or a customer with a third of all items is one row when a join sees
+it. Questions about orders take ``order_grain`` and ``order_totals`` of the layer frames;
 the fan-out measurement counts ``sum(items_o * payments_o)`` instead of making the pairs.
 """
 
@@ -39,11 +39,11 @@ def _position(df: DataFrame, *order) -> DataFrame:
 
 
 # QRY-1 -------------------------------------------------------------------------------------------
-def revenue_by_state(fato_itens: DataFrame, dim_cliente: DataFrame, k: int | None = 5) -> DataFrame:
+def revenue_by_state(order_totals: DataFrame, dim_cliente: DataFrame, k: int | None = 5) -> DataFrame:
     """Revenue (sum of item price) by customer state, highest first; top ``k`` (None = all)."""
     if k is not None and k < 0:
         raise ValueError("k must not be negative")
-    by_customer = fato_itens.groupBy("customer_id").agg(_total("price").alias("total"))
+    by_customer = order_totals.groupBy("customer_id").agg(F.sum("total").alias("total"))
     by_state = (by_customer.join(dim_cliente.select("customer_id", "customer_state"), "customer_id")
                 .groupBy("customer_state").agg(F.sum("total").alias("total"))
                 .select("customer_state", _cents(F.col("total")).alias("receita")))
@@ -53,11 +53,10 @@ def revenue_by_state(fato_itens: DataFrame, dim_cliente: DataFrame, k: int | Non
 
 
 # QRY-2 -------------------------------------------------------------------------------------------
-def ticket_by_state(fato_itens: DataFrame, dim_cliente: DataFrame) -> DataFrame:
+def ticket_by_state(order_totals: DataFrame, dim_cliente: DataFrame) -> DataFrame:
     """Revenue, average item price (the published "ticket"), orders, items and revenue per order. An order
     belongs to one customer, so orders add up over customers."""
-    by_order = fato_itens.groupBy("customer_id", "order_id").agg(_total("price").alias("total"), F.count(F.lit(1)).alias("n"))
-    by_customer = by_order.groupBy("customer_id").agg(F.sum("total").alias("total"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("orders"))
+    by_customer = order_totals.groupBy("customer_id").agg(F.sum("total").alias("total"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("orders"))
     by_state = (by_customer.join(dim_cliente.select("customer_id", "customer_state"), "customer_id")
                 .groupBy("customer_state").agg(*(F.sum(c).alias(c) for c in ("total", "n", "orders"))))
     total = F.col("total")

@@ -82,7 +82,7 @@ SELECT *, CAST(row_number() OVER (ORDER BY receita DESC, customer_state) AS INTE
   GROUP BY d.customer_state ORDER BY receita DESC, d.customer_state LIMIT 5)""")
 def q_revenue_by_state(spark, sf_dir):
     L = Layers(spark, sf_dir)
-    return qa.revenue_by_state(L.gold("fato_pedidos_itens"), L.gold("dim_cliente"), k=5)
+    return qa.revenue_by_state(L.order_totals(), L.gold("dim_cliente"), k=5)
 
 
 @register("q_ticket_by_state", f"""
@@ -94,7 +94,7 @@ FROM gold_fato_pedidos_itens f JOIN gold_dim_cliente d ON f.customer_id = d.cust
 GROUP BY d.customer_state""")
 def q_ticket_by_state(spark, sf_dir):
     L = Layers(spark, sf_dir)
-    return qa.ticket_by_state(L.gold("fato_pedidos_itens"), L.gold("dim_cliente"))
+    return qa.ticket_by_state(L.order_totals(), L.gold("dim_cliente"))
 
 
 @register("q_revenue_by_category", f"""

@@ -48,6 +48,10 @@ class Layers:
         """One row per order that has an item, with its delivery measures."""
         return gold_ops.order_grain({s: self.silver(s) for s in ("orders", "items")})
 
+    def order_totals(self) -> DataFrame:
+        """(order_id, customer_id, total, n) of every order that has an item."""
+        return gold_ops.order_totals({s: self.silver(s) for s in ("orders", "items")})
+
 
 class PublishedLayers:
     """The same accessors over a published lake (``{root}/{layer}/{table}`` Parquet): what an analyst
@@ -70,6 +74,9 @@ class PublishedLayers:
     def order_grain(self) -> DataFrame:
         return self.gold("fato_pedidos_itens").select(*ORDER_HEADER.columns, *ORDER_HEADER.after).distinct()
 
+    def order_totals(self) -> DataFrame:
+        return gold_ops.add_up(self.gold("fato_pedidos_itens").groupBy("order_id", "customer_id"))
+
     def gold_between(self, name: str, start: str | dt.date, end: str | dt.date) -> DataFrame:
         """Rows of a dated Gold fact whose date lies in ``[start, end]``. The same range is also put on
         the month layout column, so Spark reads only the matching month directories."""

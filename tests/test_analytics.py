@@ -4,6 +4,7 @@ which the queries themselves never do)."""
 import pandas as pd
 import pytest
 
+from lakestrata.operators import gold
 from lakestrata.plans import analytics as qa
 from lakestrata.plans.frames import Layers
 
@@ -63,14 +64,16 @@ def test_recurring_customers_brute_force(L):
 
 def test_money_is_exact_at_any_size(spark):
     """Cents survive totals beyond what a sum of doubles keeps."""
-    fact = spark.range(1000).selectExpr("'k' AS customer_id", "IF(id = 0, 0.01D, 9999999999999.99D) AS price")
+    items = spark.range(1000).selectExpr("'o' AS order_id", "IF(id = 0, 0.01D, 9999999999999.99D) AS price")
+    orders = spark.createDataFrame([("o", "k")], "order_id string, customer_id string")
+    totals = gold.order_totals({"items": items, "orders": orders})
     dim = spark.createDataFrame([("k", "S")], "customer_id string, customer_state string")
-    total = qa.revenue_by_state(fact, dim).collect()[0]["receita"]
+    total = qa.revenue_by_state(totals, dim).collect()[0]["receita"]
     assert total == float("9989999999999990.02")
 
 
 def test_top_k(L):
-    every = qa.revenue_by_state(L.gold("fato_pedidos_itens"), L.gold("dim_cliente"), k=None).collect()
+    every = qa.revenue_by_state(L.order_totals(), L.gold("dim_cliente"), k=None).collect()
     assert [r["posicao"] for r in every] == list(range(1, len(every) + 1))
-    assert qa.revenue_by_state(L.gold("fato_pedidos_itens"), L.gold("dim_cliente"), k=2).collect() == every[:2]
-    assert qa.revenue_by_state(L.gold("fato_pedidos_itens"), L.gold("dim_cliente"), k=0).collect() == []
+    assert qa.revenue_by_state(L.order_totals(), L.gold("dim_cliente"), k=2).collect() == every[:2]
+    assert qa.revenue_by_state(L.order_totals(), L.gold("dim_cliente"), k=0).collect() == []
