@@ -10,11 +10,12 @@ shingle goes into one given bin, so each coordinate fills for any set; large set
 that two sets at the limit miss each other in all of them with a probability below ``MISS``.
 
 *Verification.* Pairs are confirmed on the full shingle sets. A bucket never gives all its pairs: first its
-centre (the class with most copies) meets the others. Then only classes in different components are left.
-A class whose own shingles (found in no other class that is left) are too many for any link is settled, and
-so are pairs that the sizes or these counts rule out. Of what remains each bucket gives ``CENTRES`` more
-classes against its others, round after round, until no pair in different components is unverified: no
-link is lost, however large the bucket.
+centre (the class that meets most others) meets the rest. Then only classes in different components are left.
+Of their shingles, those that at most ``RARE`` of them have are joined with each other: this counts what every
+pair has in common of these. A pair without any has at most its cores, the other shingles, in common, which
+rules out copies with edits of their own, and classes with a small core altogether. Of what remains each bucket
+gives ``CENTRES`` more classes against its others, round after round, until no pair in different components
+is unverified: no link is lost, however large the bucket.
 
 *Components.* Links are joined by rounds of smallest-label exchange and pointer jumping. Links,
 components and sketches stay in tables; the driver sees counts only.
@@ -41,6 +42,7 @@ SHINGLE, PERCENT = 5, 80
 ROWS = 4
 MISS = 1e-7  # chance that two sets at the limit share no band
 CENTRES = 32
+RARE = 8
 NO_ID = (1 << 63) - 1
 _U = np.uint64
 
@@ -194,22 +196,29 @@ def components(links: DataFrame, scratch: Scratch, tag: str) -> DataFrame:
             scratch.drop(f"{tag}-{step - 2}")
 
 
-def _own_shingles(sets: DataFrame, left: DataFrame) -> DataFrame:
-    """(cls, own): how many of a class's shingles no other class of ``left`` has; none if it has no row."""
+def _rare_shingles(sets: DataFrame, left: DataFrame) -> DataFrame:
+    """(s, cls): the shingles that at most ``RARE`` of the classes ``left`` have, with those classes."""
     each = sets.join(left.select("cls").distinct(), "cls", "left_semi").select("cls", F.explode("shingles").alias("s"))
-    single = each.groupBy("s").agg(F.count("*").alias("c"), F.min("cls").alias("cls")).filter("c = 1")
-    return single.groupBy("cls").agg(F.count("*").alias("own"))
+    few = each.groupBy("s").agg(F.count("*").alias("c")).filter(F.col("c") <= RARE).select("s")
+    return each.join(few, "s")
 
 
-def find_links(members: DataFrame, sets: DataFrame, scratch: Scratch, percent: int) -> DataFrame:
-    """All links (a, b), up to ones inside a component, between classes that share a bucket.
-    ``members``: (bucket, cls, n, copies)."""
+def find_links(members: DataFrame, sets: DataFrame, scratch: Scratch, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(links, labels): all links (a, b), up to ones inside a component, between classes that share a bucket,
+    and the components' (cls, label). ``members``: (bucket, cls, n, copies)."""
     def alike(a: Column, b: Column) -> Column:
         return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
-    centre = members.groupBy("bucket").agg(F.max(F.struct("copies", "cls", "n")).alias("c")).select(
-        "bucket", F.col("c.cls").alias("a"), F.col("c.n").alias("n_a"))
-    centres = scratch.keep(centre, "centres")
+    def may_link(common: Column, a: Column, b: Column) -> Column:
+        """Whether sets of a and b shingles with at most ``common`` common ones can reach the limit."""
+        return (100 + percent) * common >= percent * (a + b)
+
+    # a bucket's centre is the class that meets most others over all its buckets: copies meet their origin
+    # more often than each other
+    sizes = members.groupBy("bucket").agg(F.count("*").alias("size"))
+    meets = members.join(sizes, "bucket").groupBy("cls").agg(F.sum("size").alias("meets"))
+    centre = members.join(meets, "cls").groupBy("bucket").agg(F.max(F.struct("meets", "copies", "cls", "n")).alias("c"))
+    centres = scratch.keep(centre.select("bucket", F.col("c.cls").alias("a"), F.col("c.n").alias("n_a")), "centres")
     pairs = members.join(centres, "bucket").filter((F.col("cls") != F.col("a")) & alike(F.col("n"), F.col("n_a")))
     pairs = pairs.select("a", F.col("cls").alias("b")).distinct()
     links = scratch.keep(verified(pairs, sets, percent), "links-0")
@@ -218,32 +227,50 @@ def find_links(members: DataFrame, sets: DataFrame, scratch: Scratch, percent: i
     while True:
         # classes in buckets that still hold two components, without those that met all others there
         now = left.drop("label").join(labels, "cls", "left").withColumn("label", F.coalesce("label", "cls"))
-        open_buckets = now.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo < hi").select("bucket")
-        now = scratch.keep(now.join(open_buckets, "bucket", "left_semi"), f"left-{step}")
+        now = scratch.keep(_open(now, F.lit(True)), f"open-{step}")
         if not now.limit(1).count():
-            return links
+            return links, labels
         step += 1
+        of_rare = None
         if step == 1:
-            own = scratch.keep(_own_shingles(sets, now), "own")
-            core = F.col("n") - F.coalesce("own", F.lit(0))
-            now = now.join(own, "cls", "left").withColumn("core", core).drop("own")
-            # a link has at most `core` common shingles and a union of at least n
-            now = scratch.keep(now.filter(100 * F.col("core") >= percent * F.col("n")), "alive")
-        size = F.count("*").over(Window.partitionBy("bucket", "label"))
-        order = Window.partitionBy("bucket").orderBy("in_bucket", "label", "cls")
-        ranked = now.withColumn("in_bucket", size).withColumn("rank", F.row_number().over(order))
-        ranked = scratch.keep(ranked, f"ranked-{step}")
-        first = ranked.filter(F.col("rank") <= CENTRES).select("bucket", F.col("cls").alias("a"), F.col("n").alias("n_a"), F.col("core").alias("core_a"),
-                                                               F.col("label").alias("label_a"), F.col("rank").alias("rank_a"))
-        pairs = ranked.join(first, "bucket").filter(
-            (F.col("label") != F.col("label_a")) & (F.col("rank") > F.col("rank_a")) & alike(F.col("n"), F.col("n_a"))
-            & ((100 + percent) * F.least("core", "core_a") >= percent * (F.col("n") + F.col("n_a"))))
-        pairs = pairs.select(F.least("a", "cls").alias("a"), F.greatest("a", "cls").alias("b")).distinct()
+            # pairs with a rare shingle in common are counted out; all others have at most their cores in common
+            rare = scratch.keep(_rare_shingles(sets, now), "rare")
+            cores = now.select("cls", "n", "label").distinct().join(rare.groupBy("cls").agg(F.count("*").alias("rare")), "cls", "left")
+            cores = scratch.keep(cores.select("cls", "n", "label", (F.col("n") - F.coalesce("rare", F.lit(0))).alias("core")), "cores")
+            shared = rare.select("s", F.col("cls").alias("a")).join(rare.select("s", F.col("cls").alias("b")), "s").filter("a < b")
+            shared = shared.groupBy("a", "b").agg(F.count("*").alias("both"))
+            for side in ("a", "b"):
+                shared = shared.join(cores.select(*(F.col(c).alias(f"{c}_{side}" if c != "cls" else side) for c in cores.columns)), side)
+            of_rare = shared.filter((F.col("label_a") != F.col("label_b")) & alike(F.col("n_a"), F.col("n_b"))
+                                    & may_link(F.col("both") + F.least("core_a", "core_b"), F.col("n_a"), F.col("n_b"))).select("a", "b")
+            own = members.groupBy("cls").agg(F.collect_set("bucket").alias("own"))  # as many as there are bands at most
+            now = now.join(cores.select("cls", "core"), "cls").join(own, "cls")
+        # a class whose core is too small for the smallest other one of its bucket is settled there
+        now = scratch.keep(_open(now, may_link(F.col("core"), F.col("n"), F.col("least_n"))), f"left-{step}")
+        size = now.groupBy("bucket", "label").agg(F.count("*").alias("in_bucket"))
+        order = Window.partitionBy("bucket").orderBy("in_bucket", "n", "label", "cls")
+        first = now.join(size, ["bucket", "label"]).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= CENTRES)
+        first = scratch.keep(first.select("bucket", F.col("cls").alias("a"), F.col("n").alias("n_a"), F.col("core").alias("core_a"),
+                                          F.col("label").alias("label_a"), F.col("own").alias("own_a")), f"centres-{step}")
+        pairs = now.join(first, "bucket").filter((F.col("label") != F.col("label_a")) & alike(F.col("n"), F.col("n_a"))
+                                                 & may_link(F.least("core", "core_a"), F.col("n"), F.col("n_a"))
+                                                 # a pair is met in the least of its common buckets only
+                                                 & (F.array_min(F.array_intersect("own", "own_a")) == F.col("bucket")))
+        pairs = pairs.select(F.least("a", "cls").alias("a"), F.greatest("a", "cls").alias("b"))
+        pairs = (pairs if of_rare is None else pairs.union(of_rare)).distinct()
         more = scratch.keep(verified(pairs, sets, percent), f"links-{step}")
         if more.limit(1).count():
             links = links.union(more)
             labels = components(links, scratch, f"round-{step}")
-        left = ranked.filter(F.col("rank") > CENTRES).drop("rank", "in_bucket")
+        left = now.join(first.select("bucket", F.col("a").alias("cls")), ["bucket", "cls"], "left_anti")
+
+
+def _open(now: DataFrame, alive: Column) -> DataFrame:
+    """The rows of ``now`` that are ``alive``, in buckets that hold two components; ``alive`` may use the
+    bucket's ``least_n``."""
+    now = now.drop("least_n", "lo", "hi")
+    of_bucket = now.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.min("n").alias("least_n")).filter("lo < hi")
+    return now.join(of_bucket, "bucket").filter(alive).drop("least_n", "lo", "hi")
 
 
 def near_duplicates(docs: DataFrame, scratch: Scratch, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
@@ -262,8 +289,7 @@ def near_duplicates(docs: DataFrame, scratch: Scratch, *, id_col: str = "doc_id"
     text = rows.join(small(wanted.select(F.col("first_id").alias("id")).distinct()), "id", "left_semi")
     sets = _set_rows(text, shingle).withColumn("cls", _class_key()).dropDuplicates(["cls"]).select("cls", "shingles")
     sets = scratch.keep(sets.join(wanted.select("cls"), "cls", "left_semi"), "sets")
-    links = find_links(members, sets, scratch, percent)
-    labels = components(links, scratch, "all")
+    _, labels = find_links(members, sets, scratch, percent)
     named = classes.select("cls", "first_id").join(labels, "cls", "left").withColumn("label", F.coalesce("label", "cls"))
     # copies first, so that a component of any size is one small row per class
     first = scratch.keep(named.groupBy("label").agg(F.min("first_id").alias("component")), "components")
