@@ -12,10 +12,9 @@ With c target and r raw counts in a bucket and s the target's part of all n-gram
 (c + SMOOTHING) / (s * r + SMOOTHING), where c differs from its expectation s * r by more than
 ``SIGNIFICANT`` standard deviations, and else 1: words that few texts use say nothing.
 
-``HELD_OUT`` percent of the labelled rows are kept from the fit. k is the number of documents times the share
-of these rows that reach the key which ``GOOD_KEPT`` percent of the good ones among them reach. The k-th
-largest key is found by narrowing a histogram: each round returns ``BINS`` counts. Documents that are not
-drawn are rejected.
+``HELD_OUT`` percent of the labelled rows are kept from the fit. Unless k is given, it is the number of documents
+whose key reaches the one that ``GOOD_KEPT`` percent of the good held-out rows reach. The k-th largest key is found
+by narrowing a histogram: each round returns ``BINS`` counts. Documents that are not drawn are rejected.
 
 Defined results: a null or empty text has no n-gram, no weight, and is rejected; rows with equal keys at the
 limit are all kept; a label row counts once per id (good only if no row of the id says otherwise); without
@@ -38,8 +37,8 @@ from lakestrata.llm.words import Words, mix64, word_slices
 
 BUCKETS, CHUNK = 1 << 20, 1 << 10
 MAX_LABELS = 100_000
-SMOOTHING, SIGNIFICANT = 1.0, 4.0
-HELD_OUT, GOOD_KEPT = 20, 99
+SMOOTHING, SIGNIFICANT = 1.0, 3.0
+HELD_OUT, GOOD_KEPT = 20, 98
 TEMPERATURE = 1.0
 BINS = 1024
 SEED = 7
@@ -173,7 +172,7 @@ def _tied(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def fit(docs: DataFrame, labels: DataFrame, scratch: Scratch, *, id_col: str = "doc_id", text_col: str = "text", buckets: int = BUCKETS,
-        max_labels: int = MAX_LABELS, temperature: float = TEMPERATURE, seed: int = SEED) -> tuple[Draw, DataFrame]:
+        max_labels: int = MAX_LABELS, temperature: float = TEMPERATURE, seed: int = SEED, k: int | None = None) -> tuple[Draw, DataFrame]:
     """The draw, and (id, n_words, log_weight, key) of every row of ``docs``."""
     sample = scratch.keep(label_sample(labels, max_labels), "labels")
     tied = _tied(docs, id_col, text_col)
@@ -182,9 +181,11 @@ def fit(docs: DataFrame, labels: DataFrame, scratch: Scratch, *, id_col: str = "
     ratio = log_ratio(count_ngrams(counted, buckets), buckets)
     keys = scratch.keep(weigh(tied, ratio, seed, temperature), "keys")
     held = scratch.keep(keys.join(F.broadcast(sample.filter("held")), "id").filter("key IS NOT NULL"), "held")
-    bar = held.filter("good").agg(F.percentile("key", F.lit(1 - GOOD_KEPT / 100))).first()[0]
-    share = 1.0 if bar is None else held.agg(F.avg((F.col("key") >= F.lit(bar)).cast("int"))).first()[0]
-    return Draw(ratio, kth_largest(keys, round(share * keys.filter("key IS NOT NULL").count())), seed, temperature), keys
+    if k is None:
+        limit = held.filter("good").agg(F.percentile("key", F.lit(1 - GOOD_KEPT / 100))).first()[0]
+    else:
+        limit = kth_largest(keys, k)
+    return Draw(ratio, limit, seed, temperature), keys
 
 
 def resample(docs: DataFrame, labels: DataFrame, scratch: Scratch, *, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:

@@ -32,7 +32,8 @@ def test_base_equals_brute_force(spark, llm_scratch):
 
 
 def test_lines(spark, llm_scratch):
-    good = "This is a plain sentence of some words, and it ends well.\nAnother one follows here, as long as the first."
+    good = "This is a plain sentence of some words, and it ends well.\nAnother one follows here, as long as the first.\n" \
+           "Nothing in these three lines is said twice; every rule lets them pass."
     bad = ["Home", "a | b | c | d", "### *** $$$ %%% abc", "THIS IS ALL SHOUTED AT THE READER!!", "Please enable JavaScript.", "two words"]
     rows = [(1, good + "\n" + "\n".join(bad) + "\n\n"), (2, "\n".join(["LOUD WORDS ALL OVER THE PLACE!!"] * 3 + ["small words that end well and stay."])),
             (3, good), (4, good + "\nLicensed under CC BY-NC 4.0."), (5, None)]
