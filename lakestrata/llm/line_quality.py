@@ -101,7 +101,8 @@ def clean_lines(df: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def quality_rules(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs`` with the counts, the cleaned text and the verdicts ``base_failed``, ``lines_failed`` and ``kept``."""
+    """``docs`` with the counts, the cleaned text and the verdicts ``base_failed``, ``lines_failed`` and ``kept``.
+    Write the result before filtering on a verdict: a filter is rewritten into all that the verdict is made of."""
     own = [c for c in docs.columns if c.lower() not in OUTPUT]
     # the helper columns live beside one struct, where no name of the input can meet theirs
     df = docs.select(F.struct(*(F.col(f"`{c}`") for c in own)).alias("__row"), F.col(text_col).alias("__text"))
