@@ -4,22 +4,26 @@ For every participant the dialogue is rendered once with this speaker as the ass
 named users; the mask marks the characters of the assistant's turns (text and end mark), which are the ones
 to train on. System turns stay system turns in every rendering.
 
-A conversation is rendered in segments of ``SEGMENT`` turn numbers, each for the participants that speak in
-it, so neither a conversation of any length nor one of very many participants is gathered in one row. Should
-more than ``MAX_ROWS`` different turns share a segment (equal turn numbers), they are dealt to parts by hash.
+A rendering comes in segments of ``SEGMENT`` turn numbers, so a conversation of any length is never gathered
+in one row. Should more than ``MAX_ROWS`` rows share a segment (equal or null turn numbers), it is cut into
+parts in the order of the turns. ``whole=True``, which the query uses, renders every part for every speaker of
+the conversation and puts the system turns of earlier parts in front, so that each row stands alone and no
+turn is missing from anyone's view. Without it a segment is rendered for the speakers in it only, and carries
+nothing.
 
 Defined results: turns are ordered by turn number, role and text; repeated rows are one turn; a null turn
-number comes last, a null role is the participant ``unknown``, a null text is empty; a segment of system turns
-only gives no row; ``<|`` in texts and names is spaced, so no text can forge a mark; other columns do not
-matter.
+number comes last, a null role is the participant ``unknown``, a null text is empty; a conversation (without
+``whole``: a segment) of system turns only gives no row; turns put in front do not count in ``n_turns``, the
+mask counts characters of the row's text; ``<|`` in texts and names is spaced, so no text can forge a mark;
+other columns do not matter.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lakestrata.llm.tables import documents
+from lakestrata.llm.tables import Scratch, documents
 
 SEGMENT = 64
 MAX_ROWS = 4096
@@ -32,22 +36,49 @@ def _safe(text: Column) -> Column:
     return F.replace(text, F.lit("<|"), F.lit("< |"))
 
 
+def _in_parts(t: DataFrame) -> DataFrame:
+    """The distinct turns with their ``part`` of the segment: ``MAX_ROWS`` turns each, in order. Crowded segments
+    only are sorted, over all tasks."""
+    crowd = t.groupBy("id", "segment").agg(F.count("*").alias("rows")).filter(F.col("rows") > MAX_ROWS)
+    scratch = Scratch(t.sparkSession, "chat")
+    crowd = scratch.keep(crowd.select(F.col("id").alias("__id"), F.col("segment").alias("__segment")), "crowd")
+    if not crowd.limit(1).count():
+        return t.distinct().withColumn("part", F.lit(0).cast("long"))
+    crowded = F.col("id").eqNullSafe(F.col("__id")) & (F.col("segment") == F.col("__segment"))
+    dense = t.join(crowd, crowded, "left_semi").distinct()
+    order = ("id", "turn", "role", "text")
+    dense = dense.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("at", F.monotonically_increasing_id())
+    dense = scratch.keep(dense.withColumn("run", F.shiftright("at", 33)), "dense")
+    # a run is what one task has of a segment
+    runs = dense.groupBy("id", "segment", "run").agg(F.min("at").alias("least"), F.count("*").alias("rows"))
+    before = F.sum("rows").over(Window.partitionBy("id", "segment").orderBy("run")) - F.col("rows")
+    runs = runs.select(F.col("id").alias("__id"), F.col("segment").alias("__segment"), F.col("run").alias("__run"), (before - F.col("least")).alias("shift"))
+    dense = dense.join(runs, crowded & (F.col("run") == F.col("__run")))
+    dense = dense.withColumn("part", F.floor((F.col("at") + F.col("shift")) / F.lit(MAX_ROWS)))
+    rest = t.join(crowd, crowded, "left_anti").distinct().withColumn("part", F.lit(0).cast("long"))
+    return rest.unionByName(dense.select(*rest.columns))
+
+
 def rotate(turns: DataFrame, *, id_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role", text_col: str = "text",
-           system_roles: tuple[str, ...] = SYSTEM_ROLES, segment: int = SEGMENT) -> DataFrame:
+           system_roles: tuple[str, ...] = SYSTEM_ROLES, segment: int = SEGMENT, whole: bool = False) -> DataFrame:
     """(id, segment, part, speaker, n_turns, n_own, text, mask): ``mask`` holds the (start, end) characters
     of the speaker's turns."""
     t = turns.select(
         F.col(id_col).alias("id"), F.coalesce(F.col(turn_col).cast("long"), F.lit(LAST_TURN)).alias("turn"),
         _safe(F.coalesce(F.col(role_col), F.lit("unknown"))).alias("role"), _safe(F.coalesce(F.col(text_col), F.lit(""))).alias("text"))
-    t = t.distinct().withColumn("segment", F.floor(F.col("turn") / F.lit(segment)))
-    crowd = t.groupBy("id", "segment").agg(F.count("*").alias("rows")).filter(F.col("rows") > MAX_ROWS)
-    t = t.join(crowd.withColumnsRenamed({"id": "__id", "segment": "__segment"}),
-               F.col("id").eqNullSafe(F.col("__id")) & (F.col("segment") == F.col("__segment")), "left")
-    parts = F.ceil(F.coalesce("rows", F.lit(1)) / F.lit(MAX_ROWS))
-    t = t.withColumn("part", F.pmod(F.xxhash64("turn", "role", "text"), parts))
-    seg = t.groupBy("id", "segment", "part").agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("turns"))
-    roles = F.array_distinct(F.transform("turns", lambda x: x["role"]))
-    seg = seg.withColumn("speaker", F.explode(F.array_except(roles, F.array(*map(F.lit, system_roles)).cast("array<string>"))))
+    t = t.withColumn("segment", F.floor(F.col("turn") / F.lit(segment)))
+    seg = _in_parts(t).groupBy("id", "segment", "part").agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("turns"))
+    same = F.col("id").eqNullSafe(F.col("__id"))
+    who = t.filter(~F.col("role").isin(*system_roles)).select(F.col("id").alias("__id"), F.col("segment").alias("__segment"), F.col("role").alias("speaker"))
+    if whole:
+        system = t.filter(F.col("role").isin(*system_roles)).groupBy("id").agg(F.array_sort(F.collect_set(F.struct("turn", "role", "text"))).alias("system"))
+        seg = seg.join(who.select("__id", "speaker").distinct(), same).drop("__id")
+        seg = seg.join(system.withColumnRenamed("id", "__id"), same, "left")
+        earlier = F.filter("system", lambda x: x < F.get("turns", F.lit(0)))
+        front = F.array_join(F.transform(earlier, lambda x: F.concat(F.lit("<|system|>\n"), x["text"], F.lit(END))), "")
+        seg = seg.withColumn("front", F.coalesce(front, F.lit("")))
+    else:
+        seg = seg.join(who.distinct(), same & (F.col("segment") == F.col("__segment"))).withColumn("front", F.lit(""))
 
     def piece(x: Column) -> Column:
         own = x["role"] == F.col("speaker")
@@ -57,7 +88,7 @@ def rotate(turns: DataFrame, *, id_col: str = "conv_id", turn_col: str = "turn",
 
     seg = seg.withColumn("pieces", F.transform("turns", piece))
     walk = F.aggregate(
-        "pieces", F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("mask")),
+        "pieces", F.struct(F.length("front").alias("at"), F.array().cast("array<struct<start:int,end:int>>").alias("mask")),
         lambda s, x: F.struct(
             (s["at"] + F.length(x["head"]) + F.length(x["body"])).alias("at"),
             F.when(x["own"], F.concat(s["mask"], F.array(F.struct((s["at"] + F.length(x["head"])).alias("start"),
@@ -67,11 +98,11 @@ def rotate(turns: DataFrame, *, id_col: str = "conv_id", turn_col: str = "turn",
     return seg.select(
         F.col("id").alias(id_col), "segment", "part", "speaker", F.size("pieces").cast("long").alias("n_turns"),
         F.size("mask").cast("long").alias("n_own"),
-        F.array_join(F.transform("pieces", lambda x: F.concat(x["head"], x["body"])), "").alias("text"), "mask")
+        F.concat("front", F.array_join(F.transform("pieces", lambda x: F.concat(x["head"], x["body"])), "")).alias("text"), "mask")
 
 
 def op10_chat_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = rotate(documents(spark, sf_dir, "conversations"))
+    out = rotate(documents(spark, sf_dir, "conversations"), whole=True)
     spans = F.array_join(F.transform("mask", lambda x: F.concat_ws("-", x["start"].cast("string"), x["end"].cast("string"))), ",")
     return out.select("conv_id", "segment", "speaker", "n_turns", "n_own", "text", spans.alias("mask"))
 

@@ -57,3 +57,53 @@ def test_crowded_turn_numbers_are_dealt(spark, monkeypatch):
 
 def test_empty_table(spark):
     assert op.rotate(spark.createDataFrame([], TURNS)).collect() == []
+
+
+def brute_whole(rows, segment):
+    conv = defaultdict(set)
+    safe = lambda x: x.replace("<|", "< |")
+    for c, t, r, x in rows:
+        conv[c].add((op.LAST_TURN if t is None else t, safe("unknown" if r is None else r), safe(x or "")))
+    out = []
+    for c, turns in conv.items():
+        for who in {r for _, r, _ in turns} - {"system"}:
+            for s in {t // segment for t, _, _ in turns}:
+                text = "".join(f"<|system|>\n{x}{op.END}" for t, r, x in sorted(turns) if r == "system" and t // segment < s)
+                own, mask = [u for u in sorted(turns) if u[0] // segment == s], []
+                for _, r, x in own:
+                    text += "<|assistant|>\n" if r == who else "<|system|>\n" if r == "system" else f"<|user {r}|>\n"
+                    start, text = len(text), text + x + op.END
+                    if r == who:
+                        mask.append((start, len(text)))
+                out.append((c, s, who, len(own), len(mask), text, mask))
+    return sorted(out, key=str)
+
+
+@pytest.mark.parametrize("segment", [64, 2])
+def test_whole_dialogue_for_every_speaker(spark, segment):
+    """Everyone sees every segment, with the system turns before it; segments of system turns only stay."""
+    rows = [*ROWS, (1, 200, "system", "Be brief."), (1, 300, "dee", "new")]
+    got = [(r["conv_id"], r["segment"], r["speaker"], r["n_turns"], r["n_own"], r["text"], [tuple(m) for m in r["mask"]])
+           for r in op.rotate(spark.createDataFrame(rows, TURNS).repartition(3), segment=segment, whole=True).collect()]
+    assert sorted(got, key=str) == brute_whole(rows, segment)
+
+
+def test_query_renders_whole_dialogues(spark, scratch):
+    rows = [(1, 0, "system", "Be kind."), *((1, i, "ab"[i % 2], f"t{i}") for i in range(1, 65))]
+    spark.createDataFrame(rows, TURNS).write.parquet(f"{scratch}/conversations.parquet")
+    got = {(r["segment"], r["speaker"]): r["text"] for r in op.op10_chat_rotation(spark, scratch).collect()}
+    assert set(got) == {(0, "a"), (0, "b"), (1, "a"), (1, "b")}
+    assert got[1, "b"] == f"<|system|>\nBe kind.{op.END}<|user a|>\nt64{op.END}"
+
+
+@pytest.mark.parametrize("whole", [True, False])
+def test_crowded_segment_is_cut_in_order(spark, monkeypatch, whole):
+    """The parts put together are the segment, for every speaker."""
+    monkeypatch.setattr(op, "MAX_ROWS", 20)
+    rows = [(c, None, f"p{i % 3}", f"t{i}") for c in (1, None) for i in range(200)] + [(2, 0, "p0", "x")]
+    got = defaultdict(list)
+    for r in op.rotate(spark.createDataFrame(rows, TURNS).repartition(3), whole=whole).collect():
+        got[r["conv_id"], r["segment"], r["speaker"]].append((r["part"], r["n_turns"], r["text"]))
+    want = {(c, s, who): text for c, s, who, _, _, text, _ in brute(rows, op.SEGMENT)}
+    assert {k: "".join(x[2] for x in sorted(v)) for k, v in got.items()} == want
+    assert [x[:2] for x in sorted(got[1, op.LAST_TURN // op.SEGMENT, "p0"])] == [(i, 20) for i in range(10)]
