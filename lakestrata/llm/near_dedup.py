@@ -22,7 +22,8 @@ components and sketches stay in tables; the driver sees counts only.
 
 Defined results: a null or empty text has an empty set and is linked with nothing; null ids count as larger
 than any other and give a null component id only among themselves; rows with equal ids are linked by their
-texts; other columns do not matter.
+texts; other columns do not matter. ``one_of_each`` leaves exactly one row of a component: the smallest id, among
+equal or null ids the smallest hash of the text, among rows with equal ids and texts the smallest row.
 """
 
 from __future__ import annotations
@@ -100,7 +101,7 @@ def sketches(h: np.ndarray, first: np.ndarray, t: int) -> np.ndarray:
 
 def band_keys(sketch: np.ndarray, bands: int) -> np.ndarray:
     key = np.repeat(_seeds(bands)[None, :], len(sketch), 0)
-    parts = sketch.reshape(len(sketch), bands, -1)
+    parts = sketch.reshape(len(sketch), bands, sketch.shape[1] // bands)
     for j in range(parts.shape[2]):
         key = mix64((key ^ parts[:, :, j]) * _U(0x9E3779B97F4A7C15))
     return key
@@ -118,7 +119,9 @@ def _signatures(h: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def _sketch_rows(rows: DataFrame, k: int, bands: int) -> DataFrame:
-    """(id, n, sig1, sig2, bands) of (id, text)."""
+    """(id, n, sig1, sig2, bands) of (id, text); further columns, all of them long, come along."""
+    more = rows.columns[2:]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo, hi, w in word_slices(batch.column(1), "space", True):
@@ -129,9 +132,10 @@ def _sketch_rows(rows: DataFrame, k: int, bands: int) -> DataFrame:
                 sig1, sig2 = _signatures(h, first)
                 lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(some * bands)]).astype(np.int32)), pa.array(keys.ravel()))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(n.astype(np.int64)), pa.array(sig1),
-                                                  pa.array(sig2), lists], names=["id", "n", "sig1", "sig2", "bands"])
+                                                  pa.array(sig2), lists, *(batch.column(c).slice(lo, hi - lo) for c in more)],
+                                                 names=["id", "n", "sig1", "sig2", "bands", *more])
 
-    return rows.mapInArrow(run, "id long, n long, sig1 long, sig2 long, bands array<long>")
+    return rows.mapInArrow(run, ", ".join(["id long, n long, sig1 long, sig2 long, bands array<long>", *(f"{c} long" for c in more)]))
 
 
 def _set_rows(rows: DataFrame, k: int) -> DataFrame:
@@ -273,10 +277,18 @@ def _open(now: DataFrame, alive: Column) -> DataFrame:
     return now.join(of_bucket, "bucket").filter(alive).drop("least_n", "lo", "hi")
 
 
-def near_duplicates(docs: DataFrame, scratch: Scratch, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
-                    percent: int = PERCENT) -> DataFrame:
-    """One row per row of ``docs``: id, n_shingles, component_id (the smallest id of its component), kept."""
-    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+def _id(id_col: str) -> Column:
+    return F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID))
+
+
+def _text_hash(text_col: str) -> Column:
+    return F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
+
+
+def _classes(docs: DataFrame, scratch: Scratch, id_col: str, text_col: str, shingle: int, percent: int,
+             hashed: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(id, n, cls[, text_hash]) of every row, and (cls, first_id, label): the component of each class."""
+    rows = docs.select(_id(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), *[_text_hash(text_col).alias("text_hash")] * hashed)
     every = scratch.keep(_sketch_rows(rows, shingle, bands_for(percent)).withColumn("cls", _class_key()), "sketches")
     classes = every.filter("n > 0").groupBy("cls").agg(F.min("id").alias("first_id"), F.first("n").alias("n"), F.count("*").alias("copies"),
                                                        F.first("bands").alias("bands"))
@@ -286,11 +298,18 @@ def near_duplicates(docs: DataFrame, scratch: Scratch, *, id_col: str = "doc_id"
     members = scratch.keep(keyed.join(shared, "bucket", "left_semi"), "members")
     wanted = members.select("cls").distinct().join(classes.select("cls", "first_id"), "cls")
     wanted = scratch.keep(wanted, "wanted")
-    text = rows.join(small(wanted.select(F.col("first_id").alias("id")).distinct()), "id", "left_semi")
+    text = rows.select("id", "text").join(small(wanted.select(F.col("first_id").alias("id")).distinct()), "id", "left_semi")
     sets = _set_rows(text, shingle).withColumn("cls", _class_key()).dropDuplicates(["cls"]).select("cls", "shingles")
     sets = scratch.keep(sets.join(wanted.select("cls"), "cls", "left_semi"), "sets")
     _, labels = find_links(members, sets, scratch, percent)
     named = classes.select("cls", "first_id").join(labels, "cls", "left").withColumn("label", F.coalesce("label", "cls"))
+    return every.drop("sig1", "sig2", "bands"), named
+
+
+def near_duplicates(docs: DataFrame, scratch: Scratch, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
+                    percent: int = PERCENT) -> DataFrame:
+    """One row per row of ``docs``: id, n_shingles, component_id (the smallest id of its component), kept."""
+    every, named = _classes(docs, scratch, id_col, text_col, shingle, percent)
     # copies first, so that a component of any size is one small row per class
     first = scratch.keep(named.groupBy("label").agg(F.min("first_id").alias("component")), "components")
     of_class = scratch.keep(named.select("cls", "label").join(first, "label").select("cls", "component"), "class-components")
@@ -300,11 +319,24 @@ def near_duplicates(docs: DataFrame, scratch: Scratch, *, id_col: str = "doc_id"
                       (F.col("id") == F.col("component")).alias("kept"))
 
 
-def one_of_each(docs: DataFrame, scratch: Scratch, *, id_col: str = "doc_id", text_col: str = "text", **how) -> DataFrame:
-    """``docs`` without the rows whose component has a smaller id."""
-    found = near_duplicates(docs, scratch, id_col=id_col, text_col=text_col, **how)
-    gone = scratch.keep(found.filter(~F.coalesce("kept", F.lit(True))).select(F.col(id_col).alias("__gone")).distinct(), "gone")
-    return docs.join(small(gone), F.col(id_col).eqNullSafe(F.col("__gone")), "left_anti")
+def one_of_each(docs: DataFrame, scratch: Scratch, *, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
+                percent: int = PERCENT) -> DataFrame:
+    """``docs`` with one row of each component."""
+    every, named = _classes(docs, scratch, id_col, text_col, shingle, percent, hashed=True)
+    best = every.filter("n > 0").groupBy("cls").agg(F.min(F.struct("id", "text_hash")).alias("best"), F.count("*").alias("rows"))
+    best = scratch.keep(named.select("cls", "label").join(best, "cls"), "best")
+    first = best.groupBy("label").agg(F.min("best").alias("first"), F.sum("rows").alias("rows")).filter("rows > 1")
+    first = scratch.keep(first.select("label", "first"), "components")
+    of_class = scratch.keep(best.select("cls", "label").join(first, "label").select("cls", "first"), "class-components")
+    each = every.select("cls", "id", "text_hash").join(of_class, "cls").withColumn("stays", F.struct("id", "text_hash") == F.col("first"))
+    # rows with equal ids and texts are one, so that a key of any size is one small row
+    each = each.groupBy("id", "text_hash", "stays").agg(F.count("*").alias("copies")).filter("copies > 1 or not stays")
+    each = scratch.keep(each.select(F.col("id").alias("__id"), F.col("text_hash").alias("__hash"), F.col("stays").alias("__stays")), "gone")
+    same = (_id(id_col) == F.col("__id")) & (_text_hash(text_col) == F.col("__hash"))
+    rest = docs.join(small(each), same, "left_anti")
+    repeated = docs.join(small(each.filter("__stays")), same, "left_semi").select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("__row"))
+    least = repeated.groupBy(_id(f"__row.{id_col}").alias("__id"), _text_hash(f"__row.{text_col}").alias("__hash")).agg(F.min("__row").alias("__row"))
+    return rest.unionByName(least.select("__row.*"))
 
 
 def op8_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -98,3 +98,21 @@ def test_one_of_each_and_empty_table(spark, llm_scratch):
     assert kept.columns == docs.columns
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted(r[0] for r in brute(rows, 5, 80) if r[3])
     assert op.near_duplicates(docs.limit(0), llm_scratch()).collect() == []
+
+
+def test_one_of_each_with_null_and_repeated_ids(spark, llm_scratch):
+    """Exactly one row of a component stays, whatever its ids; no other document goes."""
+    text = lambda name: " ".join(f"{name}{i}" for i in range(60))
+    near = text("c").replace("c7 ", "x ")
+    rows = [(1, text("a")), (None, text("a")), (None, text("b")), (None, text("c")), (None, near), (None, text("c")),  # c: only null ids
+            (2, text("a")), (2, text("d")), (3, text("e")), (3, text("e")), (3, text("f")), (4, text("f")), (None, None), (None, None), (None, "")]
+    docs = clash(frame(spark, rows))
+    kept = op.one_of_each(docs, llm_scratch())
+    assert kept.columns == docs.columns
+    got = sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str)
+    of_c = [r for r in got if r[0] is None and r[1] in (text("c"), near)]
+    assert len(of_c) == 1
+    want = [(1, text("a")), (None, text("b")), (2, text("d")), (3, text("e")), (3, text("f")), (None, None), (None, None), (None, "")]
+    assert got == sorted(want + of_c, key=str)
+    again = op.one_of_each(docs.repartition(7), llm_scratch()).collect()
+    assert sorted(((r["doc_id"], r["text"]) for r in again), key=str) == got
