@@ -7,7 +7,9 @@ same side of one half) become one branch. A template is rejected if its smoothed
 reaches ``REJECT``; other templates, and those without labels, are allowed.
 
 Urls are pre-aggregated to (host, segments) before anything else, so the tree works on distinct shapes; the
-levels are joins and sums over that table, and a hot host is many shapes and sums.
+levels are joins and sums over that table, and a hot host is many shapes and sums. The tree has the paths' real
+depth: a level works on the shapes that still share their branch with others, the rest of a lone shape's path
+follows at once.
 
 Defined results: a null url, or one without ``://``, has an empty host and path, fits no rule and is judged
 by the template of the empty host (allowed without labels); repeated rows get equal results; other columns
@@ -23,7 +25,6 @@ from lakestrata.llm.tables import Scratch, documents
 
 RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com/de/"), ("allow", "org/fr/"))
 MAX_RULES = 1000
-MAX_DEPTH = 8
 MAX_CHILDREN, RARE = 32, 0.01
 MIN_LABELS, PRIOR_WEIGHT, REJECT = 5, 10.0, 0.8
 _Z = 1.96
@@ -51,10 +52,9 @@ def fitting_rule(rules: tuple[tuple[str, str], ...] = RULES) -> tuple[Column, Co
 
 
 def _segments(path: Column) -> Column:
-    """The path's parts with numbers and long hex runs as placeholders; parts beyond MAX_DEPTH are one."""
+    """The path's parts with numbers and long hex runs as placeholders."""
     parts = F.array_remove(F.split(path, "/"), "")
-    parts = F.transform(parts, lambda x: F.regexp_replace(F.regexp_replace(x, r"(?i)\b(?=[0-9a-f]*[0-9])[0-9a-f]{12,}\b", "{h}"), "[0-9]+", "{n}"))
-    return F.when(F.size(parts) > MAX_DEPTH, F.concat(F.slice(parts, 1, MAX_DEPTH - 1), F.array(F.lit("**")))).otherwise(parts)
+    return F.transform(parts, lambda x: F.regexp_replace(F.regexp_replace(x, r"(?i)\b(?=[0-9a-f]*[0-9])[0-9a-f]{12,}\b", "{h}"), "[0-9]+", "{n}"))
 
 
 def _wilson(bad: Column, n: Column, sign: int) -> Column:
@@ -64,23 +64,31 @@ def _wilson(bad: Column, n: Column, sign: int) -> Column:
 
 def grow_templates(shapes: DataFrame, scratch: Scratch) -> DataFrame:
     """(host, segments, template) from (host, segments, n, labelled, bad)."""
-    depth = shapes.agg(F.max(F.size("segments"))).first()[0] or 0
-    tree = shapes.withColumn("template", F.lit(""))
-    for d in range(depth):
-        part = F.get("segments", F.lit(d))
-        live = tree.filter(F.size("segments") > d).withColumn("part", part)
-        child = live.groupBy("host", "template", "part").agg(*(F.sum(c).alias(c) for c in ("n", "labelled", "bad")))
+    tree, d, steps = shapes.withColumn("template", F.lit("")), 0, []
+    done = tree.filter(F.size("segments") == 0)
+    live = tree.filter(F.size("segments") > 0)
+    while live.limit(1).count():
+        live = live.withColumn("part", F.get("segments", F.lit(d)))
+        child = live.groupBy("host", "template", "part").agg(*(F.sum(c).alias(c) for c in ("n", "labelled", "bad")), F.count("*").alias("shapes"))
         child = scratch.keep(child, f"child-{d}")
-        node = child.groupBy("host", "template").agg(F.count("*").alias("children"), F.sum("n").alias("all"))
+        node = child.groupBy("host", "template").agg(F.count("*").alias("children"), F.sum("n").alias("all"), (F.sum("shapes") == 1).alias("alone"))
         rare = (F.col("children") > MAX_CHILDREN) & (F.col("n") < RARE * F.col("all"))
         told = F.col("labelled") >= MIN_LABELS
         name = (F.when(rare, F.lit("*")).when(told & (_wilson(F.col("bad"), F.col("labelled"), -1) > 0.5), F.lit("*blocked"))
-                .when(told & (_wilson(F.col("bad"), F.col("labelled"), 1) < 0.5), F.lit("*allowed")).otherwise(F.col("part")))
-        named = child.join(node, ["host", "template"]).select("host", "template", "part", name.alias("name"))
-        grown = tree.withColumn("part", part).join(named, ["host", "template", "part"], "left")
-        grown = grown.withColumn("template", F.when(F.col("name").isNull(), F.col("template")).otherwise(F.concat("template", F.lit("/"), "name")))
-        tree = scratch.keep(grown.drop("part", "name").select(*tree.columns), f"tree-{d}")
-    return tree
+                .when(told & (_wilson(F.col("bad"), F.col("labelled"), 1) < 0.5), F.lit("*allowed")))
+        named = child.join(node, ["host", "template"]).select("host", "template", "part", "alone", name.alias("name"))
+        # nothing changes any more on the way of a shape that is alone
+        left = F.when(F.col("alone"), F.size("segments") - d).otherwise(1)
+        names = F.when(F.col("name").isNull(), F.slice("segments", F.lit(d + 1), left)).otherwise(F.array_repeat("name", left))
+        grown = live.join(named, ["host", "template", "part"]).withColumn("open", ~F.col("alone") & (F.size("segments") > d + 1))
+        grown = grown.withColumn("template", F.concat("template", F.lit("/"), F.array_join(names, "/")))
+        grown = scratch.keep(grown.select(*tree.columns, "open"), f"tree-{d}")
+        scratch.drop(f"child-{d}")
+        steps.append(scratch.path(f"tree-{d}"))
+        every, live, d = grown, grown.filter("open").drop("open"), d + 1
+    if steps:
+        done = done.unionByName(scratch.spark.read.schema(every.schema).parquet(*steps).filter("not open").drop("open"))
+    return done
 
 
 def judge_urls(pages: DataFrame, scratch: Scratch, *, id_col: str = "page_id", url_col: str = "url",

@@ -74,3 +74,58 @@ def test_purity_rejects_unlabelled(spark, llm_scratch):
 
 def test_empty_table(spark, llm_scratch):
     assert op.judge_urls(pages(spark, ODD).limit(0), llm_scratch()).collect() == []
+
+
+def test_deep_branches_are_told_apart(spark, llm_scratch):
+    """What follows the eighth segment counts, and a long path is one template of its real depth."""
+    deep = "/".join("abcdefghi")
+    rules = (("block", f"h.com/{deep}/bad/x"), ("allow", f"h.com/{deep}/good/x"))
+    urls = [f"http://h.com/{deep}/{k}/{w}" for k in ("bad", "good") for w in [f"x{chr(97 + i)}" for i in range(20)] + ["y"]]
+    long = "/".join(f"s{chr(97 + i % 26)}" for i in range(300))
+    urls += [f"http://one.com/{long}", f"http://h.com/{deep}"]
+    got = {urls[r["page_id"]]: r for r in op.judge_urls(pages(spark, urls), llm_scratch(), rules=rules).collect()}
+    assert len(got) == len(urls)
+    bad, good = got[f"http://h.com/{deep}/bad/y"], got[f"http://h.com/{deep}/good/y"]
+    assert (bad["rule"], good["rule"]) == (None, None) and bad["template"] != good["template"]
+    assert got[f"http://one.com/{long}"]["template"] == f"/{long}"
+    assert got[f"http://h.com/{deep}"]["template"].count("/") == 9
+
+
+def test_templates_equal_level_by_level(spark, llm_scratch):
+    """The tree of every shape, grown by plain Python one segment at a time."""
+    import random
+    rnd = random.Random(5)
+    rules = (("block", "h.com/a/"), ("allow", "h.com/b/a/"), ("block", "h.com/b/b/"), ("allow", "i.com/c"))
+    urls = [f"http://{rnd.choice('hhi')}.com/" + "/".join(rnd.choice("aabbc") for _ in range(rnd.randint(0, 12))) for _ in range(600)]
+    urls += [f"http://h.com/w{chr(97 + i // 26)}{chr(97 + i % 26)}/" + "/".join("xy"[: i % 3]) for i in range(150)] * 2
+    shapes = defaultdict(lambda: [0, 0, 0])
+    for u in urls:
+        host, path = parse(u)
+        fits = [(len(t), k) for k, t in rules for h, _, p in [t.partition("/")] if (host == h or host.endswith("." + h)) and path.startswith("/" + p)]
+        row = shapes[host, tuple(x for x in path.split("/") if x)]
+        row[0] += 1
+        row[1] += bool(fits)
+        row[2] += bool(fits) and max(fits)[1] == "block"
+    want = {k: "" for k in shapes}
+    for d in range(max(len(s) for _, s in shapes)):
+        child = defaultdict(lambda: [0, 0, 0])
+        for (h, s), row in shapes.items():
+            if len(s) > d:
+                child[h, want[h, s], s[d]] = [x + y for x, y in zip(child[h, want[h, s], s[d]], row)]
+        new = dict(want)
+        for (h, s), t in want.items():
+            if len(s) > d:
+                kin = [r for (h2, t2, _), r in child.items() if (h2, t2) == (h, t)]
+                n, lab, bad = child[h, t, s[d]]
+                name = s[d]
+                if lab >= op.MIN_LABELS:
+                    p, z2 = bad / lab, op._Z ** 2
+                    mid, off = p + z2 / (2 * lab), op._Z * (p * (1 - p) / lab + z2 / (4 * lab * lab)) ** 0.5
+                    name = "*blocked" if (mid - off) / (1 + z2 / lab) > 0.5 else "*allowed" if (mid + off) / (1 + z2 / lab) < 0.5 else name
+                if len(kin) > op.MAX_CHILDREN and n < op.RARE * sum(r[0] for r in kin):
+                    name = "*"
+                new[h, s] = f"{t}/{name}"
+        want = new
+    for r in op.judge_urls(pages(spark, urls), llm_scratch(), rules=rules).collect():
+        host, path = parse(urls[r["page_id"]])
+        assert r["template"] == want[host, tuple(x for x in path.split("/") if x)], urls[r["page_id"]]
