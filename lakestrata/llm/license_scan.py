@@ -3,8 +3,9 @@
 A notice that may have k edits is split into k + 1 seeds: at least one of them is in the text without an
 edit. One automaton over all seeds finds the candidate places in a pass over the normalised text (words
 lower-cased, one space between them); there the regex library's bounded-error matching looks for the whole
-notice with at most k edits and reports the span and the number of edits. Base phrases are exact sequences
-of words.
+notice with at most k edits and reports the span and the number of edits. Where matches overlap, the one with
+the fewest edits counts, then the first; every other one is reported, however near a better one is. Base phrases
+are exact sequences of words.
 
 Texts are scanned in slices inside the scan's own tasks: nothing is shuffled, and a task holds one slice.
 
@@ -69,7 +70,7 @@ class Scanner:
             _, _, w = next(word_slices(pa.array([phrase]), "alnum", True))
             self.phrases.append((w.hashes(), label))
         self.notices = [Notice(*n) for n in notices]
-        self.patterns = [regex.compile(f"(?b)(?:{regex.escape(n.text)}){{e<={n.edits}}}") for n in self.notices]
+        self.leftmost, self.best = ([regex.compile(f"{how}(?:{regex.escape(n.text)}){{e<={n.edits}}}") for n in self.notices] for how in ("", "(?b)"))
         seeds: dict[str, list[tuple[int, int]]] = defaultdict(list)
         for k, n in enumerate(self.notices):
             for lo, seed in n.seeds():
@@ -79,6 +80,18 @@ class Scanner:
             self.automaton.add_word(seed, (len(seed), uses))
         self.automaton.make_automaton()
 
+    def matches(self, k: int, text: str) -> Iterator:
+        """The matches of notice k, from left to right. A match can lose its place only to one with fewer edits
+        that overlaps it, and that one to the next: so many notices' lengths from its start decide on it."""
+        notice, at = self.notices[k], 0
+        reach = (notice.edits + 2) * (len(notice.text) + notice.edits)
+        while m := self.leftmost[k].search(text, at):
+            at, end = m.start(), min(m.start() + reach, len(text))
+            while better := self.best[k].search(text, at, end):
+                m, end = better, better.start()
+            yield m
+            at = m.end()
+
     def base(self, w: Words) -> dict[int, list[tuple[int, str]]]:
         """document -> (word, label) of each place of a base phrase."""
         h, found = w.hashes(), defaultdict(list)
@@ -119,9 +132,10 @@ class Scanner:
             for lo, hi in _windows(sorted(starts), margin, len(notice.text) + margin):
                 docs_from = raw.rfind(b"\n", 0, max(lo, 0)) + 1 if lo > 0 else 0
                 for part_lo, part in _lines(raw, max(lo, docs_from, 0), hi):
-                    for m in self.patterns[k].finditer(part.decode("utf-8", "ignore")):
-                        begin = part_lo + len(m.string[:m.start()].encode())
-                        end = part_lo + len(m.string[:m.end()].encode())
+                    end, end_char = part_lo, 0
+                    for m in self.matches(k, part.decode("utf-8", "ignore")):
+                        begin = end + len(m.string[end_char:m.start()].encode())
+                        end, end_char = begin + len(m.group().encode()), m.end()
                         first = int(np.searchsorted(place, begin, side="right")) - 1
                         stop = int(np.searchsorted(place, max(end - 1, begin), side="right"))
                         d = int(np.searchsorted(w.first, first, side="right")) - 1

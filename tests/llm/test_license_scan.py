@@ -79,3 +79,34 @@ def test_empty(spark, llm_scratch, rows):
     llm_scratch()
     got = op.scan_licenses(frame(spark, rows or [(1, "a")]).limit(len(rows))).collect()
     assert [(r["n_words"], r["labels"], r["score"]) for r in got] == [(0, "", 0.0)] * len(rows)
+
+
+def best_first(text):
+    """(label, first word, end word, edits): the best match in the text, then in what is left and right of it."""
+    t, out = " ".join(alnum_words(text)), set()
+    word = lambda i: t.count(" ", 0, i)
+
+    def search(n, p, lo, hi):
+        if m := p.search(t, lo, hi):
+            out.add((n.label, word(m.start()), word(max(m.end() - 1, m.start())) + 1, sum(m.fuzzy_counts)))
+            search(n, p, lo, m.start())
+            search(n, p, m.end(), hi)
+
+    for n in map(lambda x: op.Notice(*x), op.NOTICES):
+        search(n, regex.compile(f"(?b)(?:{n.text}){{e<={n.edits}}}"), 0, len(t))
+    return out
+
+
+def test_spans_of_several_notices(spark, llm_scratch):
+    """An edited notice is reported beside a better copy, wherever they stand."""
+    llm_scratch()
+    rnd = random.Random(12)
+    rows = ["released under the mxt license and also released under the mit license", "released under the mit licen released under the mit license"]
+    for n in op.NOTICES:
+        for _ in range(4):
+            edits = [rnd.randint(0, op.Notice(*n).edits) for _ in range(rnd.randint(2, 6))]
+            rows.append(rnd.choice([" ", " and also "]).join(edited(rnd, n[0], k) for k in edits))
+    got = {r["doc_id"]: r["spans"] for r in op.scan_licenses(frame(spark, list(enumerate(rows)))).collect()}
+    assert [(s["first_word"], s["end_word"], s["edits"]) for s in got[0]] == [(0, 5, 1), (7, 12, 0)]
+    for i, t in enumerate(rows):
+        assert {(s["label"], s["first_word"], s["end_word"], s["edits"]) for s in got[i]} == best_first(t), t
