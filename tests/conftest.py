@@ -4,11 +4,10 @@ import tempfile
 
 import pytest
 
-ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-if ROOT not in sys.path:
-    sys.path.insert(0, ROOT)
-
-SMALL_SF = "/root/testdata/sf0.001"
+HERE = os.path.dirname(os.path.abspath(__file__))
+for path in (HERE, os.path.dirname(HERE)):
+    if path not in sys.path:
+        sys.path.insert(0, path)
 
 
 @pytest.fixture(scope="session")

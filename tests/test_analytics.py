@@ -8,7 +8,7 @@ from lakestrata.operators import gold
 from lakestrata.plans import analytics as qa
 from lakestrata.plans.frames import Layers
 
-from conftest import SMALL_SF
+from small_data import SMALL_SF
 
 
 @pytest.fixture(scope="module")

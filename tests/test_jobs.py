@@ -12,7 +12,7 @@ from lakestrata.sources import layers as io
 from lakestrata.sources.adapter import raw_tables
 from lakestrata.sources.landing import NoLandingPartitionError
 
-from conftest import SMALL_SF
+from small_data import SMALL_SF
 
 
 @pytest.fixture(scope="module")

@@ -6,7 +6,7 @@ import re
 import pytest
 
 import __spark_entry__ as entry
-from conftest import SMALL_SF
+from small_data import SMALL_SF
 from lakestrata.plans.catalog import ORACLES, QUERIES
 from tools.check_oracles import compare, duck
 
