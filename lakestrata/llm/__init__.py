@@ -4,7 +4,7 @@ where SQL can express it, the DuckDB text in ``ORACLES``."""
 from importlib import import_module
 
 MODULES = ("token_output", "mix_sources", "license_scan", "url_templates", "substring_dedup", "decontaminate", "importance", "near_dedup",
-           "line_quality", "chat_rotation", "prefix_trie", "phrases")
+           "line_quality", "chat_rotation", "embedding_dedup", "prefix_trie", "phrases")
 
 
 def registered() -> tuple[dict, dict]:

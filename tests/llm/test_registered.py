@@ -7,7 +7,7 @@ from lakestrata.llm import registered
 
 SF = "/root/testdata/sf0.001"
 QUERIES, ORACLES = registered()
-TABLES = ("documents", "pages", "benchmark", "labels", "conversations")
+TABLES = ("documents", "pages", "benchmark", "labels", "conversations", "embeddings")
 
 
 @pytest.mark.parametrize("name", sorted(ORACLES))
@@ -22,7 +22,7 @@ def test_oracle(spark, name):
 
 
 def test_names():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     assert set(ORACLES) <= set(QUERIES)
 
 
