@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakestrata.sources.files import file_system
+from lakestrata.sources.multiline import read_multiline_csv
 from lakestrata.specs import TableSpec
 
 PARTITION_COLUMN = "ingestion_date"
@@ -74,12 +75,10 @@ def csv_reader(spark: SparkSession, spec: TableSpec | None = None):
 
 def read_landing(spark: SparkSession, landing_root: str, spec: TableSpec, ingestion_date: str) -> DataFrame:
     """One landing partition of ``spec``'s table as all-string columns, named by that drop's own header."""
-    df = csv_reader(spark, spec).csv(f"{landing_path(landing_root, spec.name)}/{PARTITION_COLUMN}={ingestion_date}")
+    path = f"{landing_path(landing_root, spec.name)}/{PARTITION_COLUMN}={ingestion_date}"
     if spec.csv_options.get("multiLine") == "true":
-        # a multi-line CSV file cannot be split: one task per file. Rebalance so the rest of the job
-        # (stamping, checks, the Parquet write) runs on evenly sized partitions chosen by AQE.
-        df = df.hint("rebalance")
-    return df
+        return read_multiline_csv(spark, path, spec.csv_options)
+    return csv_reader(spark, spec).csv(path)
 
 
 def read_landing_latest(spark: SparkSession, landing_root: str, spec: TableSpec) -> tuple[DataFrame, str]:
