@@ -11,9 +11,13 @@ the fan-out measurement counts ``sum(items_o * payments_o)`` instead of making t
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lakestrata.session import materialize
+
 
 def _money(c) -> Column:
     return F.round(c, 2)
@@ -66,29 +70,91 @@ def ticket_by_state(order_totals: DataFrame, dim_cliente: DataFrame) -> DataFram
 
 
 # QRY-3 -------------------------------------------------------------------------------------------
+def _added_up(fato_itens: DataFrame, *by: str) -> DataFrame:
+    """Exact revenue and items of an order within ``by``: what meets a dimension is one row per order, not per item."""
+    return fato_itens.groupBy(*by, "order_id").agg(_total("price").alias("total"), F.count(F.lit(1)).alias("n"))
+
+
 def revenue_by_category(fato_itens: DataFrame, dim_produto: DataFrame) -> DataFrame:
-    j = (fato_itens.select("product_id", "order_id", "price")
-         .join(dim_produto.select("product_id", "product_category_name", "product_category_name_english"),
-               "product_id"))
+    j = _added_up(fato_itens, "product_id").join(
+        dim_produto.select("product_id", "product_category_name", "product_category_name_english"), "product_id")
     return (j.groupBy("product_category_name", "product_category_name_english")
-            .agg(_cents(_total("price")).alias("receita"),
-                 _per(_total("price"), F.count(F.lit(1))).alias("ticket_medio_item"),
+            .agg(_cents(F.sum("total")).alias("receita"),
+                 _per(F.sum("total"), F.sum("n")).alias("ticket_medio_item"),
                  F.count_distinct("order_id").alias("pedidos"),
-                 F.count(F.lit(1)).alias("itens"))
+                 F.sum("n").alias("itens"))
             .orderBy(F.desc("receita"), F.asc("product_category_name")))
 
 
 def revenue_by_period(fato_itens: DataFrame, dim_tempo: DataFrame) -> DataFrame:
     cal = dim_tempo.select(F.col("data").alias("data_pedido"), "ano", "mes", "trimestre")
-    j = fato_itens.select("data_pedido", "order_id", "price").join(cal, "data_pedido")
+    j = _added_up(fato_itens, "data_pedido").join(cal, "data_pedido")
     return (j.groupBy("ano", "trimestre", "mes")
-            .agg(_cents(_total("price")).alias("receita"),
+            .agg(_cents(F.sum("total")).alias("receita"),
                  F.count_distinct("order_id").alias("pedidos"),
-                 F.count(F.lit(1)).alias("itens"),
-                 _per(_total("price"), F.count_distinct("order_id")).alias("receita_por_pedido"))
+                 F.sum("n").alias("itens"),
+                 _per(F.sum("total"), F.count_distinct("order_id")).alias("receita_por_pedido"))
             .orderBy("ano", "mes"))
 
 
+def sales_by_state_category_month(fato_itens: DataFrame, dim_cliente: DataFrame, dim_produto: DataFrame) -> DataFrame:
+    """(customer_state, product_category_name, mes, total, n): the finest totals, for :func:`totals`. Items are added up
+    per customer, product and month before they meet a dimension."""
+    month = F.trunc("data_pedido", "month").alias("mes")
+    sums = fato_itens.groupBy("customer_id", "product_id", month).agg(_total("price").alias("total"), F.count(F.lit(1)).alias("n"))
+    by_state = sums.join(dim_cliente.select("customer_id", "customer_state"), "customer_id").groupBy("customer_state", "product_id", "mes").agg(
+        F.sum("total").alias("total"), F.sum("n").alias("n"))
+    named = by_state.join(dim_produto.select("product_id", "product_category_name"), "product_id")
+    return named.groupBy("customer_state", "product_category_name", "mes").agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
+
+
+def totals(sales: DataFrame, sets: Sequence[Sequence[str]]) -> DataFrame:
+    """Totals of every grouping in ``sets`` at once: one expanded aggregate over the finest totals. ``nivel`` has a bit
+    for each dimension that a row leaves out."""
+    dims = ["customer_state", "product_category_name", "mes"]
+    return sales.groupingSets(sets, *dims).agg(F.grouping_id().alias("nivel"), _cents(F.sum("total")).alias("receita"), F.sum("n").alias("itens"))
+
+
+def payment_pivot(fato_pagamentos: DataFrame, kinds: Sequence[str]) -> DataFrame:
+    """Payment value by instalments, a column per kind; ``kinds`` are given, so no pass looks for them."""
+    return fato_pagamentos.groupBy("payment_installments").pivot("payment_type", list(kinds)).agg(_cents(_total("payment_value")))
+
+
+# AGG-7, approximate ------------------------------------------------------------------------------
+HLL_LOG_BUCKETS, KLL_K = 13, 1000
+
+
+def monthly_sketches(fato_itens: DataFrame) -> DataFrame:
+    """(mes, itens, clientes, precos): per month a sketch of its distinct customers and one of its prices' quantiles, a
+    few kilobytes each, to be stored and merged over any range of months without reading items again."""
+    return fato_itens.groupBy(F.trunc("data_pedido", "month").alias("mes")).agg(
+        F.count(F.lit(1)).alias("itens"), F.hll_sketch_agg("customer_id", HLL_LOG_BUCKETS).alias("clientes"), F.kll_sketch_agg_double("price", KLL_K).alias("precos"))
+
+
+def merged_sketches(stored: DataFrame, by: Column) -> DataFrame:
+    """Stored sketches merged per ``by``: items, estimated customers, estimated median and 95th percentile of the price."""
+    return stored.groupBy(by).agg(F.sum("itens").alias("itens"), F.hll_union_agg("clientes").alias("c"), F.kll_merge_agg_double("precos", KLL_K).alias("p")).withColumns({
+        "clientes_estimados": F.hll_sketch_estimate("c"), "mediana": F.kll_sketch_get_quantile_double("p", F.lit(0.5)),
+        "p95": F.kll_sketch_get_quantile_double("p", F.lit(0.95))}).drop("c", "p")
+
+
+def sketch_errors(fato_itens: DataFrame) -> DataFrame:
+    """The quarters of :func:`merged_sketches` beside the exact figures. A quantile is held against the share of prices
+    below and up to it."""
+    quarter = F.trunc("data_pedido", "quarter").alias("trimestre")
+    merged = merged_sketches(materialize(monthly_sketches(fato_itens), "sketches"), F.trunc("mes", "quarter").alias("trimestre"))
+    estimates = merged.drop("itens").withColumnRenamed("trimestre", "q")
+    prices = fato_itens.select(quarter, "customer_id", "price").join(estimates, F.col("trimestre").eqNullSafe(F.col("q")))
+
+    def near(q: float, name: str) -> Column:
+        below, upto = F.avg((F.col("price") < F.col(name)).cast("int")), F.avg((F.col("price") <= F.col(name)).cast("int"))
+        return (below <= q + 0.02) & (upto >= q - 0.02)
+
+    exact = F.count_distinct("customer_id")
+    return prices.groupBy("trimestre").agg(F.count(F.lit(1)).alias("itens"), exact.alias("clientes"), (F.abs(F.first("clientes_estimados") - exact) <= 0.05 * exact).alias("clientes_ok"),
+                                           near(0.5, "mediana").alias("mediana_ok"), near(0.95, "p95").alias("p95_ok"))
+
+
 # QRY-4 -------------------------------------------------------------------------------------------
 def delivery_kpis(orders: DataFrame) -> DataFrame:
     """Over one row per order that has an item (``order_grain``)."""

@@ -7,8 +7,6 @@ agree between the two; technical timestamp columns are never output.
 from __future__ import annotations
 
 import datetime as dt
-import uuid
-from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,25 +20,14 @@ from lakestrata.operators import gold as gold_ops
 from lakestrata.plans import analytics as qa
 from lakestrata.plans import jobs
 from lakestrata.plans.frames import Layers
-from lakestrata.plans.oracle_sql import CHECKSUM_SQL, GOLD_CTES, MANIFEST_SQL, MONEY, R, check_sql, suite_sql, with_ctes
-from lakestrata.session import checkpoint_dir, materialize
+from lakestrata.plans.oracle_sql import CHECKSUM_SQL, GOLD_CTES, MANIFEST_SQL, MONEY, R, check_sql, suite_sql
+from lakestrata.plans.registry import ORACLES, QUERIES, Query, fresh_folder, register
+from lakestrata.session import materialize
 from lakestrata.sources import landing, layers
 from lakestrata.sources.layers import schema_strings
 from lakestrata.specs import CHECKS, ORDER_STATUSES, TABLES, Check, table_spec
 
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-ORACLES: dict[str, str] = {}
-
-
-def register(name: str, sql: str | None, dirty: bool = False):
-    def deco(fn: Query) -> Query:
-        QUERIES[name] = fn
-        if sql is not None:
-            ORACLES[name] = with_ctes(sql, dirty)
-        return fn
-    return deco
-
+__all__ = ["ORACLES", "QUERIES"]
 
 # ------------------------------------------------------------------------------ Silver (SLV-1..9)
 
@@ -400,7 +387,7 @@ _LANDED = ("customers", "sellers", "geolocation")
 
 
 def _zone(spark: SparkSession) -> jobs.LakePaths:
-    root = f"{checkpoint_dir(spark).rstrip('/')}/lakestrata-zone-{uuid.uuid4().hex}"
+    root = fresh_folder(spark, "zone")
     return jobs.LakePaths(f"{root}/landing", f"{root}/lake")
 
 
@@ -520,3 +507,7 @@ def dq_run_comparison(spark, sf_dir):
         jobs.stage_validate_publish(spark, paths, "silver", "sellers", df, f"{i}", log=None)
     runs = layers.compare_runs(layers.read_audit(spark, paths.lake))
     return runs.select(F.col("run_id").cast("int").alias("run"), "passed", "published", "rows", "previous_rows", "unchanged")
+
+
+# queries over versions of tables and along time are in modules of their own
+from lakestrata.plans import catalog_time, catalog_versions  # noqa: E402,F401
