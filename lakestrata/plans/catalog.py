@@ -15,12 +15,13 @@ from pyspark.sql import functions as F
 from lakestrata.operators import quality as dq
 from lakestrata.operators.silver import SILVER_COLUMNS, SILVER_RULES, to_silver
 from lakestrata.functions.clean import to_double, to_int, to_ts
-from lakestrata.functions.hashing import portable_checksum
+from lakestrata.functions.hashing import checksum_agg, portable_checksum, row_hash
 from lakestrata.operators import gold as gold_ops
 from lakestrata.plans import analytics as qa
 from lakestrata.plans import jobs
 from lakestrata.plans.frames import Layers
-from lakestrata.plans.oracle_sql import CHECKSUM_SQL, GOLD_CTES, MANIFEST_SQL, MONEY, R, check_sql, suite_sql
+from lakestrata.plans.oracle_sql import (CHECKSUM_SQL, GOLD_CTES, GOLD_MANIFEST, MANIFEST, MANIFEST_SQL, MONEY, RAW_MANIFEST, RAW_ORDER_MANIFEST, SUITES, R,
+                                         check_sql, suite_sql)
 from lakestrata.plans.registry import ORACLES, QUERIES, Query, fresh_folder, register
 from lakestrata.session import materialize
 from lakestrata.sources import landing, layers
@@ -240,21 +241,35 @@ def _ref_rel(c: Check) -> str:
 Report = list[tuple[str, str, str, list[Check]]]
 
 
+#: relations that a join makes; the others are projections of one table, which every pass can read anew
+_JOINED = ("gold_fato_pedidos_itens", "gold_fato_itens_dup_header")
+#: check kinds that share one aggregate over the relation
+_FUSED = ("row_count_min", "not_null", "accepted_values", "range", "cast_audit")
+
+
+def _passes(checks: list[Check]) -> int:
+    """How often a report reads a relation: once for all fused checks, and once for each of the others."""
+    return any(c.kind in _FUSED for c in checks) + sum(c.kind not in _FUSED for c in checks)
+
+
 def _report_frame(spark: SparkSession, sf_dir: str, report: Report, dirty: bool = False) -> DataFrame:
-    """Relations that are joined or grouped are written once below the checkpoint folder, and every check
-    reads that copy: the same files that a layer job would check."""
+    """The report's rows. A joined relation that several passes read is written once below the checkpoint folder, with
+    the checked columns alone; a relation that is read once or twice, or is a projection, is never copied."""
     L = Layers(spark, sf_dir, dirty)
-    made: dict[str, DataFrame] = {}
+    plain: dict[str, DataFrame] = {}
 
     def relation(rel: str) -> DataFrame:
-        if rel not in made:
-            made[rel] = materialize(_relation(L, rel), rel) if rel.startswith("gold_fato_") else _relation(L, rel)
-        return made[rel]
+        if rel not in plain:
+            plain[rel] = _relation(L, rel)
+        return plain[rel]
 
     parts = []
     for layer, table, rel, checks in report:
         refs = {f"{c.ref_layer}/{c.ref_table}": relation(_ref_rel(c)) for c in checks if c.ref_table}
-        frame = dq.check_frame(relation(rel), checks, layer, table, refs)
+        df = relation(rel)
+        if rel in _JOINED and _passes(checks) > 2:
+            df = materialize(df.select(*sorted({c for check in checks for c in check.columns})), rel)
+        frame = dq.check_frame(df, checks, layer, table, refs)
         parts.append(frame.select("layer", "table_name", "check", "passed", "violations"))
     return reduce(DataFrame.unionByName, parts)
 
@@ -369,16 +384,47 @@ def dq_checksum(spark, sf_dir):
 
 @register("dq_manifest", MANIFEST_SQL)
 def dq_manifest(spark, sf_dir):
-    """What the audit row of each Silver table says about its columns, of a table that was written."""
+    """What the audit row of each Silver table says about its columns and rows."""
     L = Layers(spark, sf_dir)
     parts = []
     for t in SILVER_RULES:
-        written = materialize(L.silver(t).select(*SILVER_COLUMNS[t]), f"manifest-{t}")
-        parts.append(written.agg(F.count(F.lit(1)).alias("linhas")).select(
-            F.lit("silver").alias("layer"), F.lit(t).alias("table_name"), "linhas", F.lit(",".join(schema_strings(written))).alias("colunas")))
+        df = L.silver(t).select(*SILVER_COLUMNS[t])
+        parts.append(df.agg(F.count(F.lit(1)).alias("linhas")).select(
+            F.lit("silver").alias("layer"), F.lit(t).alias("table_name"), "linhas", F.lit(",".join(schema_strings(df))).alias("colunas")))
     return reduce(DataFrame.unionByName, parts)
 
 
+_PLANTED = {
+    "reordered": lambda df, c: df.orderBy(F.desc(c)).repartition(7),
+    "one cell": lambda df, c: df.withColumn(c, F.when(F.col(c) == F.lit(df.agg(F.min(c)).first()[0]), F.concat(c, F.lit("x"))).otherwise(F.col(c))),
+    "a cell is null": lambda df, c: df.withColumn(c, F.when(F.col(c) != F.lit(df.agg(F.min(c)).first()[0]), F.col(c))),
+    "a row is gone": lambda df, c: df.where(F.col(c) != F.lit(df.agg(F.min(c)).first()[0])),
+    "a row comes twice": lambda df, c: df.unionByName(df.where(F.col(c) == F.lit(df.agg(F.min(c)).first()[0]))),
+    "columns exchanged": lambda df, c: df.withColumns({c: F.col("seller_city"), "seller_city": F.col(c)}),
+}
+
+
+@register("dq_content_checksum", "\nUNION ALL\n".join(
+    f"SELECT '{case}' AS \"case\", {'true' if case == 'reordered' else 'false'} AS equal, count(*) > 0 AS any_row FROM silver_sellers" for case in _PLANTED) + """
+UNION ALL SELECT 'known hash', true, count(*) > 0 FROM silver_sellers
+UNION ALL SELECT 'nulls keep their place', true, count(*) > 0 FROM silver_sellers""")
+def dq_content_checksum(spark, sf_dir):
+    """AGG-3, FN-13, DQ-10: the checksum that audit rows carry, over a table and over copies of it with one planted
+    change each; and two known answers of the row hash, stated as constants."""
+    sellers = Layers(spark, sf_dir).silver("sellers").select(*SILVER_COLUMNS["sellers"])
+
+    def total(df: DataFrame):
+        return df.agg(checksum_agg(sellers.columns).alias("x"), F.count(F.lit(1)).alias("n")).first()
+
+    whole = total(sellers)
+    rows = [(case, total(plant(sellers, "seller_id"))["x"] == whole["x"], whole["n"] > 0) for case, plant in _PLANTED.items()]
+    # fixed values: the documented hash of ('Spark', array(123), 2)
+    known = spark.range(1).select(row_hash([F.lit("Spark"), F.array(F.lit(123)), F.lit(2)], compat=True).alias("h"),
+                                  row_hash([F.lit("a"), F.lit(None).cast("string")]).alias("an"), row_hash([F.lit(None).cast("string"), F.lit("a")]).alias("na")).first()
+    rows += [("known hash", known["h"] == 5602566077635097486, whole["n"] > 0), ("nulls keep their place", known["an"] != known["na"], whole["n"] > 0)]
+    return spark.createDataFrame(rows, "case string, equal boolean, any_row boolean")
+
+
 # ------------------------------------------------------------------ landing and jobs, over written files
 # Each query makes a landing zone and a lake below the session's checkpoint folder.
 
@@ -445,34 +491,56 @@ def src_multiline_rows(spark, sf_dir):
     return both.agg(*(F.max(c).alias(c) for c in both.columns))
 
 
-def _run_layers(spark: SparkSession, sf_dir: str) -> jobs.LakePaths:
-    """landing -> bronze -> silver -> gold for three tables and two dimensions, gated."""
-    paths = _zone(spark)
-    _land(spark, sf_dir, paths)
-    for layer, tables in (("bronze", _LANDED), ("silver", _LANDED), ("gold", ("dim_cliente", "dim_vendedor"))):
-        outcomes = jobs.run_layer(spark, paths, layer, tables, run_id=f"run-{layer}", run_ts=RUN_TS, log=None)
-        if not all(o.published for o in outcomes):
-            raise jobs.LayerGateError(layer, outcomes)
-    return paths
-
-
-@register("job_audit", "\nUNION ALL\n".join(
-    f"SELECT '{layer}' AS layer, '{t}' AS table_name, count(*) AS rows, '{cols}' AS columns, {n} AS checks, true AS passed, true AS published, "
-    f"{day} AS source_partition FROM {rel}"
-    for layer, t, rel, n, day, cols in (
-        ("bronze", "customers", "raw_customers", 1, "'2024-02-29'",
-         "customer_id:string,customer_unique_id:string,customer_zip_code_prefix:string,customer_city:string,customer_state:string,data_processamento_bronze:timestamp"),
-        ("silver", "geolocation", "silver_geolocation", 1, "NULL",
-         "geolocation_zip_code_prefix:string,geolocation_lat:double,geolocation_lng:double,geolocation_city:string,geolocation_state:string,data_processamento_bronze:timestamp,dt_criacao_silver:timestamp"),
-        ("gold", "dim_vendedor", "gold_dim_vendedor", 1, "NULL",
-         "seller_id:string,seller_zip_code_prefix:string,seller_city:string,seller_state:string,dt_criacao_gold:timestamp"),
-    )))
+_RUNS: dict[tuple[str, str, bool], jobs.LakePaths] = {}
+
+
+def _run_layers(spark: SparkSession, sf_dir: str, dirty: bool = False) -> jobs.LakePaths:
+    """landing -> bronze -> silver -> gold for all nine tables and seven Gold objects, gated; one run per application and
+    folder, which the queries over a published lake share. Over tables with faults the run stops at the gate."""
+    key = (spark.sparkContext.applicationId, sf_dir, dirty)
+    if key not in _RUNS:
+        paths, L = _zone(spark), Layers(spark, sf_dir, dirty)
+        raw = {t.name: L.raw(t.name) for t in TABLES}
+        if dirty:  # its fault is to have no row, and a drop that lacks a table stops a run before any gate
+            raw["category_name"] = Layers(spark, sf_dir).raw("category_name")
+        jobs.land_tables(raw, paths.landing, "2024-02-29", max_parallel=4)
+        try:
+            jobs.run_all(spark, paths, run_ts=RUN_TS, max_parallel=4, log=None)
+        except jobs.LayerGateError:
+            if not dirty:
+                raise
+        _RUNS[key] = paths
+    return _RUNS[key]
+
+
+def _audit_sql(layer: str, table: str, rel: str, columns: str, day: str) -> str:
+    checks = sum(t == table for t, *_ in SUITES[layer])
+    return (f"SELECT '{layer}' AS layer, '{table}' AS table_name, count(*) AS rows, '{columns}' AS columns, {checks} AS checks, true AS passed, "
+            f"true AS published, {day} AS source_partition FROM {rel}")
+
+
+_BRONZE_STAMP, _SILVER_STAMP, _GOLD_STAMP = (f"{c}:timestamp" for c in ("data_processamento_bronze", "dt_criacao_silver", "dt_criacao_gold"))
+_AUDIT = "\nUNION ALL\n".join([
+    *(_audit_sql("bronze", t, f"raw_{t}", ",".join(c.split(":")[0] + ":string" for c in cols.split(",")) + f",{_BRONZE_STAMP}", "'2024-02-29'") for t, cols in RAW_MANIFEST.items()),
+    *(_audit_sql("silver", t, f"silver_{t}", f"{cols},{_BRONZE_STAMP},{_SILVER_STAMP}", "NULL") for t, cols in RAW_ORDER_MANIFEST.items()),
+    *(_audit_sql("gold", t, f"gold_{t}", cols.replace("dt_criacao_gold", _GOLD_STAMP), "NULL") for t, cols in GOLD_MANIFEST.items())])
+
+
+@register("job_audit", _AUDIT)
 def job_audit(spark, sf_dir):
-    """SNK-3, JOB-1..3: the audit rows of a whole run, read back."""
+    """SNK-3, JOB-1..3: every audit row of a whole run, read back."""
     audit = layers.read_audit(spark, _run_layers(spark, sf_dir).lake)
-    wanted = F.concat_ws("/", "layer", "table_name").isin("bronze/customers", "silver/geolocation", "gold/dim_vendedor")
-    return audit.where(wanted).select("layer", "table_name", "rows", F.array_join("columns", ",").alias("columns"),
-                                      F.size("checks").alias("checks"), "passed", "published", "source_partition")
+    return audit.select("layer", "table_name", "rows", F.array_join("columns", ",").alias("columns"), F.size("checks").alias("checks"), "passed", "published", "source_partition")
+
+
+@register("job_gate", "SELECT layer, table_name, bool_and(passed) AS passed, bool_and(passed) AS published, CAST(count_if(NOT passed) AS BIGINT) AS failed_checks FROM (\n"
+          + suite_sql("bronze") + "\nUNION ALL\n" + suite_sql("silver") + ") AS c WHERE table_name <> 'category_name' GROUP BY layer, table_name\n"
+          "UNION ALL SELECT unnest(['bronze', 'silver']), 'category_name', true, true, 0", dirty=True)
+def job_gate(spark, sf_dir):
+    """JOB-4: over tables with faults, what fails is not published and no Gold object is tried."""
+    audit = layers.read_audit(spark, _run_layers(spark, sf_dir, dirty=True).lake)
+    failed = F.size(F.filter("checks", lambda c: ~c["passed"])).cast("long")
+    return audit.select("layer", "table_name", "passed", "published", failed.alias("failed_checks"))
 
 
 @register("job_layers", "SELECT *, TIMESTAMP '2024-03-01 12:00:00' AS dt_criacao_gold FROM gold_dim_cliente")
@@ -482,16 +550,35 @@ def job_layers(spark, sf_dir):
     return dim.withColumn("dt_criacao_gold", F.col("dt_criacao_gold").cast("timestamp_ntz"))
 
 
-@register("src_layers", "\nUNION ALL\n".join(f"SELECT '{t}' AS table_name, count(*) AS linhas, {n} AS colunas FROM silver_{t}" for t, n in (
-    ("customers", 7), ("sellers", 6), ("geolocation", 7))))
+@register("job_fact", "SELECT *, CAST(date_trunc('month', data_pedido) AS DATE) AS data_pedido_mes FROM gold_fato_pedidos_itens")
+def job_fact(spark, sf_dir):
+    """SRC-4, SNK-1: the published item fact, with the layout column of its month."""
+    return layers.read_layer(spark, _run_layers(spark, sf_dir).lake, "gold", "fato_pedidos_itens").drop("dt_criacao_gold")
+
+
+@register("src_layers", "\nUNION ALL\n".join(f"SELECT '{t}' AS table_name, count(*) AS linhas, {len(cols.split(',')) + 2} AS colunas FROM silver_{t}" for t, cols in MANIFEST.items()))
 def src_layers(spark, sf_dir):
-    """SRC-5: several tables of a layer at once."""
-    silver = layers.read_layers(spark, _run_layers(spark, sf_dir).lake, "silver", _LANDED)
+    """SRC-5: all tables of a layer at once."""
+    silver = layers.read_layers(spark, _run_layers(spark, sf_dir).lake, "silver", [t.name for t in TABLES])
     return reduce(DataFrame.unionByName, [
         df.agg(F.count(F.lit(1)).alias("linhas")).select(F.lit(t).alias("table_name"), "linhas", F.lit(len(df.columns)).alias("colunas"))
         for t, df in silver.items()])
 
 
+@register("job_stamp", "SELECT 'sellers' AS table_name, count(*) AS linhas, CAST(1 AS BIGINT) AS carimbos, true AS no_intervalo FROM silver_sellers")
+def job_stamp(spark, sf_dir):
+    """FN-11: without a given time a run stamps its rows with the time it had, one for all of them."""
+    paths = _zone(spark)
+    _land(spark, sf_dir, paths, ("sellers",))
+    before = dt.datetime.now(dt.timezone.utc)
+    jobs.bronze_job(spark, paths, "sellers", log=None)
+    after = dt.datetime.now(dt.timezone.utc)
+    stamp = F.col(jobs.STAMP["bronze"])
+    lo, hi = (F.lit(t.isoformat()).cast("timestamp") for t in (before, after))
+    return layers.read_layer(spark, paths.lake, "bronze", "sellers").agg(
+        F.lit("sellers").alias("table_name"), F.count(F.lit(1)).alias("linhas"), F.count_distinct(stamp).alias("carimbos"), F.bool_and(stamp.between(lo, hi)).alias("no_intervalo"))
+
+
 @register("dq_run_comparison", """
 WITH n AS (SELECT count(*) AS c FROM silver_sellers)
 SELECT 1 AS run, true AS passed, true AS published, c AS rows, CAST(NULL AS BIGINT) AS previous_rows, CAST(NULL AS BOOLEAN) AS unchanged FROM n

@@ -126,7 +126,7 @@ def monthly_publish(spark, sf_dir):
 
 @register("monthly_outcomes", f"""
 WITH g AS (SELECT *, date_trunc('month', data_avaliacao) AS m FROM gold_fato_avaliacoes),
-n AS (SELECT count(*) AS base, count_if(m = DATE '{_GONE}') AS gone, count_if(m = DATE '{_CHANGED}' AND review_score <> 3) AS changed, count(DISTINCT coalesce(m, DATE '1900-01-01')) AS months FROM g)
+n AS (SELECT count(*) AS base, CAST(count_if(m = DATE '{_GONE}') AS BIGINT) AS gone, CAST(count_if(m = DATE '{_CHANGED}' AND review_score <> 3) AS BIGINT) AS changed, count(DISTINCT coalesce(m, DATE '1900-01-01')) AS months FROM g)
 SELECT 1 AS run, base AS inserted, CAST(0 AS BIGINT) AS updated, CAST(0 AS BIGINT) AS deleted, months AS written, true AS published FROM n
 UNION ALL SELECT 2, gone, changed, gone, CAST(changed > 0 AS BIGINT) + CAST(gone > 0 AS BIGINT), true FROM n
 UNION ALL SELECT 3, 0, 0, 0, 0, false FROM n""")

@@ -336,6 +336,20 @@ MANIFEST = {
 MANIFEST_SQL = "\nUNION ALL\n".join(
     f"SELECT 'silver' AS layer, '{t}' AS table_name, count(*) AS linhas, '{cols}' AS colunas FROM silver_{t}" for t, cols in MANIFEST.items())
 
+# ---- the columns of a run's audit rows: landing order for Bronze and Silver, Gold with its stamp and layout column ----
+GOLD_MANIFEST = {
+    "dim_cliente": "customer_id:string,customer_unique_id:string,customer_zip_code_prefix:string,customer_city:string,customer_state:string,dt_criacao_gold",
+    "dim_produto": "product_category_name:string,product_id:string,product_weight_g:double,product_length_cm:double,product_height_cm:double,"
+                   "product_width_cm:double,product_category_name_english:string,dt_criacao_gold",
+    "dim_vendedor": "seller_id:string,seller_zip_code_prefix:string,seller_city:string,seller_state:string,dt_criacao_gold",
+    "dim_tempo": "data:date,ano:int,mes:int,dia:int,trimestre:int,dia_semana:int,dt_criacao_gold",
+    "fato_pedidos_itens": "order_id:string,order_item_id:int,product_id:string,seller_id:string,price:double,freight_value:double,customer_id:string,"
+                          "order_status:string,data_pedido:date,prazo_entrega_dias:int,atraso_entrega_dias:int,entregue_com_atraso:boolean,dt_criacao_gold,data_pedido_mes:date",
+    "fato_pagamentos": "order_id:string,payment_sequential:int,payment_type:string,payment_installments:int,payment_value:double,dt_criacao_gold",
+    "fato_avaliacoes": "review_id:string,order_id:string,review_score:int,data_avaliacao:date,dias_ate_resposta:int,dt_criacao_gold,data_avaliacao_mes:date",
+}
+RAW_MANIFEST = RAW_ORDER_MANIFEST = MANIFEST
+
 
 def _portable(column: str) -> str:
     name, kind = column.split(":")
