@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakestrata.llm.near_dedup import NO_ID, components
+from lakestrata.llm.near_dedup import NO_ID, components, label_of
 from lakestrata.llm.tables import Scratch, documents, small
 
 LIMIT = 0.9
@@ -145,20 +145,6 @@ def _placed(classes: DataFrame, cells, limit: float) -> DataFrame:
     return classes.select("cls", "copies", "vec").mapInArrow(run, f"cls long, copies long, vec {kind}, cells array<int>, core int, dim int")
 
 
-def _forest(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
-    """For each of n rows the smallest row that links (a, b) connect it with."""
-    label = np.arange(n)
-    while True:
-        low = np.minimum(label[a], label[b])
-        after = label.copy()
-        np.minimum.at(after, a, low)
-        np.minimum.at(after, b, low)
-        after = after[after]
-        if (after == label).all():
-            return label
-        label = after
-
-
 def block_links(table: pa.Table, cell: int, one: int, two: int, limit: float) -> pa.Table:
     """(cls, links, node, other): links of each class of two blocks with the other block (or inside one), and for every
     node but the first of a local component that first one as ``other``."""
@@ -185,7 +171,7 @@ def block_links(table: pa.Table, cell: int, one: int, two: int, limit: float) ->
         found.append((a[new], b[new]))
     a, b = (np.concatenate(z) for z in zip(*found)) if found else (np.zeros(0, int), np.zeros(0, int))
     links = np.bincount(a, weights=copies[b], minlength=len(cls)) + np.bincount(b, weights=copies[a], minlength=len(cls))
-    root = _forest(a, b, len(cls))
+    root = label_of(len(cls), a, b)
     some = (links > 0) | (root != np.arange(len(cls)))
     return pa.table({"cls": cls[some], "links": links[some].astype(np.int64), "node": node[some], "other": node[root][some]})
 

@@ -17,8 +17,8 @@ rules out copies with edits of their own, and classes with a small core altogeth
 gives ``CENTRES`` more classes against its others, round after round, until no pair in different components
 is unverified: no link is lost, however large the bucket.
 
-*Components.* Links are joined by rounds of smallest-label exchange and pointer jumping. Links,
-components and sketches stay in tables; the driver sees counts only.
+*Components.* Links are joined by rounds of smallest-label exchange and pointer jumping, a few of them in one task; links
+found later join labels, not classes. Links, components and sketches stay in tables; the driver sees counts only.
 
 Defined results: a null or empty text has an empty set and is linked with nothing; null ids count as larger
 than any other and give a null component id only among themselves; rows with equal ids are linked by their
@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lakestrata.llm.tables import Scratch, documents, small
+from lakestrata.llm.tables import MAX_BROADCAST_KEYS, Scratch, documents, small
 from lakestrata.llm.words import Words, mix64, word_slices
 
 SHINGLE, PERCENT = 5, 80
@@ -44,6 +44,8 @@ ROWS = 4
 MISS = 1e-7  # chance that two sets at the limit share no band
 CENTRES = 32
 RARE = 8
+#: links whose components are found in one task (16 bytes each)
+ONE_TASK = 1 << 16
 NO_ID = (1 << 63) - 1
 _U = np.uint64
 
@@ -178,26 +180,70 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(run, "a long, b long")
 
 
+def label_of(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """For each of n nodes the smallest one that links (a, b) connect it with."""
+    label = np.arange(n)
+    while True:
+        low = np.minimum(label[a], label[b])
+        after = label.copy()
+        np.minimum.at(after, a, low)
+        np.minimum.at(after, b, low)
+        after = after[after]
+        if (after == label).all():
+            return label
+        label = after
+
+
+def _few_components(links: DataFrame) -> DataFrame:
+    """(cls, label) of at most ``ONE_TASK`` links, in one task."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = pa.Table.from_batches(list(batches), schema=pa.schema([("a", pa.int64()), ("b", pa.int64())]))
+        ends = [table.column(c).to_numpy() for c in (0, 1)]
+        nodes, at = np.unique(np.concatenate(ends), return_inverse=True)
+        label = label_of(len(nodes), at[: len(ends[0])], at[len(ends[0]):])
+        yield pa.RecordBatch.from_arrays([pa.array(nodes), pa.array(nodes[label])], names=["cls", "label"])
+
+    return links.select("a", "b").coalesce(1).mapInArrow(run, "cls long, label long")
+
+
 def components(links: DataFrame, scratch: Scratch, tag: str) -> DataFrame:
-    """(cls, label): the smallest class key of each component of ``links`` (a, b). Every round takes the
-    smallest label of a node and its neighbours, then jumps to the label's label."""
+    """(cls, label): the smallest key of each component of the written ``links`` (a, b). Up to ``ONE_TASK`` links are one
+    step. More take rounds: each gives a node the smallest label of itself and its neighbours, by one shuffle, and then
+    its label's label."""
+    if links.count() <= ONE_TASK:
+        return scratch.keep(_few_components(links), f"{tag}-labels")
     both = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     edges = scratch.keep(both.distinct(), f"{tag}-edges")
     labels = scratch.keep(edges.groupBy("a").agg(F.least(F.first("a"), F.min("b")).alias("label")).withColumnRenamed("a", "cls"), f"{tag}-0")
+    hint = F.broadcast if labels.count() <= MAX_BROADCAST_KEYS else lambda x: x
     step = 0
     while True:
         step += 1
-        near = edges.join(labels.select(F.col("cls").alias("b"), "label"), "b").groupBy("a").agg(F.min("label").alias("near"))
-        lower = labels.join(near.withColumnRenamed("a", "cls"), "cls").select(
-            "cls", F.col("label").alias("was"), F.least("label", "near").alias("label"))
-        jump = labels.select(F.col("cls").alias("at"), F.col("label").alias("over"))
-        moved = scratch.keep(lower.join(jump, lower["label"] == jump["at"], "left").select(
-            "cls", "was", F.least("label", F.coalesce("over", "label")).alias("label")), f"{tag}-{step}")
+        of = hint(labels.select(F.col("cls").alias("at"), F.col("label").alias("over")))
+        offered = edges.join(of, F.col("b") == F.col("at")).select(F.col("a").alias("cls"), F.col("over").alias("label"), F.lit(None).cast("long").alias("was"))
+        lower = offered.union(labels.select("cls", "label", F.col("label").alias("was"))).groupBy("cls").agg(F.min("label").alias("label"), F.max("was").alias("was"))
+        moved = scratch.keep(lower.join(of, F.col("label") == F.col("at"), "left").select("cls", "was", F.least("label", F.coalesce("over", "label")).alias("label")),
+                             f"{tag}-{step}")
+        if step > 1:
+            scratch.drop(f"{tag}-{step - 2}")
         if not moved.filter("label < was").limit(1).count():
+            scratch.drop(f"{tag}-edges", f"{tag}-{step - 1}")
             return moved.select("cls", "label")
         labels = moved.select("cls", "label")
-        if step > 1:
-            scratch.drop(f"{tag}-{step - 2}")
+
+
+def with_links(labels: DataFrame, more: DataFrame, scratch: Scratch, tag: str) -> DataFrame:
+    """The labels after further written links (a, b): components are searched among labels, not among nodes."""
+    of = small(labels)
+    ends = more
+    for side in ("a", "b"):
+        ends = ends.join(of.select(F.col("cls").alias(side), F.col("label").alias(f"of_{side}")), side, "left")
+    ends = ends.select(F.coalesce("of_a", "a").alias("a"), F.coalesce("of_b", "b").alias("b")).filter("a != b").distinct()
+    joined = components(scratch.keep(ends, f"{tag}-ends"), scratch, tag).select(F.col("cls").alias("old"), F.col("label").alias("now"))
+    few = small(joined)
+    known = labels.join(few, F.col("label") == F.col("old"), "left").select("cls", F.coalesce("now", "label").alias("label"))
+    new = joined.join(of, F.col("old") == F.col("cls"), "left_anti").select(F.col("old").alias("cls"), F.col("now").alias("label"))
+    return scratch.keep(known.union(new), f"{tag}-all")
 
 
 def _rare_shingles(sets: DataFrame, left: DataFrame) -> DataFrame:
@@ -207,9 +253,10 @@ def _rare_shingles(sets: DataFrame, left: DataFrame) -> DataFrame:
     return each.join(few, "s")
 
 
-def find_links(members: DataFrame, sets: DataFrame, scratch: Scratch, percent: int) -> tuple[DataFrame, DataFrame]:
-    """(links, labels): all links (a, b), up to ones inside a component, between classes that share a bucket,
-    and the components' (cls, label). ``members``: (bucket, cls, n, copies)."""
+def find_links(members: DataFrame, meets: DataFrame, sets: DataFrame, scratch: Scratch, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(links, labels): links (a, b) between classes that share a bucket, all up to ones inside a component, and the
+    components' (cls, label). ``members``: (bucket, cls, n, copies); ``meets``: (cls, meets), how many others a class
+    meets over all its buckets."""
     def alike(a: Column, b: Column) -> Column:
         return 100 * F.least(a, b) >= percent * F.greatest(a, b)
 
@@ -217,21 +264,19 @@ def find_links(members: DataFrame, sets: DataFrame, scratch: Scratch, percent: i
         """Whether sets of a and b shingles with at most ``common`` common ones can reach the limit."""
         return (100 + percent) * common >= percent * (a + b)
 
-    # a bucket's centre is the class that meets most others over all its buckets: copies meet their origin
-    # more often than each other
-    sizes = members.groupBy("bucket").agg(F.count("*").alias("size"))
-    meets = members.join(sizes, "bucket").groupBy("cls").agg(F.sum("size").alias("meets"))
-    centre = members.join(meets, "cls").groupBy("bucket").agg(F.max(F.struct("meets", "copies", "cls", "n")).alias("c"))
-    centres = scratch.keep(centre.select("bucket", F.col("c.cls").alias("a"), F.col("c.n").alias("n_a")), "centres")
-    pairs = members.join(centres, "bucket").filter((F.col("cls") != F.col("a")) & alike(F.col("n"), F.col("n_a")))
-    pairs = pairs.select("a", F.col("cls").alias("b")).distinct()
-    links = scratch.keep(verified(pairs, sets, percent), "links-0")
-    left = members.join(centres.select("bucket", F.col("a").alias("cls")), ["bucket", "cls"], "left_anti")
-    labels, step = components(links, scratch, "round-0"), 0
+    # a bucket's centre is the class that meets most others: copies meet their origin more often than each other
+    centre = members.join(small(meets.select("cls", "meets")), "cls").groupBy("bucket").agg(F.max(F.struct("meets", "copies", "cls", "n")).alias("c"))
+    centres = small(scratch.keep(centre.select("bucket", F.col("c.cls").alias("a"), F.col("c.n").alias("n_a")), "centres"))
+    others = members.join(centres, "bucket").filter(F.col("cls") != F.col("a"))
+    pairs = others.filter(alike(F.col("n"), F.col("n_a"))).select("a", F.col("cls").alias("b")).distinct()
+    links = scratch.keep(verified(small(scratch.keep(pairs, "pairs-0")), sets, percent), "links-0")
+    labels, step, left = components(links, scratch, "round-0"), 0, others.select(*members.columns)
     while True:
-        # classes in buckets that still hold two components, without those that met all others there
-        now = left.drop("label").join(labels, "cls", "left").withColumn("label", F.coalesce("label", "cls"))
-        now = scratch.keep(_open(now, F.lit(True)), f"open-{step}")
+        # classes in buckets that still hold two components, without those that met all others there; a class whose core
+        # is too small for the smallest other one of its bucket is settled there
+        now = left.drop("label").join(small(labels), "cls", "left").withColumn("label", F.coalesce("label", "cls"))
+        alive = F.lit(True) if "core" not in now.columns else may_link(F.col("core"), F.col("n"), F.col("least_n"))
+        now = scratch.keep(_open(now, alive), f"open-{step}")
         if not now.limit(1).count():
             return links, labels
         step += 1
@@ -239,19 +284,21 @@ def find_links(members: DataFrame, sets: DataFrame, scratch: Scratch, percent: i
         if step == 1:
             # pairs with a rare shingle in common are counted out; all others have at most their cores in common
             rare = scratch.keep(_rare_shingles(sets, now), "rare")
-            cores = now.select("cls", "n", "label").distinct().join(rare.groupBy("cls").agg(F.count("*").alias("rare")), "cls", "left")
-            cores = scratch.keep(cores.select("cls", "n", "label", (F.col("n") - F.coalesce("rare", F.lit(0))).alias("core")), "cores")
+            own = members.groupBy("cls").agg(F.collect_set("bucket").alias("own"))  # as many as there are bands at most
+            cores = now.select("cls", "n", "label").distinct().join(small(scratch.keep(rare.groupBy("cls").agg(F.count("*").alias("rare")), "n-rare")), "cls", "left")
+            cores = cores.select("cls", "n", "label", (F.col("n") - F.coalesce("rare", F.lit(0))).alias("core")).join(own, "cls")
+            cores = scratch.keep(cores, "cores")
+            facts = small(cores.drop("own"))
             shared = rare.select("s", F.col("cls").alias("a")).join(rare.select("s", F.col("cls").alias("b")), "s").filter("a < b")
             shared = shared.groupBy("a", "b").agg(F.count("*").alias("both"))
             for side in ("a", "b"):
-                shared = shared.join(cores.select(*(F.col(c).alias(f"{c}_{side}" if c != "cls" else side) for c in cores.columns)), side)
+                shared = shared.join(facts.select(*(F.col(c).alias(f"{c}_{side}" if c != "cls" else side) for c in ("cls", "n", "label", "core"))), side)
             of_rare = shared.filter((F.col("label_a") != F.col("label_b")) & alike(F.col("n_a"), F.col("n_b"))
                                     & may_link(F.col("both") + F.least("core_a", "core_b"), F.col("n_a"), F.col("n_b"))).select("a", "b")
-            own = members.groupBy("cls").agg(F.collect_set("bucket").alias("own"))  # as many as there are bands at most
-            now = now.join(cores.select("cls", "core"), "cls").join(own, "cls")
-        # a class whose core is too small for the smallest other one of its bucket is settled there
-        now = scratch.keep(_open(now, may_link(F.col("core"), F.col("n"), F.col("least_n"))), f"left-{step}")
-        size = now.groupBy("bucket", "label").agg(F.count("*").alias("in_bucket"))
+            now = now.join(cores.select("cls", "core", "own"), "cls")
+            now = scratch.keep(_open(now, may_link(F.col("core"), F.col("n"), F.col("least_n"))), "left-1")
+        # a bucket's first classes, those of small components before others
+        size = small(scratch.keep(now.groupBy("bucket", "label").agg(F.count("*").alias("in_bucket")), f"sizes-{step}"))
         order = Window.partitionBy("bucket").orderBy("in_bucket", "n", "label", "cls")
         first = now.join(size, ["bucket", "label"]).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= CENTRES)
         first = scratch.keep(first.select("bucket", F.col("cls").alias("a"), F.col("n").alias("n_a"), F.col("core").alias("core_a"),
@@ -261,12 +308,13 @@ def find_links(members: DataFrame, sets: DataFrame, scratch: Scratch, percent: i
                                                  # a pair is met in the least of its common buckets only
                                                  & (F.array_min(F.array_intersect("own", "own_a")) == F.col("bucket")))
         pairs = pairs.select(F.least("a", "cls").alias("a"), F.greatest("a", "cls").alias("b"))
-        pairs = (pairs if of_rare is None else pairs.union(of_rare)).distinct()
-        more = scratch.keep(verified(pairs, sets, percent), f"links-{step}")
-        if more.limit(1).count():
-            links = links.union(more)
-            labels = components(links, scratch, f"round-{step}")
-        left = now.join(first.select("bucket", F.col("a").alias("cls")), ["bucket", "cls"], "left_anti")
+        pairs = scratch.keep((pairs if of_rare is None else pairs.union(of_rare)).distinct(), f"pairs-{step}")
+        if pairs.limit(1).count():
+            more = scratch.keep(verified(small(pairs), sets, percent), f"links-{step}")
+            if more.limit(1).count():
+                links = links.union(more)
+                labels = with_links(labels, more, scratch, f"round-{step}")
+        left = now.join(small(first.select("bucket", F.col("a").alias("cls"))), ["bucket", "cls"], "left_anti")
 
 
 def _open(now: DataFrame, alive: Column) -> DataFrame:
@@ -293,15 +341,15 @@ def _classes(docs: DataFrame, scratch: Scratch, id_col: str, text_col: str, shin
     classes = every.filter("n > 0").groupBy("cls").agg(F.min("id").alias("first_id"), F.first("n").alias("n"), F.count("*").alias("copies"),
                                                        F.first("bands").alias("bands"))
     classes = scratch.keep(classes, "classes")
-    keyed = classes.select("cls", "n", "copies", F.explode("bands").alias("bucket"))
-    shared = scratch.keep(keyed.groupBy("bucket").agg(F.count("*").alias("c")).filter("c > 1").select("bucket"), "buckets")
-    members = scratch.keep(keyed.join(shared, "bucket", "left_semi"), "members")
-    wanted = members.select("cls").distinct().join(classes.select("cls", "first_id"), "cls")
-    wanted = scratch.keep(wanted, "wanted")
+    keyed = classes.select("cls", "n", "copies", "first_id", F.explode("bands").alias("bucket"))
+    shared = scratch.keep(keyed.groupBy("bucket").agg(F.count("*").alias("size")).filter("size > 1"), "buckets")
+    members = scratch.keep(keyed.join(small(shared), "bucket"), "members")
+    wanted = scratch.keep(members.groupBy("cls", "first_id").agg(F.sum("size").alias("meets")), "wanted")
+    # texts of other classes under a first id, which rows with equal ids give, go again by their class
     text = rows.select("id", "text").join(small(wanted.select(F.col("first_id").alias("id")).distinct()), "id", "left_semi")
-    sets = _set_rows(text, shingle).withColumn("cls", _class_key()).dropDuplicates(["cls"]).select("cls", "shingles")
-    sets = scratch.keep(sets.join(wanted.select("cls"), "cls", "left_semi"), "sets")
-    _, labels = find_links(members, sets, scratch, percent)
+    sets = _set_rows(text, shingle).withColumn("cls", _class_key()).join(small(wanted.select("cls")), "cls", "left_semi")
+    sets = scratch.keep(sets.dropDuplicates(["cls"]).select("cls", "shingles"), "sets")
+    _, labels = find_links(members.drop("size", "first_id"), wanted, sets, scratch, percent)
     named = classes.select("cls", "first_id").join(labels, "cls", "left").withColumn("label", F.coalesce("label", "cls"))
     return every.drop("sig1", "sig2", "bands"), named
 
