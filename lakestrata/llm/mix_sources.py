@@ -1,7 +1,8 @@
 """Operator 2: mixing sources to target weights with a multivariate-hypergeometric splitting tree.
 
-1. Every source's documents fall by hash into at most ``BLOCKS`` blocks, so even a source with a third of
-   all rows is spread over thousands of keys. Only sums per block go on.
+1. Every source's documents fall by hash into at least ``BLOCKS`` blocks, more in a table of so many rows that a block
+   would exceed ``BLOCK_ROWS``, so even a source with a third of all rows is spread over thousands of keys. Only sums per
+   block go on.
 2. Sources get targets by weight; a target stops at ``MAX_REPEATS`` times the source's size and the excess
    goes to the others (water level). A source's quota is the number of blocks it draws: all blocks once per
    full pass, then blocks in permuted order until the target is met; the last block is trimmed to the word.
@@ -11,7 +12,9 @@
 4. Each source permutes its drawn blocks and deals them to the shards by these quotas: the draws are
    disjoint. Inside a shard, rows are ordered by hash.
 
-All of it is SQL expressions. Everything that is not per document is bounded by sources x ``BLOCKS``.
+All of it is SQL expressions. Everything that is not per document is bounded by sources x blocks. Texts stay where they
+are read until ``mixed_documents`` sends each drawn one to its shard; only the rows of a trimmed block, one per source,
+are ordered.
 Randomness is hashes of the seed, so reruns agree.
 
 Defined results: a null source is a source of its own, last in the order; a null or empty text has size 0
@@ -21,16 +24,18 @@ an empty table gives an empty mix; columns of the input keep their values, whate
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from lakestrata.llm.tables import Scratch, documents
+from lakestrata.llm.tables import Scratch, documents, small
 
 WEIGHTS = (5, 2, 1)
 MAX_REPEATS = 3
 BLOCKS = 4096
+BLOCK_ROWS = 1 << 16
 SHARD_WORDS = 1 << 23
-MAX_SHARDS = 4096
 SEED = 20240229
 
 _WORD = r"[^\x20\x09-\x0D]+"
@@ -41,15 +46,22 @@ def _uniform(*parts: Column) -> Column:
     return F.shiftrightunsigned(F.xxhash64(*parts), 11) / F.lit(float(1 << 53))
 
 
-def sized(docs: DataFrame, id_col: str, text_col: str, source_col: str, seed: int) -> DataFrame:
-    """``docs`` as one struct ``row`` with its size in words, source key, block and place in the block."""
+def blocks_for(rows: int) -> int:
+    return max(BLOCKS, 1 << (max(rows - 1, 0) // BLOCK_ROWS).bit_length())
+
+
+def placed(docs: DataFrame, id_col: str, text_col: str, source_col: str, seed: int, columns: Sequence[str], blocks: int = BLOCKS) -> DataFrame:
+    """``docs`` as one struct ``row`` of ``columns`` with its text, source key, block and place in the block."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(
-        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
-        F.col(id_col).alias("id"), F.col(source_col).alias("source"),
-        F.regexp_count(text, F.lit(_WORD)).cast("long").alias("size"), F.xxhash64(F.lit(seed), F.col(id_col), text).alias("place"))
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in columns)).alias("row"), F.col(id_col).alias("id"), F.col(source_col).alias("source"),
+                       text.alias("text"), F.xxhash64(F.lit(seed), F.col(id_col), text).alias("place"))
     return rows.withColumns({"skey": F.coalesce(F.concat(F.lit("s"), F.col("source").cast("string")), F.lit("n")),
-                             "block": F.pmod("place", F.lit(BLOCKS)).cast("int")})
+                             "block": F.pmod("place", F.lit(blocks)).cast("int")})
+
+
+def sized(rows: DataFrame) -> DataFrame:
+    """The rows with their size in words instead of the text."""
+    return rows.withColumn("size", F.regexp_count("text", F.lit(_WORD)).cast("long")).drop("text")
 
 
 def source_targets(blocks: DataFrame, weights: tuple[int, ...] = WEIGHTS, max_repeats: int = MAX_REPEATS) -> DataFrame:
@@ -124,26 +136,26 @@ def deal(draws: DataFrame, depth: int, seed: int) -> DataFrame:
 
 
 def draw(docs: DataFrame, scratch: Scratch, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-         weights: tuple[int, ...] = WEIGHTS, seed: int = SEED) -> DataFrame:
-    """One row per row of ``docs``: row (the input row), place, size, source_size, target and ``draws``,
-    an array of (shard, pass, words). At most one document of a source is drawn in part."""
-    spark = docs.sparkSession
-    rows = sized(docs, id_col, text_col, source_col, seed)
-    blocks = scratch.keep(rows.groupBy("skey", "block").agg(F.first("source").alias("source"), F.sum("size").alias("words")), "blocks")
+         weights: tuple[int, ...] = WEIGHTS, seed: int = SEED, columns: Sequence[str] | None = None) -> DataFrame:
+    """One row per row of ``docs``: row (the input row's ``columns``, by default all), place, size, source_size, target and
+    ``draws``, an array of (shard, pass, words). At most one document of a source is drawn in part."""
+    rows = placed(docs, id_col, text_col, source_col, seed, docs.columns if columns is None else columns, blocks_for(docs.count()))
+    blocks = scratch.keep(sized(rows).groupBy("skey", "block").agg(F.first("source").alias("source"), F.sum("size").alias("words")), "blocks")
     sources = scratch.keep(source_targets(blocks, weights), "sources")
     total = blocks.agg(F.sum("words")).first()[0] or 0
-    depth = min(max(0, (max(total, 1) - 1) // SHARD_WORDS).bit_length(), MAX_SHARDS.bit_length() - 1)
+    depth = max(0, (max(total, 1) - 1) // SHARD_WORDS).bit_length()
     draws = scratch.keep(block_draws(blocks, sources, seed), "draws")
     dealt = scratch.keep(deal(draws, depth, seed), "dealt")
     of_block = dealt.groupBy("skey", "block").agg(
         F.array_sort(F.collect_list(F.struct("pass", "shard", "drawn", "trimmed"))).alias("of_block"))  # at most MAX_REPEATS
     plan = blocks.select("skey", "block").join(sources, "skey").join(of_block, ["skey", "block"], "left")
-    out = rows.join(plan.drop("rank"), ["skey", "block"], "left")
-    out = out.withColumn("cut", F.exists("of_block", lambda x: x["trimmed"]))
-    # only a trimmed block's rows are added up; each other row is alone
-    in_block = Window.partitionBy("skey", "block", F.when(F.col("cut"), F.lit(0).cast("long")).otherwise(F.col("place"))).orderBy("place", "id")
+    plan = scratch.keep(plan.drop("rank").withColumn("cut", F.coalesce(F.exists("of_block", lambda x: x["trimmed"]), F.lit(False))), "plan")
+    # only the rows of trimmed blocks are ordered and added up, one block per source
+    whole = sized(rows).join(small(plan.filter("not cut").drop("cut")), ["skey", "block"]).withColumn("before", F.lit(0).cast("long"))
+    in_block = Window.partitionBy("skey", "block").orderBy("place", "id")
     before = F.coalesce(F.sum("size").over(in_block.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    out = out.withColumn("before", before)
+    trimmed = sized(rows.join(small(plan.filter("cut").drop("cut")), ["skey", "block"])).withColumn("before", before)
+    out = whole.unionByName(trimmed)
     got = F.transform("of_block", lambda x: F.struct(
         x["shard"].alias("shard"), x["pass"].alias("pass"),
         F.when(x["trimmed"], F.least("size", F.greatest(F.lit(0).cast("long"), x["drawn"] - F.col("before")))).otherwise(F.col("size")).alias("words")))
@@ -172,7 +184,7 @@ def mixed_documents(docs: DataFrame, scratch: Scratch, *, id_col: str = "doc_id"
 
 
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = draw(documents(spark, sf_dir).select("doc_id", "text", "source"), Scratch(spark, "mix"))
+    out = draw(documents(spark, sf_dir), Scratch(spark, "mix"), columns=["doc_id"])
     return out.select(F.col("row.doc_id").alias("doc_id"), "size", "source_size", "target",
                       F.aggregate("draws", F.lit(0).cast("long"), lambda s, x: s + x["words"]).alias("taken"),
                       F.transform("draws", lambda x: x["shard"]).alias("shards"))
