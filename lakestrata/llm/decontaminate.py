@@ -6,7 +6,8 @@ words are equal. Documents are dropped, or the covered words are cut out.
 
 All of it is SQL expressions: a text becomes one array of words, the positions are generated from it and
 never leave their task unless they hit. The window table is broadcast while it has at most
-``MAX_BROADCAST_WINDOWS`` rows (it is counted); a larger one is joined by shuffle.
+``MAX_BROADCAST_WINDOWS`` rows (it is counted); with a larger one, places go through a shuffle as id, place and hash, and
+only what meets is compared with the text.
 
 Defined results: null texts and texts without a word have no windows and no hits; an item shorter than
 ten words is one window, an item without words none; items with a null id count as the id ``null``; a row
@@ -15,6 +16,8 @@ is judged by its id and text, so repeated rows get equal results; other columns
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,18 +53,25 @@ def benchmark_windows(items: DataFrame, id_col: str = "item_id", text_col: str =
     return at.select("item", "length", F.array_join(F.slice("words", F.col("i"), F.col("length")), " ").alias("phrase")).distinct()
 
 
+def _place_hash(n: int) -> Column:
+    """The hash of the n words from place ``i`` on, null where the text ends before."""
+    return F.when(F.col("i") + n <= F.size("words"), F.xxhash64(F.col("word"), *_next_words(F.col("i"), n)[1:]))
+
+
 def find_hits(docs: DataFrame, windows: DataFrame, lengths: list[int], small: bool) -> DataFrame:
     """(id, text_hash, i, length, phrase): the places (from 0) in ``docs`` (id, text_hash, text) where a
-    phrase of ``windows`` (length, phrase) starts."""
+    phrase of ``windows`` (length, phrase) starts. ``small``: the windows are broadcast; else hashes of places meet hashes
+    of windows, a few numbers a row, and what meets is verified at the text, one row per document."""
     at = docs.select("id", "text_hash", normal_words(F.col("text")).alias("words"))
     at = at.select("id", "text_hash", "words", F.posexplode("words").alias("i", "word"))
+    # the phrases' hash is that of their words, as it is computed at each place
+    words = windows.withColumn("__w", F.split("phrase", " "))
+    hashed = {n: words.filter(F.col("length") == n).select(F.xxhash64(*(F.col("__w")[j] for j in range(n))).alias("h"), F.col("length"), F.col("phrase")) for n in lengths}
+    if not small:
+        return _verified_hits(docs, _met_places(at, hashed))
     for n in lengths:
-        # the phrases' hash is that of their words, as it is computed at each place
-        of_n = windows.filter(F.col("length") == n).withColumn("__w", F.split("phrase", " "))
-        of_n = of_n.select(F.xxhash64(*(F.col("__w")[j] for j in range(n))).alias(f"h{n}"), F.col("phrase").alias(f"p{n}"))
-        inside = F.col("i") + n <= F.size("words")
-        key = F.when(inside, F.xxhash64(F.col("word"), *_next_words(F.col("i"), n)[1:]))
-        at = at.join(F.broadcast(of_n) if small else of_n, key == F.col(f"h{n}"), "inner" if len(lengths) == 1 else "left")
+        of_n = hashed[n].select(F.col("h").alias(f"h{n}"), F.col("phrase").alias(f"p{n}"))
+        at = at.join(F.broadcast(of_n), _place_hash(n) == F.col(f"h{n}"), "inner" if len(lengths) == 1 else "left")
     found = F.array(*(F.when(F.col(f"p{n}") == F.array_join(F.slice("words", F.col("i") + 1, F.lit(n)), " "),
                              F.struct(F.lit(n).alias("length"), F.col(f"p{n}").alias("phrase"))) for n in lengths))
     if len(lengths) > 1:
@@ -70,6 +80,23 @@ def find_hits(docs: DataFrame, windows: DataFrame, lengths: list[int], small: bo
     return hits.select("id", "text_hash", "i", "hit.length", "hit.phrase")
 
 
+def _met_places(at: DataFrame, hashed: dict[int, DataFrame]) -> DataFrame:
+    """(id, text_hash, i, length, phrase) of places and windows with equal hashes; no text goes through the shuffle."""
+    lengths = list(hashed)
+    keys = F.filter(F.array(*(F.struct(F.lit(n).alias("length"), _place_hash(n).alias("h")) for n in lengths)), lambda x: x["h"].isNotNull())
+    places = at.select("id", "text_hash", "i", F.explode(keys).alias("key")).select("id", "text_hash", "i", "key.length", "key.h")
+    return places.join(reduce(DataFrame.unionByName, hashed.values()), ["length", "h"]).drop("h")
+
+
+def _verified_hits(docs: DataFrame, met: DataFrame) -> DataFrame:
+    spots = met.groupBy("id", "text_hash").agg(F.collect_set(F.struct("i", "length", "phrase")).alias("spots"))
+    spots = spots.select(F.col("id").alias("__id"), F.col("text_hash").alias("__hash"), "spots")
+    both = docs.join(spots, F.col("id").eqNullSafe(F.col("__id")) & (F.col("text_hash") == F.col("__hash")))
+    both = both.select("id", "text_hash", "spots", normal_words(F.col("text")).alias("words"))
+    true = F.filter("spots", lambda x: F.array_join(F.slice("words", x["i"] + 1, x["length"]), " ") == x["phrase"])
+    return both.select("id", "text_hash", F.explode(true).alias("hit")).select("id", "text_hash", "hit.i", "hit.length", "hit.phrase")
+
+
 def _hits(docs: DataFrame, windows: DataFrame, scratch: Scratch, id_col: str, text_col: str) -> DataFrame:
     """The distinct (id, text_hash, i, length, phrase) of all hits, written."""
     lengths = sorted(r["length"] for r in windows.select("length").distinct().collect())  # at most a window's words
@@ -104,8 +131,10 @@ def contamination(docs: DataFrame, items: DataFrame, scratch: Scratch, *, id_col
                                                         F.greatest(F.element_at(out, -1)["end"], x["end"]).alias("end")))))
         .otherwise(F.concat(out, F.array(F.struct(x["i"].alias("start"), x["end"].alias("end"))))))
     spans = hits.groupBy("id", "text_hash").agg(spot.alias("at")).select("id", "text_hash", joined.alias("spans"))
-    items_of = hits.select("id", "text_hash", "length", "phrase").distinct().join(windows, ["length", "phrase"])
-    items_of = items_of.groupBy("id", "text_hash").agg(F.array_sort(F.collect_set("item")).alias("items"))
+    # a phrase meets documents with the set of its items, so one that many of both share is a row per document
+    of_phrase = windows.groupBy("length", "phrase").agg(F.collect_set("item").alias("of_phrase"))
+    items_of = hits.select("id", "text_hash", "length", "phrase").distinct().join(of_phrase, ["length", "phrase"])
+    items_of = items_of.groupBy("id", "text_hash").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set("of_phrase")))).alias("items"))
     found = spans.join(items_of, spans["id"].eqNullSafe(items_of["id"]) & (spans["text_hash"] == items_of["text_hash"]), "left").select(
         spans["id"].alias("id2"), spans["text_hash"].alias("hash2"), "spans", "items")
     rows = every.join(found, F.col("id").eqNullSafe(F.col("id2")) & (F.col("text_hash") == F.col("hash2")), "left")
