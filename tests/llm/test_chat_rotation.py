@@ -1,5 +1,6 @@
 from collections import defaultdict
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -67,33 +68,59 @@ def brute_whole(rows, segment):
     out = []
     for c, turns in conv.items():
         for who in {r for _, r, _ in turns} - {"system"}:
-            for s in {t // segment for t, _, _ in turns}:
-                text = "".join(f"<|system|>\n{x}{op.END}" for t, r, x in sorted(turns) if r == "system" and t // segment < s)
-                own, mask = [u for u in sorted(turns) if u[0] // segment == s], []
+            at = 0
+            for s in sorted({t // segment for t, _, _ in turns}):
+                text, own, mask, start = "", [u for u in sorted(turns) if u[0] // segment == s], [], at
                 for _, r, x in own:
-                    text += "<|assistant|>\n" if r == who else "<|system|>\n" if r == "system" else f"<|user {r}|>\n"
-                    start, text = len(text), text + x + op.END
+                    head = "<|assistant|>\n" if r == who else "<|system|>\n" if r == "system" else f"<|user {r}|>\n"
+                    text += head + x + op.END
+                    at += len(head) + len(x) + len(op.END)
                     if r == who:
-                        mask.append((start, len(text)))
-                out.append((c, s, who, len(own), len(mask), text, mask))
+                        mask.append((at - len(x) - len(op.END), at))
+                out.append((c, s, who, start, len(own), len(mask), text, mask))
     return sorted(out, key=str)
 
 
+def whole_rows(df, segment=op.SEGMENT):
+    return sorted(((r["conv_id"], r["segment"], r["speaker"], r["start"], r["n_turns"], r["n_own"], r["text"], [tuple(m) for m in r["mask"]])
+                   for r in op.rotate(df, segment=segment, whole=True).collect()), key=str)
+
+
 @pytest.mark.parametrize("segment", [64, 2])
 def test_whole_dialogue_for_every_speaker(spark, segment):
-    """Everyone sees every segment, with the system turns before it; segments of system turns only stay."""
+    """Everyone sees every segment; segments of system turns only stay; offsets run on; clashing columns do not matter."""
     rows = [*ROWS, (1, 200, "system", "Be brief."), (1, 300, "dee", "new")]
-    got = [(r["conv_id"], r["segment"], r["speaker"], r["n_turns"], r["n_own"], r["text"], [tuple(m) for m in r["mask"]])
-           for r in op.rotate(spark.createDataFrame(rows, TURNS).repartition(3), segment=segment, whole=True).collect()]
-    assert sorted(got, key=str) == brute_whole(rows, segment)
+    df = spark.createDataFrame(rows, TURNS).repartition(3).select("*", *(F.lit(1).alias(x) for x in ("id", "key", "segment", "part", "speaker", "start", "own", "base", "turns")))
+    assert whole_rows(df, segment) == brute_whole(rows, segment)
+
+
+@pytest.mark.parametrize("n", [130, 5000])
+def test_rows_put_together_are_the_dialogue(spark, n):
+    rows = [(7, 0, "system", "Be kind."), *((7, i, "abc"[i % 3], f"t{i} é") for i in range(1, n)), (8, 0, "a", "short")]
+    for who in "abc":
+        parts = sorted((r for r in op.rotate(spark.createDataFrame(rows, TURNS).repartition(3), whole=True).collect() if r["conv_id"] == 7 and r["speaker"] == who),
+                       key=lambda r: (r["segment"], r["part"]))
+        text = "".join(r["text"] for r in parts)
+        assert [r["start"] for r in parts] == [len("".join(x["text"] for x in parts[:i])) for i in range(len(parts))]
+        assert text.count("<|system|>") == 1 and text.startswith(f"<|system|>\nBe kind.{op.END}")
+        spans = [tuple(m) for r in parts for m in r["mask"]]
+        assert [text[a:b] for a, b in spans] == [f"t{i} é{op.END}" for i in range(1, n) if "abc"[i % 3] == who]
+
+
+def test_very_long_text(spark):
+    rows = [(1, 0, "a", "x " * 500_000), (1, 1, "b", "y"), (1, 64, "a", "z")]
+    assert whole_rows(spark.createDataFrame(rows, TURNS)) == brute_whole(rows, op.SEGMENT)
 
 
-def test_query_renders_whole_dialogues(spark, scratch):
-    rows = [(1, 0, "system", "Be kind."), *((1, i, "ab"[i % 2], f"t{i}") for i in range(1, 65))]
+def test_query_and_oracle_agree_on_long_dialogues(spark, scratch):
+    rows = [(c, i, "ab"[i % 2], f"t{i}") for c, n in ((1, 130), (2, 5000), (3, 1)) for i in range(n)] + [(1, 3, "system", "mind"), (4, None, "a", "x")] \
+        + [(5, 1, f"p{i % 2}", f"t{i}") for i in range(9000)]
     spark.createDataFrame(rows, TURNS).write.parquet(f"{scratch}/conversations.parquet")
-    got = {(r["segment"], r["speaker"]): r["text"] for r in op.op10_chat_rotation(spark, scratch).collect()}
-    assert set(got) == {(0, "a"), (0, "b"), (1, "a"), (1, "b")}
-    assert got[1, "b"] == f"<|system|>\nBe kind.{op.END}<|user a|>\nt64{op.END}"
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW conversations AS SELECT * FROM '{scratch}/conversations.parquet/*.parquet'")
+    df = op.op10_chat_rotation(spark, scratch)
+    want = con.execute(f"SELECT {', '.join(df.columns)} FROM ({op.ORACLES['op10_chat_rotation']})").fetchall()
+    assert sorted(map(str, (tuple(r) for r in df.collect()))) == sorted(map(str, want))
 
 
 @pytest.mark.parametrize("whole", [True, False])
