@@ -5,13 +5,13 @@ words of each language; a word's key is a 64-bit hash of language and word. Two
 that table, and the keys are then made anew with another seed, so that keys stand for words without error.
 
 *Top-order windows.* A second pass turns each piece into four lead-window columns: the word at a place and the three
-that follow it, padded with null where the piece ends. Only these longest windows are counted, added up inside each
-task's batches and by a partial aggregate before the one shuffle of windows. A word that a language has less than
-``at_least`` times is in no candidate and in no part of one, so windows end before it as at the end of a piece: no count
-that is used changes, and most windows that occur once never leave their task.
+that follow it, padded where the piece ends. Only these longest windows are counted, by one aggregate. A word that a
+language has less than ``at_least`` times is in no candidate and in no part of one, so a window also ends before such a
+word: no count that is used changes. Frequent words are places in the sorted array of their keys, as many bits as that
+takes, so that a window is two numbers.
 
-*Marginals.* ``ROLLUP`` over the first three columns adds the counted windows up to their prefixes: phrases of three,
-two and one word. There is no pass over the texts for shorter phrases.
+*Marginals.* ``ROLLUP`` adds the counted windows up to their prefixes: phrases of three and two words. There is no pass
+over the texts for shorter phrases; single words are known from the first table.
 
 *Scores.* Everything after that works on the phrases with at least ``at_least`` occurrences: their cuts are joined
 with the counts of both parts, the lowest score counts (exact decimals), and phrases that a longer one explains go. The
@@ -22,9 +22,8 @@ Defined results: null and empty texts have no words; a null language is ``und``;
 ids or texts are counted as often as they occur; without candidates the result is empty; other columns do not matter.
 Scores of equal value are ordered by a, then by the phrase's bytes, which differ between two phrases of a language.
 
-The words' keys are given to tasks as one sorted array if there are at most ``MAX_KEYS`` frequent ones (32 MB);
-windows then hold places in that array. Beyond it they hold the keys and end at pieces only: the counts are the same,
-the shuffle is larger.
+The keys are given to tasks as one array if there are at most ``MAX_KEYS`` frequent words (32 MB). Beyond it windows hold
+the keys themselves, a column each, and do not end before rare words: the counts are the same, the shuffle is larger.
 """
 
 from __future__ import annotations
@@ -44,8 +43,8 @@ ORDER = 4
 AT_LEAST, EXPLAINED, TOP = 30, 80, 2000
 #: frequent words whose keys tasks get as an array (8 bytes each)
 MAX_KEYS = 4_000_000
-#: bytes of text whose windows are added up together in a task
-SLICE = 16 << 20
+#: bytes of text that a task splits at once
+SLICE = 4 << 20
 _U = np.uint64
 _W = [f"w{i}" for i in range(1, ORDER + 1)]
 
@@ -75,50 +74,92 @@ def pieces_and_words(column, langs, seed: int) -> Iterator[tuple[Words, np.ndarr
         yield w, key, piece, lang[lo:hi][of], names
 
 
-def count_words(docs: DataFrame, seed: int) -> DataFrame:
-    """(key, lang, word, f) of (text, lang): every word of every language."""
+def _runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct keys, where each occurs once, how often)."""
+    order = np.argsort(keys)
+    keys = keys[order]
+    at = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
+    return keys[at], order[at], np.diff(np.append(at, len(keys)))
+
+
+def count_words(docs: DataFrame) -> DataFrame:
+    """(lang, word, f) of (text, lang): every word of every language."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for w, key, _, lang, langs in pieces_and_words(batch.column(0), batch.column(1), 0):
+                if len(key):
+                    _, at, count = _runs(key)
+                    begin, n = w.starts[at], (w.ends - w.starts)[at]
+                    to = np.concatenate([[0], np.cumsum(n)])
+                    data = w.buf[np.repeat(begin - to[:-1], n) + np.arange(to[-1])]
+                    words = pa.Array.from_buffers(pa.large_string(), len(at), [None, pa.py_buffer(to.astype(np.int64)), pa.py_buffer(data)])
+                    yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()).take(pa.array(lang[at])), words.cast(pa.string()), pa.array(count)],
+                                                     names=["lang", "word", "f"])
+
+    return docs.mapInArrow(run, "lang string, word string, f long").groupBy("lang", "word").agg(F.sum("f").alias("f"))
+
+
+def with_keys(words: DataFrame, seed: int) -> DataFrame:
+    """(key, lang, word, f) of :func:`count_words`."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for w, key, _, lang, names in pieces_and_words(batch.column(0), batch.column(1), seed):
-                if not len(key):
-                    continue
-                keys, at, count = np.unique(key, return_index=True, return_counts=True)
-                begin, n = w.starts[at], (w.ends - w.starts)[at]
-                to = np.concatenate([[0], np.cumsum(n)])
-                data = w.buf[np.repeat(begin - to[:-1], n) + np.arange(to[-1])]
-                words = pa.Array.from_buffers(pa.large_string(), len(at), [None, pa.py_buffer(to.astype(np.int64)), pa.py_buffer(data)])
-                yield pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(names, pa.string()).take(pa.array(lang[at])), words.cast(pa.string()),
-                                                  pa.array(count)], names=["key", "lang", "word", "f"])
-
-    return docs.mapInArrow(run, "key long, lang string, word string, f long").groupBy("key", "lang", "word").agg(F.sum("f").alias("f"))
-
-
-def lead_windows(ids: np.ndarray, piece: np.ndarray) -> np.ndarray:
-    """One row per word with an id of 0 and more: the word and the three after it, -1 past the end of its piece or
-    before a word without an id."""
+            langs = batch.column(0).dictionary_encode()
+            seeds = lang_seeds(langs.dictionary.to_pylist(), seed)[langs.indices.to_numpy(zero_copy_only=False)]
+            for lo, hi, buf, offsets in text_slices(batch.column(1), SLICE):
+                each = Words(buf, offsets, offsets[:-1], offsets[1:], np.arange(len(offsets)))
+                key = mix64(each.hashes() ^ seeds[lo:hi])
+                yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), *(c.slice(lo, hi - lo) for c in batch.columns)], names=["key", "lang", "word", "f"])
+
+    return words.select("lang", "word", "f").mapInArrow(run, "key long, lang string, word string, f long")
+
+
+def lead_windows(ids: np.ndarray, joined: np.ndarray) -> np.ndarray:
+    """One row per word that the next one is joined to: the word and the three after it, -1 past a word that is not
+    ``joined`` to the one before (``joined[i]``: words i and i + 1)."""
     n = len(ids)
     out = np.full((n, ORDER), -1, np.int64)
     out[:, 0] = ids
-    live = ids >= 0
+    live = np.ones(n, bool)
     for j in range(1, min(ORDER, n)):
-        live = live[:-1] & (ids[j:] >= 0) & (piece[j:] == piece[: n - j])
+        live = live[:-1] & joined[j - 1:]
         out[: n - j, j] = np.where(live, ids[j:], -1)
-    return out[ids >= 0]
+    return out[out[:, 1] >= 0]
+
+
+class _Packed:
+    """Windows as two columns: words are numbers from 1, of as many bits as ``n`` of them take; 0 is padding."""
+
+    def __init__(self, n: int) -> None:
+        self.bits = max(1, (n + 1).bit_length())
+        self.first = 3 if 3 * self.bits <= 63 else 2  # words in the first column
+        self.names = ["one", "two"]
+
+    def pack(self, windows: np.ndarray) -> list[np.ndarray]:
+        out = []
+        for words in (windows.T[: self.first], windows.T[self.first:]):
+            column = np.zeros(len(windows), np.int64)
+            for w in words:
+                column = column << self.bits | w + 1
+            out.append(column)
+        return out
+
+    def word(self, i: int) -> Column:
+        """Word i of a window, -1 for padding."""
+        column, left = ("one", self.first - 1 - i) if i < self.first else ("two", ORDER - 1 - i)
+        return F.shiftright(column, left * self.bits).bitwiseAND(F.lit((1 << self.bits) - 1).cast("long")) - 1
+
+    def pair(self) -> Column:
+        return F.shiftright("one", (self.first - 2) * self.bits)
 
+    def of_pair(self, pair: str) -> list[Column]:
+        return [F.shiftright(pair, self.bits) - 1, F.col(pair).bitwiseAND(F.lit((1 << self.bits) - 1).cast("long")) - 1]
 
-def _added_up(windows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(distinct rows, how often each occurs)."""
-    order = np.lexsort(windows.T[::-1])
-    windows = windows[order]
-    new = np.ones(len(windows), bool)
-    new[1:] = (windows[1:] != windows[:-1]).any(1)
-    at = np.flatnonzero(new)
-    return windows[at], np.diff(np.append(at, len(windows)))
 
+def _windows(docs: DataFrame, seed: int, keys, packed: _Packed) -> DataFrame:
+    """The top-order windows of (text, lang) that hold two words and more, one row for each. With ``keys``, a broadcast
+    array of the frequent words' sorted keys, packed places; without it (w1, w2, w3, w4): the words' keys, -1 for padding."""
+    names = _W if keys is None else packed.names
 
-def _id_windows(docs: DataFrame, seed: int, keys) -> DataFrame:
-    """(w1, w2, w3, w4, c) of (text, lang), a few times per window; ``keys``: broadcast array of the frequent words'
-    sorted keys, or None: all words stand for themselves."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, key, piece, _, _ in pieces_and_words(batch.column(0), batch.column(1), seed):
@@ -126,27 +167,29 @@ def _id_windows(docs: DataFrame, seed: int, keys) -> DataFrame:
                     ids = (key >> _U(1)).view(np.int64)
                 else:
                     known = keys.value
-                    ids = np.minimum(np.searchsorted(known, key), len(known) - 1)
-                    ids = np.where(known[ids] == key, ids, -1)
-                windows = lead_windows(ids, piece)
+                    place = np.minimum(np.searchsorted(known, key), len(known) - 1)
+                    ids = np.where(known[place] == key, place, -1)
+                windows = lead_windows(ids, (piece[1:] == piece[:-1]) & (ids[1:] >= 0) & (ids[:-1] >= 0))
                 if len(windows):
-                    rows, count = _added_up(windows)
-                    yield pa.RecordBatch.from_arrays([*(pa.array(rows[:, j], mask=rows[:, j] < 0) for j in range(ORDER)), pa.array(count)], names=[*_W, "c"])
+                    columns = windows.T if keys is None else packed.pack(windows)
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
 
-    return docs.mapInArrow(run, ", ".join(f"{x} long" for x in [*_W, "c"]))
+    return docs.mapInArrow(run, ", ".join(f"{x} long" for x in names))
 
 
-def phrase_counts(windows: DataFrame, at_least: int) -> DataFrame:
-    """(words, f): the phrases of one to four words that occur ``at_least`` times, of counted windows."""
-    longest = windows.groupBy(*_W).agg(F.sum("c").alias("c"))
-    shorter = longest.rollup(*_W[:-1]).agg(F.sum("c").alias("f"), F.grouping_id().alias("left_out"))
-    phrases = None
-    for n in range(1, ORDER + 1):
-        # grouping_id has a bit for every column that a level leaves out; a level's padded rows are shorter phrases
-        rows = longest.withColumnRenamed("c", "f") if n == ORDER else shorter.filter(F.col("left_out") == 2 ** (ORDER - 1 - n) - 1)
-        rows = rows.filter((F.col("f") >= at_least) & F.col(_W[n - 1]).isNotNull()).select(F.array(*_W[:n]).alias("words"), "f")
-        phrases = rows if phrases is None else phrases.unionByName(rows)
-    return phrases
+def phrase_counts(windows: DataFrame, packed: _Packed | None, at_least: int) -> DataFrame:
+    """(words, f): the phrases of two to four words that occur ``at_least`` times, beside rows of padded windows, whose
+    words are an array with -1 in it."""
+    longest = windows.groupBy(*windows.columns).agg(F.count(F.lit(1)).alias("f"))
+    if packed is None:
+        first, four, two = {w: F.col(w) for w in _W[:2]}, [F.col(w) for w in _W], [F.col(w) for w in _W[:2]]
+    else:
+        first, four, two = {"pair": packed.pair()}, [packed.word(i) for i in range(ORDER)], packed.of_pair("pair")
+    shorter = longest.withColumns(first | {"third": four[2]}).rollup(*first, "third").agg(F.sum("f").alias("f"), F.grouping_id().alias("left_out"))
+    often = F.col("f") >= at_least  # a condition on counts alone, so that both branches share the one exchange of windows
+    return (longest.where(often).select(F.array(*four).alias("words"), "f")
+            .unionByName(shorter.where(often & (F.col("left_out") == 0)).select(F.array(*two, F.col("third")).alias("words"), "f"))
+            .unionByName(shorter.where(often & (F.col("left_out") == 1)).select(F.array(*two).alias("words"), "f")))
 
 
 def _scored(phrases: DataFrame) -> DataFrame:
@@ -177,24 +220,24 @@ def collocations(docs: DataFrame, scratch: Scratch, *, text_col: str = "text", l
     """(lang, rank, phrase, a, l, r, n, score): each language's ``top`` phrases."""
     spark = docs.sparkSession
     rows = docs.select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
-    seed = 0
+    counted, seed = scratch.keep(count_words(rows), "counted"), 0
     while True:
-        words = scratch.keep(count_words(rows, seed), f"words-{seed}")
+        words = scratch.keep(with_keys(counted, seed), f"words-{seed}")
         # keys lose a bit where windows hold them whole
         if not words.groupBy(F.shiftrightunsigned("key", 1)).agg(F.count("*").alias("c")).filter("c > 1").limit(1).count():
             break
         seed += 1
     totals = words.groupBy("lang").agg(F.sum("f").alias("n"))
     often = scratch.keep(words.filter(F.col("f") >= at_least), "often")
-    keys, id_of = None, F.shiftrightunsigned("key", 1)
+    keys = packed = None
     if (n_keys := often.count()) <= max_keys:
-        # a language's words lie together nowhere: the array is the sorted keys, the table its places
         known = np.sort(np.array([r[0] for r in often.select("key").toLocalIterator()], np.int64).view(np.uint64)) if n_keys else np.zeros(1, np.uint64)
-        keys = spark.sparkContext.broadcast(known)
-    windows = _id_windows(rows, seed, keys)
-    phrases = scratch.keep(phrase_counts(windows, at_least), "phrases")
+        keys, packed = spark.sparkContext.broadcast(known), _Packed(n_keys)
+    vocabulary = scratch.keep(_with_ids(often, keys), "vocabulary")
+    counts = scratch.keep(phrase_counts(_windows(rows, seed, keys, packed), packed, at_least), "counts")
+    counts = counts.filter(~F.array_contains("words", F.lit(-1).cast("long")))
+    phrases = scratch.keep(vocabulary.select(F.array("id").alias("words"), "f").unionByName(counts), "phrases")
     scored = scratch.keep(_scored(phrases), "scored")
-    vocabulary = _with_ids(often, keys).select("id", "lang", "word")
     lang_of = small(vocabulary)
     left = _not_explained(scored, explained)
     left = scratch.keep(left.join(lang_of.select(F.col("id").alias("__first"), "lang"), F.col("words")[0] == F.col("__first")).drop("__first"), "left")
@@ -216,9 +259,9 @@ def _with_ids(often: DataFrame, keys) -> DataFrame:
         for batch in batches:
             key = batch.column(0).to_numpy().view(np.uint64)
             ids = (key >> _U(1)).view(np.int64) if keys is None else np.searchsorted(keys.value, key)
-            yield pa.RecordBatch.from_arrays([pa.array(ids.astype(np.int64)), batch.column(1), batch.column(2)], names=["id", "lang", "word"])
+            yield pa.RecordBatch.from_arrays([pa.array(ids.astype(np.int64)), *batch.columns[1:]], names=["id", "lang", "word", "f"])
 
-    return often.select("key", "lang", "word").mapInArrow(run, "id long, lang string, word string")
+    return often.select("key", "lang", "word", "f").mapInArrow(run, "id long, lang string, word string, f long")
 
 
 def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
