@@ -1,5 +1,5 @@
-"""Registered queries along time (as-of join, interval join, sessions), over several groupings at once, and over stored
-sketches.
+"""Registered queries along time (as-of join, interval join, sessions, a stream), over several groupings at once, stored
+sketches, bucketed tables and samples.
 
 The tables' orders and events lie years apart, so orders are replayed in the month of the events: a fixed rule on the
 order date and number, stated in both engines."""
@@ -8,11 +8,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lakestrata.operators import timeline
+from lakestrata.operators import sampling, timeline
 from lakestrata.plans import analytics as qa
 from lakestrata.plans.frames import Layers
 from lakestrata.plans.oracle_sql import MONEY
-from lakestrata.plans.registry import register
+from lakestrata.plans.registry import fresh_folder, register
+from lakestrata.sources import buckets, landing
+from lakestrata.streaming import landing_stream
 
 #: rows of one key that one task orders in these queries: less than the hot key has
 HOT_ROWS = 500
@@ -133,3 +135,46 @@ def q_sketch_by_quarter(spark, sf_dir):
     figures: the distinct count is within 5 percent, the quantiles within 2 percent of the ranks."""
     L = Layers(spark, sf_dir)
     return qa.sketch_errors(L.gold("fato_pedidos_itens"))
+
+
+# ------------------------------------------------------------------ streams over landed drops (SRC-3)
+
+@register("stream_daily_sums", """
+SELECT date_trunc('day', ts) AS window_start, event_type, count(*) AS n, CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS cents
+FROM events GROUP BY 1, 2""")
+def stream_daily_sums(spark, sf_dir):
+    """Daily sums by a stream that is stopped and started again: two drops, the second one with rows of all days, a month
+    late at most, which the watermark allows."""
+    at = fresh_folder(spark, "stream")
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").withColumn("cents", F.round(F.col("value") * 100).cast("long")).select("event_id", "ts", "event_type", "cents")
+    schema, sums = "event_id long, ts timestamp, event_type string, cents long", "window_start timestamp, event_type string, n long, cents long"
+    for day, part in (("2024-02-01", F.col("event_id") % 3 > 0), ("2024-02-02", F.col("event_id") % 3 == 0)):
+        landing.write_landing(events.where(part), f"{at}/landing", "events", day)
+        stream = landing_stream.landing_stream(spark, f"{at}/landing", "events", schema)
+        daily = landing_stream.window_sums(stream, "ts", "1 day", ["event_type"], {"n": F.count(F.lit(1)), "cents": F.sum("cents")}, "40 days")
+        landing_stream.run_available(daily, f"{at}/out", f"{at}/checkpoint")
+    current = landing_stream.read_published(spark, f"{at}/out", sums, ["window_start", "event_type"])
+    return current.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+
+
+# ------------------------------------------------------------------ bucketed tables (SNK-1, JN-1)
+
+@register("bucketed_items_by_status", f"""
+SELECT o.order_status, count(*) AS itens, {MONEY('i.price')} AS receita, count(DISTINCT i.order_id) AS pedidos
+FROM silver_items i JOIN silver_orders o USING (order_id) GROUP BY o.order_status""")
+def bucketed_items_by_status(spark, sf_dir):
+    """Items and orders, both bucketed by order: they meet, and are added up per order, without a shuffle."""
+    L, at = Layers(spark, sf_dir), fresh_folder(spark, "buckets")
+    n = buckets.bucket_count(spark.read.parquet(f"{sf_dir}/lineitem.parquet").count())
+    items, orders = (spark.table(buckets.write_bucketed(L.silver(t), f"{at}/{t}", ["order_id"], n)) for t in ("items", "orders"))
+    return qa.items_by_status(items, orders)
+
+
+# ------------------------------------------------------------------ samples
+
+@register("sample_orders_by_status", """
+SELECT order_id, order_status, customer_id FROM silver_orders
+QUALIFY row_number() OVER (PARTITION BY order_status ORDER BY CAST('0x' || substr(md5('sample|' || order_id), 1, 15) AS BIGINT), order_id) <= 200""")
+def sample_orders_by_status(spark, sf_dir):
+    """200 orders of each status, the same ones in every run."""
+    return sampling.stratified_sample(Layers(spark, sf_dir).silver("orders"), ["order_status"], ["order_id"], 200).select("order_id", "order_status", "customer_id")
