@@ -1,15 +1,15 @@
 """Layer jobs (JOB-1..4): landing → bronze → silver → gold, each table validated before publish.
 
-One table run = build the lazy plan → write it to staging (action 1) → one report action over the
-staged files: every declared check, the row count and the content checksum (action 2; a failed
-``accepted_values`` check adds one bounded top-k job to name offenders) → append the audit row, pass
-or fail (action 3) → publish by rename when every check passed. The reference runs 16 actions for the
-item fact; here it is 3 plus the landing-partition lookup for Bronze.
+One table run = build the lazy plan → write it as a version of its own (action 1) → one report action over the
+written files: every declared check, the row count and the content checksum (action 2; the values that a failed
+``accepted_values`` check rejects are written, all of them) → publish by one marker file if every check passed → append the
+audit row, pass or fail (action 3). The reference runs 16 actions for the item fact; here it is 3 plus the
+landing-partition lookup for Bronze.
 
 ``run_layer`` runs the tables of a layer (optionally several at once: they are independent Spark
 jobs submitted from threads) and collects every outcome; ``run_all`` starts a layer only when the
 whole previous layer passed. Executor loss is handled by Spark's task retry: every write is a
-whole-directory overwrite of a run-specific staging path, so a retried or re-run job converges to
+whole-directory overwrite of a run-specific version path, so a retried or re-run job converges to
 the same published state; nothing relies on cached data for correctness.
 """
 
