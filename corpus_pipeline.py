@@ -8,6 +8,12 @@ tokens       token ids in ascending document order, as rows of the written token
 
 Every stage works on all that the one before kept, and all but the last return the columns of
 ``documents``.
+
+Defined results for odd input, by stage: quality rejects null texts and texts without a word; given to a later stage, such
+a text has no near duplicate, no hit and no words to be drawn. Rows are followed by id and text, so null and repeated ids
+are no key: one row of each near-duplicate group stays whatever its ids, and repeated rows are copies. Null sources are
+one source, null labels and benchmark texts count for nothing. Columns that are named like an operator's own keep their
+values. Empty tables give empty stages; without labels quality keeps every document with a word.
 """
 
 from __future__ import annotations
