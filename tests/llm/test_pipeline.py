@@ -90,3 +90,64 @@ def test_tokens_and_run(spark, steps):
     whole = corpus_pipeline.run(spark, SF)
     key = lambda df: sorted((r["doc_id"], r["start"], tuple(r["tokens"])) for r in df.collect())
     assert key(whole) == key(after)
+
+
+# ------------------------------------------------------------------ odd tables through the whole chain
+
+def odd_tables(spark, at, empty=False):
+    """Documents with null and repeated ids, null and empty texts, copies, repeated rows, a very long text and columns named
+    as the operators' own; labels and benchmark with nulls."""
+    import random
+
+    from llm_fixtures import clash, corpus
+
+    rnd = random.Random(7)
+    rows = [(i, t, rnd.choice(["en", None]), rnd.choice(["s0", "s1", None])) for i, t in corpus(80, 11)]
+    rows += [(None, rows[3][1], "en", None), (None, "an only text under no id at all, of a few more words", None, "s0"), (None, None, None, None), rows[8], rows[8],
+             (rows[5][0], "another text under an id that is there already, long enough", "en", "s1")]
+    docs = spark.createDataFrame([(i, t, lang, s, len(t or "")) for i, t, lang, s in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    labels = [(i, rnd.choice([0, 1, None]), rnd.choice([0, 0, 1, None])) for i, *_ in rows]
+    items = [("b1", " ".join(words(rows[0][1])[:14])), (None, "x y"), ("b2", None), ("b3", "")]
+    docs = clash(docs)
+    for name, df in (("documents", docs), ("labels", spark.createDataFrame(labels, "doc_id long, quality int, toxic int")),
+                     ("benchmark", spark.createDataFrame(items, "item_id string, text string"))):
+        (df.limit(0) if empty else df).coalesce(2).write.parquet(f"{at}/{name}.parquet")
+    return rows
+
+
+def chain(spark, at):
+    import corpus_pipeline
+    from lakestrata.llm.tables import Scratch, documents
+
+    docs, out, scratch = documents(spark, at), [], Scratch(spark, "test-odd")
+    for name, stage in corpus_pipeline.STAGES:
+        after = scratch.keep(stage(spark, docs, at), name)
+        out.append((name, docs, after))
+        docs = after
+    return out
+
+
+def test_odd_rows_through_all_stages(spark, scratch):
+    odd_tables(spark, scratch)
+    for name, before, after in chain(spark, scratch):
+        full = lambda df: [tuple(r) for r in df.collect()]
+        if name == "tokens":
+            assert after.count() == before.count()
+            continue
+        assert after.columns == before.columns
+        old, new = full(before), full(after)
+        if name != "mix":
+            assert all(new.count(r) <= old.count(r) for r in set(new))
+        assert set(new) <= set(old)
+        if name == "near_dedup":
+            kept = [r[1] for r in new if words(r[1])]
+            assert len(kept) == len(set(kept))  # one row of exact copies, whatever their ids
+            groups = {frozenset([(" ".join(words(r[1].lower())))]) for r in old if r[1] and words(r[1])}
+            assert groups and len(kept) <= len(groups)
+            assert {r for r in old if not words(r[1])} <= set(new)  # texts without words are linked with nothing
+
+
+def test_empty_tables_through_all_stages(spark, scratch):
+    odd_tables(spark, scratch, empty=True)
+    for name, before, after in chain(spark, scratch):
+        assert after.count() == 0 and (name == "tokens" or after.columns == before.columns)
