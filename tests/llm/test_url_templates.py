@@ -107,12 +107,13 @@ def test_templates_equal_level_by_level(spark, llm_scratch):
         row[1] += bool(fits)
         row[2] += bool(fits) and max(fits)[1] == "block"
     want = {k: "" for k in shapes}
+    prior, went, going = {k: 0.5 for k in shapes}, set(), set()
     for d in range(max(len(s) for _, s in shapes)):
         child = defaultdict(lambda: [0, 0, 0])
         for (h, s), row in shapes.items():
             if len(s) > d:
                 child[h, want[h, s], s[d]] = [x + y for x, y in zip(child[h, want[h, s], s[d]], row)]
-        new = dict(want)
+        new, below = dict(want), dict(prior)
         for (h, s), t in want.items():
             if len(s) > d:
                 kin = [r for (h2, t2, _), r in child.items() if (h2, t2) == (h, t)]
@@ -125,7 +126,41 @@ def test_templates_equal_level_by_level(spark, llm_scratch):
                 if len(kin) > op.MAX_CHILDREN and n < op.RARE * sum(r[0] for r in kin):
                     name = "*"
                 new[h, s] = f"{t}/{name}"
-        want = new
+                # a step takes the whole way that all shapes below a node have in common, and its prior once
+                under = [s2 for (h2, s2), t2 in want.items() if (h2, t2) == (h, t) and len(s2) > d]
+                skipped = len(kin) == 1 and d > 0 and (h, t) in went
+                rates = [r[2] / r[1] for r in kin if r[1]]
+                if not skipped:
+                    below[h, s] = (sum(rates) + op.BRANCH_WEIGHT * prior[h, s]) / (len(rates) + op.BRANCH_WEIGHT)
+                if len(kin) == 1 and all(len(s2) > d + 1 for s2 in under) and len({s2[d + 1] for s2 in under}) == 1:
+                    going.add((h, new[h, s]))
+        want, prior, went, going = new, below, going, set()
+    sums = defaultdict(lambda: [0, 0])
+    for k, row in shapes.items():
+        sums[k[0], want[k]][0] += row[1]
+        sums[k[0], want[k]][1] += row[2]
     for r in op.judge_urls(pages(spark, urls), llm_scratch(), rules=rules).collect():
         host, path = parse(urls[r["page_id"]])
-        assert r["template"] == want[host, tuple(x for x in path.split("/") if x)], urls[r["page_id"]]
+        k = host, tuple(x for x in path.split("/") if x)
+        assert r["template"] == want[k], urls[r["page_id"]]
+        labelled, bad = sums[host, want[k]]
+        assert abs(r["purity"] - (bad + op.PRIOR_WEIGHT * prior[k]) / (labelled + op.PRIOR_WEIGHT)) < 1e-9
+        best = [(len(t), kind) for kind, t in rules for h, _, p in [t.partition("/")] if (host == h or host.endswith("." + h)) and path.startswith("/" + p)]
+        assert r["verdict"] == (max(best)[1] if best else "block" if r["purity"] >= op.REJECT else "allow")
+
+
+def test_branches_beside_decide_without_labels(spark, llm_scratch):
+    """Ten blocked branches take an unlabelled one along, one does not; a long common way is one step; ``*`` is no wildcard."""
+    rules = tuple(("block", f"many.com/x/{w}/") for w in "abcdefghij") + (("block", "few.com/x/a/"),)
+    urls = [f"http://many.com/x/{w}/p" for w in "abcdefghij" for _ in range(6)] + ["http://many.com/x/k/p", "http://few.com/x/a/p", "http://few.com/x/b/p", "http://none.com/x/b/p"]
+    deep = "/".join(["trap"] * 500)
+    urls += [f"http://trap.com/{deep}/{w}" for w in "ab"] + ["http://star.com/*blocked/a", "http://star.com/*/a"]
+    got = {urls[r["page_id"]]: r for r in op.judge_urls(pages(spark, urls), llm_scratch(), rules=rules).collect()}
+    assert {u: got[u]["verdict"] for u in urls[-8:-4]} == {"http://many.com/x/k/p": "block", "http://few.com/x/a/p": "block", "http://few.com/x/b/p": "allow", "http://none.com/x/b/p": "allow"}
+    assert got[f"http://trap.com/{deep}/a"]["template"] == f"/{deep}/a"
+    assert got["http://star.com/*blocked/a"]["template"] == "/%2Ablocked/a" and got["http://star.com/*/a"]["template"] == "/%2A/a"
+
+
+def test_very_long_url(spark, llm_scratch):
+    urls = ["http://h.com/" + "x" * 1_000_000, "http://h.com/" + "y/" * 2_000, "http://h.com/z"]
+    assert {r["verdict"] for r in op.judge_urls(pages(spark, urls), llm_scratch()).collect()} == {"allow"}
