@@ -200,13 +200,13 @@ def accepted(docs: DataFrame, labels: DataFrame, scratch: Scratch, *, id_col: st
     is joined or shuffled."""
     draw, _ = fit(docs, labels, scratch, id_col=id_col, text_col=text_col, **how)
     limit = -np.inf if draw.limit is None else draw.limit
-    both = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), *(
-        c.alias(n) for n, c in (("text", F.coalesce(F.col(text_col), F.lit(""))),
-                                ("tie", F.xxhash64(F.col(id_col), F.coalesce(F.col(text_col), F.lit("")))))))
+    both = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"),
+                       F.xxhash64(F.col(id_col), F.coalesce(F.col(text_col), F.lit(""))).alias("tie"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            _, _, key, some = batch_keys(batch.column(1), batch.column(2), draw.ratio, draw.seed, draw.temperature)
+            # the text comes once, inside its row
+            _, _, key, some = batch_keys(batch.column(0).field(text_col), batch.column(1), draw.ratio, draw.seed, draw.temperature)
             yield batch.select([0]).filter(pa.array(some & (key >= limit)))
 
     return both.mapInArrow(run, T.StructType([both.schema["row"]])).select(*(F.col(f"row.`{c}`").alias(c) for c in docs.columns))
