@@ -44,7 +44,7 @@ AT_LEAST, EXPLAINED, TOP = 30, 80, 2000
 #: frequent words whose keys tasks get as an array (8 bytes each)
 MAX_KEYS = 4_000_000
 #: bytes of text that a task splits at once
-SLICE = 4 << 20
+SLICE = 2 << 20
 _U = np.uint64
 _W = [f"w{i}" for i in range(1, ORDER + 1)]
 
