@@ -1,7 +1,8 @@
 """Landing zone: immutable, dated CSV drops (SRC-1..3, SNK-2, FLT-5).
 
-Layout: ``{landing}/{table}/ingestion_date=YYYY-MM-DD/part-*.csv``, one partition per extraction,
-history kept. Writing a date again replaces only that date (dynamic partition overwrite), so a rerun
+Layout: ``{landing}/{table}/ingestion_date=YYYY-MM-DD/part-*.csv.gz``, one partition per extraction,
+history kept. Drops are written compressed, and no file holds more than :data:`FILE_ROWS` rows, so one task, which has
+to read a compressed file whole, never gets more; drops of others may be plain CSV. Writing a date again replaces only that date (dynamic partition overwrite), so a rerun
 on the same day is idempotent.
 
 Reading takes one date for a whole run (:func:`latest_ingestion`): the newest one of any table, which every
@@ -23,6 +24,8 @@ from lakestrata.sources.multiline import read_multiline_csv
 from lakestrata.specs import TableSpec
 
 PARTITION_COLUMN = "ingestion_date"
+#: rows of a written file: some tens of MB of text
+FILE_ROWS = 500_000
 
 
 class NoLandingPartitionError(FileNotFoundError):
@@ -41,6 +44,7 @@ def write_landing(df: DataFrame, landing_root: str, table: str, ingestion_date:
     out = df.select(*[F.col(c).cast("string") for c in df.columns]).withColumn(PARTITION_COLUMN, F.lit(d))
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .option("header", True).option("quote", '"').option("escape", '"')
+        .option("compression", "gzip").option("maxRecordsPerFile", FILE_ROWS)
         .partitionBy(PARTITION_COLUMN).csv(path))
     return path
 

@@ -93,9 +93,9 @@ def write_staged(df: DataFrame, root: str, layer: str, table: str, run_id: str,
 
 def _write(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     """Replace the whole directory: a repeated run id leaves no partition of its first try behind, whatever
-    the session's overwrite mode is."""
+    the session's overwrite mode is. A version is written once and read by every later layer and check: zstd."""
     df = df.hint("rebalance", *partition_by) if partition_by else df
-    df.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*partition_by).parquet(path)
+    df.write.mode("overwrite").option("partitionOverwriteMode", "static").option("compression", "zstd").partitionBy(*partition_by).parquet(path)
 
 
 def read_staged(spark: SparkSession, path: str, schema: T.StructType, partition_by: Sequence[str] = ()) -> DataFrame:

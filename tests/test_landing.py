@@ -94,3 +94,15 @@ def test_newest_header_defines_the_columns(spark, scratch):
     df, _ = landing.read_landing_latest(spark, scratch, spec)
     assert df.columns == ["seller_id", "seller_city", "seller_state"]
     assert [tuple(r) for r in df.collect()] == [("s2", "rio", "RJ")]
+
+
+def test_drops_are_compressed_files_of_bounded_rows(spark, scratch, monkeypatch):
+    """A compressed file is one task's, so none holds more than FILE_ROWS rows; multi-line texts come back whole."""
+    monkeypatch.setattr(landing, "FILE_ROWS", 10)
+    df = spark.range(25).selectExpr("CAST(id AS STRING) AS review_id", "CONCAT('a\n\"', id, '\", b') AS review_comment_message").coalesce(1)
+    landing.write_landing(df, scratch, "reviews", "2024-03-01")
+    folder = os.path.join(scratch, "reviews", "ingestion_date=2024-03-01")
+    files = [f for f in os.listdir(folder) if f.startswith("part-")]
+    assert len(files) == 3 and all(f.endswith(".csv.gz") for f in files)
+    back = landing.read_landing(spark, scratch, table_spec("reviews"), "2024-03-01")
+    assert sorted(back.collect()) == sorted(df.collect())
