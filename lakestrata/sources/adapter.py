@@ -5,9 +5,11 @@ frame below is a projection/aggregation of the driver tables (the mapping is fix
 so everything downstream grows with the given data. Dirt (blanks, mixed case) is there on purpose so
 the Silver rules have work to do.
 
-Scale notes: ``items`` is one aggregate per (order, line number) with a map-side partial step. ``payments``
-is first aggregated to one row per (order, return flag), at most three rows per order, so its window has
-bounded groups. The nation lookups join a 25-row table that Spark broadcasts after its own size check.
+Scale notes: line items are dealt by ranges of (order, line number) into parts that follow the table's size
+(:data:`PART_BYTES`), so a task holds as much of them at any size, a large order is spread over its line numbers, and
+an order's items stay together, which the files and exchanges after it compress better. ``payments``
+is first aggregated to one row per (order, return flag), with a map-side partial step, and those rows meet by order in
+as many parts. The nation lookups join a 25-row table that Spark broadcasts after its own size check.
 """
 
 from __future__ import annotations
@@ -17,6 +19,10 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from lakestrata.sources.files import file_system
+
+#: bytes of the line item file to a part; a part's rows take some ten times that in memory
+PART_BYTES = 4 << 20
 DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 RAW_TABLES = ("customers", "orders", "items", "payments", "reviews", "products", "sellers", "geolocation",
               "category_name")
@@ -26,6 +32,12 @@ def read_driver(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def driver_parts(spark: SparkSession, sf_dir: str, name: str) -> int:
+    """How many parts the rows of a driver table are dealt into: one for each :data:`PART_BYTES` of its files."""
+    path, fs = file_system(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return max(1, -(-fs.getContentSummary(path).getLength() // PART_BYTES))
+
+
 def _s(c) -> F.Column:
     return (F.col(c) if isinstance(c, str) else c).cast("string")
 
@@ -68,8 +80,10 @@ def raw_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def raw_items(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = read_driver(spark, sf_dir, "lineitem")
-    # one item per order and line number, the smallest of the rows that share them: an aggregate with a
-    # map-side partial step, so no order is gathered in one place to number its items
+    # one item per order and line number, the smallest of the rows that share them; the ranges serve the aggregate, so
+    # no order is gathered in one place to number its items
+    li = li.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_tax", "l_shipdate")
+    li = li.repartitionByRange(driver_parts(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber")
     rest = F.struct("l_partkey", "l_suppkey", "l_extendedprice", "l_tax", "l_shipdate")
     li = li.groupBy("l_orderkey", "l_linenumber").agg(F.min(rest).alias("i")).select("l_orderkey", "l_linenumber", "i.*")
     return li.select(
@@ -88,7 +102,7 @@ def raw_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
     per_flag = li.groupBy("l_orderkey", "l_returnflag").agg(
         F.max("l_linenumber").alias("mx_line"),
         F.sum(F.col("l_extendedprice").cast("decimal(18,2)")).alias("value"),
-    )
+    ).repartition(driver_parts(spark, sf_dir, "lineitem"), "l_orderkey")  # the window's exchange, in parts by size
     w = Window.partitionBy("l_orderkey").orderBy("l_returnflag")
     return per_flag.select(
         F.concat(_s("l_orderkey"), F.lit(" ")).alias("order_id"),
