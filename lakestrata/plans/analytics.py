@@ -71,8 +71,12 @@ def ticket_by_state(order_totals: DataFrame, dim_cliente: DataFrame) -> DataFram
 
 # QRY-3 -------------------------------------------------------------------------------------------
 def _added_up(fato_itens: DataFrame, *by: str) -> DataFrame:
-    """Exact revenue and items of an order within ``by``: what meets a dimension is one row per order, not per item."""
-    return fato_itens.groupBy(*by, "order_id").agg(_total("price").alias("total"), F.count(F.lit(1)).alias("n"))
+    """Exact revenue and items of an order within ``by``: what meets a dimension is one row per order, not per item.
+    The key is one struct: rows that a join left by order would serve separate keys as they lie, and one task would then
+    hold every group twice, for the partial and for the final sums, beside the join's sorts."""
+    keys = (*by, "order_id")
+    sums = fato_itens.groupBy(F.struct(*keys).alias("key")).agg(_total("price").alias("total"), F.count(F.lit(1)).alias("n"))
+    return sums.select(*(F.col(f"key.{k}").alias(k) for k in keys), "total", "n")
 
 
 def revenue_by_category(fato_itens: DataFrame, dim_produto: DataFrame) -> DataFrame:
