@@ -188,3 +188,20 @@ def test_rejected_values_are_kept_with_the_audit(spark, scratch):
 def test_extra_checks_read_finished_layers_only():
     from lakestrata.specs import EXTRA_CHECKS
     assert all(c.ref_layer == "silver" for layer in EXTRA_CHECKS.values() for checks in layer.values() for c in checks if c.ref_table)
+
+
+def test_versions_are_written_with_zstd(spark, scratch):
+    import pyarrow.parquet as pq
+
+    path = io.write_staged(spark.range(100), scratch, "bronze", "customers", "r")
+    files = [f for f in os.listdir(path) if f.endswith(".parquet")]
+    assert files and all(pq.ParquetFile(os.path.join(path, f)).metadata.row_group(0).column(0).compression == "ZSTD" for f in files)
+
+
+def test_every_query_over_a_lake_makes_its_own_run(spark, monkeypatch):
+    """A query's rows are those of the tables as they are now, not those of an earlier query's run."""
+    runs = []
+    monkeypatch.setattr(jobs, "land_tables", lambda *a, **k: None)
+    monkeypatch.setattr(jobs, "run_all", lambda _spark, paths, **k: runs.append(paths.lake))
+    lakes = [catalog._run_layers(spark, SMALL_SF).lake for _ in range(2)]
+    assert lakes == runs and len(set(runs)) == 2
