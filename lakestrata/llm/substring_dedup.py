@@ -8,8 +8,8 @@ removed.
 Documents are dealt by hash into groups of bounded size; a group is the unit of the exchanges:
 
 1. *Anchors.* Each window's smallest hash of five words: equal windows have equal anchors, and runs of
-   windows share one. A group sends its distinct anchors, packed and sorted, to buckets of the hash space;
-   the bucket answers, one bit each, which ones another group has as well.
+   windows share one. A group sends its distinct anchors to buckets of the hash space; the bucket sorts all
+   it gets once and answers which ones another group has as well.
 2. *Edges.* Windows with a shared anchor are candidates. A group sends each distinct one with the words
    before and behind it; the bucket answers whether another group has it, and whether all its
    occurrences have the same word before and behind (no branch).
@@ -21,7 +21,10 @@ Documents are dealt by hash into groups of bounded size; a group is the unit of
 
 What is sent is distinct per group, so a passage in a third of all documents is one row per group, and a
 text of any length stays with its group. The exchange of the texts is the same for all four steps, so Spark
-runs it once. Windows are compared by 64-bit hashes, paths by 64 + 128 bits.
+runs it once. Buckets grow in number with the groups, not in size, and compare 32 bits of a hash besides the
+range that they hold: hashes that meet there by chance make more candidates and cut a path into more parts,
+for all its occurrences alike, and remove nothing. Paths are compared by 64 + 128 bits. A pair of group and
+bucket is one message, read and written by array operations over all messages of a group or bucket.
 
 Defined results: null and empty texts have no words (kept text empty); texts shorter than a window lose
 nothing; rows with equal ids never remove each other's words; null ids count as larger than any other;
@@ -30,8 +33,11 @@ ids are integers; other columns do not matter.
 
 from __future__ import annotations
 
+from functools import cached_property
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -46,14 +52,25 @@ _U = np.uint64
 _REPEATED, _OPEN_BEFORE, _OPEN_BEHIND = 1, 2, 4
 
 
-def _pack(a: np.ndarray) -> bytes:
-    """Byte planes: the equal high bytes of sorted values lie together and compress."""
-    return np.ascontiguousarray(a).view(np.uint8).reshape(len(a), a.itemsize).T.tobytes()
+#: an edge in a message: part of its hash and the words before and behind
+_EDGE = np.dtype([("value", "<u4"), ("before", "<u4"), ("behind", "<u4")])
+
+
+def _binary(values: np.ndarray, bounds: np.ndarray) -> pa.Array:
+    """One binary value per pair of neighbouring bounds."""
+    offsets = (np.asarray(bounds, np.int64) * values.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(values.tobytes())])
 
 
-def _unpack(b: bytes, dtype) -> np.ndarray:
-    size = np.dtype(dtype).itemsize
-    return np.ascontiguousarray(np.frombuffer(b, np.uint8).reshape(size, -1).T).view(dtype).ravel()
+def _flat(column: pa.ChunkedArray, dtype) -> tuple[np.ndarray, np.ndarray]:
+    """The values of all binaries of a column in one array, and where each binary begins in it, and their end."""
+    if not len(column):
+        return np.zeros(0, dtype), np.zeros(1, np.int64)
+    column = column.combine_chunks()
+    _, offsets, data = column.buffers()
+    offsets = np.frombuffer(offsets, np.int32)[column.offset: column.offset + len(column) + 1]
+    data = np.frombuffer(data, np.uint8)[offsets[0]: offsets[-1]]
+    return np.frombuffer(data.tobytes(), dtype), (offsets - offsets[0]).astype(np.int64) // np.dtype(dtype).itemsize
 
 
 class Group:
@@ -68,26 +85,40 @@ class Group:
         (_, _, buf, offsets), = text_slices(table.column("text"), 1 << 62)
         self.w: Words = split(buf, offsets, "space", False)
         self.k = k
-        self.hashes = self.w.hashes()
-        self.at, self.edges = self.w.windows(k, self.hashes)
-        self.row = np.repeat(np.arange(len(self.w.counts)), self.w.counts)
 
-    def anchors(self) -> np.ndarray:
-        """Each window's smallest hash of ANCHOR words."""
+    @cached_property
+    def hashes(self) -> np.ndarray:
+        return self.w.hashes()
+
+    @cached_property
+    def windows(self) -> tuple[np.ndarray, np.ndarray]:
+        """(index of the first word, hash) of each window."""
+        return self.w.windows(self.k, self.hashes)
+
+    @cached_property
+    def row(self) -> np.ndarray:
+        return self.w.doc_of_word()
+
+    def anchors(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Runs of windows with one anchor, their smallest hash of ANCHOR words: its hash (smallest hashes crowd
+        at 0, and buckets are equal ranges), the row and the windows of each run."""
         m = min(ANCHOR, self.k)
         at, g = self.w.windows(m, self.hashes)
         best = np.full(len(self.hashes) + self.k, np.iinfo(np.uint64).max, np.uint64)
         best[at] = g
-        low = best[self.at] if len(self.at) else best[:0]
+        first = self.windows[0]
+        low = best[first] if len(first) else best[:0]
         for j in range(1, self.k - m + 1):
-            low = np.minimum(low, best[self.at + j])
-        return low
+            low = np.minimum(low, best[first + j])
+        row = self.row[first]
+        head = np.flatnonzero(np.concatenate([[True], (low[1:] != low[:-1]) | (row[1:] != row[:-1])])) if len(low) else np.zeros(0, np.int64)
+        return mix64(low[head]), row[head], np.diff(np.append(head, len(low)))
 
 
 def _distinct(values: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Sorted distinct values, whether each comes in two rows, the order that sorts, and the first place of
     each in it."""
-    order = np.argsort(values, kind="stable")
+    order = np.argsort(values)
     ordered = values[order]
     first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]])) if len(ordered) else np.zeros(0, np.int64)
     if not len(first):
@@ -103,25 +134,23 @@ def _bucket_slices(values: np.ndarray, n_buckets: int) -> np.ndarray:
     return np.concatenate([[0], np.searchsorted(values, np.array(bounds, np.uint64)), [len(values)]])
 
 
-def _answers(rows: list[dict], kind: int) -> np.ndarray:
+def _answers(told: pa.Table, kind: int) -> np.ndarray:
     """The buckets' answers of one kind, in the order of the hashes."""
-    own = sorted((r for r in rows if r["kind"] == kind), key=lambda r: r["bucket"])
-    return np.concatenate([np.frombuffer(r["answer"], np.uint8) for r in own]) if own else np.zeros(0, np.uint8)
+    own = told.filter(pc.equal(told.column("kind"), kind)).sort_by("bucket")
+    return _flat(own.column("answer"), np.uint8)[0]
 
 
-def _shared_windows(g: Group, rows: list[dict]) -> np.ndarray:
+def _shared_windows(g: Group, told: pa.Table) -> np.ndarray:
     """Which of the group's windows have an anchor that comes in another document."""
-    low = g.anchors()
-    change = np.concatenate([[True], (low[1:] != low[:-1]) | (g.row[g.at[1:]] != g.row[g.at[:-1]])]) if len(low) else np.zeros(0, bool)
-    values, several, _, _ = _distinct(low[change], g.row[g.at][change])
-    shared = values[several | (_answers(rows, 1) > 0)] if len(values) else values
-    return np.isin(low, shared, kind="sort") if len(shared) else np.zeros(len(low), bool)
+    anchors, row, n = g.anchors()
+    values, several, order, first = _distinct(anchors, row)
+    shared = np.zeros(len(anchors), bool)
+    shared[order] = np.repeat(several | (_answers(told, 1) > 0), np.diff(np.append(first, len(order))))
+    return np.repeat(shared, n)
 
 
-def _edge_table(g: Group, shared: np.ndarray):
-    """Distinct candidate edges with the words before and behind: 0 none, 1 several, else 32 bits of the word's hash."""
-    at, edges = g.at[shared], g.edges[shared]
-    values, several, order, first = _distinct(edges, g.row[at])
+def _context(g: Group, at: np.ndarray, order: np.ndarray, first: np.ndarray) -> list[np.ndarray]:
+    """The words before and behind each distinct edge: 0 none, 1 several, else 32 bits of the word's hash."""
     context = []
     for word, ok in ((at - 1, at > g.w.first[g.row[at]]), (at + g.k, at + g.k < g.w.first[g.row[at] + 1])):
         c = np.zeros(len(at), np.uint32)
@@ -131,70 +160,73 @@ def _edge_table(g: Group, shared: np.ndarray):
             lo, hi = np.minimum.reduceat(c, first), np.maximum.reduceat(c, first)
             c = np.where(lo == hi, lo, np.uint32(1))
         context.append(c.astype(np.uint32))
-    return at, edges, values, several, context
+    return context
 
 
 MESSAGE = "bucket int, gid int, body binary"
 ANSWER = "gid int, bucket int, kind int, answer binary"
 
 
-def _message_table(parts: list[tuple[int, int, bytes]]) -> pa.Table:
-    return pa.table({"bucket": pa.array([p[0] for p in parts], pa.int32()), "gid": pa.array([p[1] for p in parts], pa.int32()),
-                     "body": pa.array([p[2] for p in parts], pa.binary())})
+def _message_table(gid: int, values: np.ndarray, bodies: np.ndarray, n_buckets: int) -> pa.Table:
+    """One row per bucket of the sorted ``values`` that has any, with the bodies of its values."""
+    at = _bucket_slices(values, n_buckets)
+    some = np.flatnonzero(np.diff(at))
+    return pa.table({"bucket": pa.array(some.astype(np.int32)), "gid": pa.array(np.full(len(some), gid, np.int32)),
+                     "body": _binary(bodies, np.append(at[some], len(values)))})
 
 
 def _send_anchors(k: int, n_buckets: int):
     def send(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        g, gid = Group(table, k), key[0].as_py()
-        values = np.unique(g.anchors())
-        at = _bucket_slices(values, n_buckets)
-        return _message_table([(b, gid, _pack(values[lo:hi])) for b, (lo, hi) in enumerate(zip(at[:-1], at[1:])) if hi > lo])
+        values = np.unique(Group(table, k).anchors()[0])
+        return _message_table(key[0].as_py(), values, values.astype(np.uint32), n_buckets)
     return send
 
 
 def _judge_anchors(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     """Which hashes of each group's message another group has sent as well."""
-    parts = [_unpack(b.as_py(), np.uint64) for b in table.column("body")]
-    every = np.concatenate(parts)
-    every.sort()
-    twice = np.unique(every[1:][every[1:] == every[:-1]])
-    return _answer_table(key, table, 1, [np.isin(p, twice).astype(np.uint8) for p in parts])
+    values, bounds = _flat(table.column("body"), np.uint32)
+    order = np.argsort(values)
+    ordered = values[order]
+    same = ordered[1:] == ordered[:-1]
+    answer = np.empty(len(values), np.uint8)
+    answer[order] = np.append(same, False) | np.append(False, same)
+    return _answer_table(key, table, 1, answer, bounds)
 
 
-def _answer_table(key: tuple[pa.Scalar, ...], table: pa.Table, kind: int, answers: list[np.ndarray]) -> pa.Table:
-    n = len(answers)
-    return pa.table({"gid": table.column("gid").cast(pa.int32()), "bucket": pa.array([key[0].as_py()] * n, pa.int32()),
-                     "kind": pa.array([kind] * n, pa.int32()), "answer": pa.array([a.tobytes() for a in answers], pa.binary())})
+def _answer_table(key: tuple[pa.Scalar, ...], table: pa.Table, kind: int, answer: np.ndarray, bounds: np.ndarray) -> pa.Table:
+    n = len(table)
+    return pa.table({"gid": table.column("gid").cast(pa.int32()), "bucket": pa.array(np.full(n, key[0].as_py(), np.int32)),
+                     "kind": pa.array(np.full(n, kind, np.int32)), "answer": _binary(answer, bounds)})
 
 
 def _send_edges(k: int, n_buckets: int):
     def send(key: tuple[pa.Scalar, ...], table: pa.Table, answers: pa.Table) -> pa.Table:
         if not len(table):
-            return _message_table([])
-        g, gid = Group(table, k), key[0].as_py()
-        _, _, values, _, (before, behind) = _edge_table(g, _shared_windows(g, answers.to_pylist()))
-        at = _bucket_slices(values, n_buckets)
-        return _message_table([(b, gid, _pack(values[lo:hi]) + _pack(before[lo:hi]) + _pack(behind[lo:hi]))
-                               for b, (lo, hi) in enumerate(zip(at[:-1], at[1:])) if hi > lo])
+            return _message_table(0, np.zeros(0, np.uint64), np.zeros(0, _EDGE), n_buckets)
+        g = Group(table, k)
+        shared = _shared_windows(g, answers)
+        at, edges = (x[shared] for x in g.windows)
+        values, _, order, first = _distinct(edges, g.row[at])
+        bodies = np.empty(len(values), _EDGE)
+        bodies["value"] = values.astype(np.uint32)
+        bodies["before"], bodies["behind"] = _context(g, at, order, first)
+        return _message_table(key[0].as_py(), values, bodies, n_buckets)
     return send
 
 
 def _judge_edges(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-    bodies = [b.as_py() for b in table.column("body")]
-    sizes = [len(b) // 16 for b in bodies]
-    values = np.concatenate([_unpack(b[: 8 * n], np.uint64) for b, n in zip(bodies, sizes)])
-    context = [np.concatenate([_unpack(b[lo * n: (lo + 4) * n], np.uint32) for b, n in zip(bodies, sizes)]) for lo in (8, 12)]
-    order = np.argsort(values, kind="stable")
-    ordered = values[order]
+    bodies, bounds = _flat(table.column("body"), _EDGE)
+    order = np.argsort(bodies["value"])
+    ordered = bodies["value"][order]
     first = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
     counts = np.diff(np.append(first, len(ordered)))
     flags = np.where(counts > 1, _REPEATED, 0).astype(np.uint8)
-    for c, bit in zip(context, (_OPEN_BEFORE, _OPEN_BEHIND)):
+    for c, bit in ((bodies["before"], _OPEN_BEFORE), (bodies["behind"], _OPEN_BEHIND)):
         lo, hi = np.minimum.reduceat(c[order], first), np.maximum.reduceat(c[order], first)
         flags |= np.where((lo != hi) | (lo <= 1), bit, 0).astype(np.uint8)
-    answer = np.empty(len(values), np.uint8)
+    answer = np.empty(len(bodies), np.uint8)
     answer[order] = np.repeat(flags, counts)
-    return _answer_table(key, table, 2, np.split(answer, np.cumsum(sizes)[:-1]))
+    return _answer_table(key, table, 2, answer, bounds)
 
 
 PATHS = "gid int, head long, n_edges int, check1 long, check2 long, first_id long, rows array<int>, starts array<int>"
@@ -207,13 +239,15 @@ def _find_paths(k: int):
         empty = pa.table([pa.array([], t) for t in types], names=names)
         if not len(table):
             return empty
-        g, told = Group(table, k), answers.to_pylist()
-        at, edges, values, several, _ = _edge_table(g, _shared_windows(g, told))
+        g = Group(table, k)
+        shared = _shared_windows(g, answers)
+        at, edges = (x[shared] for x in g.windows)
         if not len(at):
             return empty
-        flags = _answers(told, 2)
-        flags = flags | np.where(several, _REPEATED, 0).astype(np.uint8)
-        flag = flags[np.searchsorted(values, edges)]
+        _, several, order, first = _distinct(edges, g.row[at])
+        flags = _answers(answers, 2) | np.where(several, _REPEATED, 0).astype(np.uint8)
+        flag = np.empty(len(at), np.uint8)
+        flag[order] = np.repeat(flags, np.diff(np.append(first, len(order))))
         live = np.flatnonzero(flag & _REPEATED)
         if not len(live):
             return empty
@@ -270,7 +304,7 @@ def kept_words(w: Words, removed: np.ndarray) -> pa.Array:
     spaced = np.ones(len(starts), bool)
     spaced[last] = False
     inside[(place + size - 1)[spaced]] = False
-    text[inside] = w.buf[np.cumsum(mask[:-1]).astype(bool)]
+    text[inside] = w.buf[np.cumsum(mask[:-1], dtype=np.int8).view(bool)]
     upto = np.concatenate([[0], np.cumsum(size)])
     offsets = upto[np.concatenate([[0], np.cumsum(counts)])].astype(np.int64)
     return pa.LargeStringArray.from_buffers(len(counts), pa.py_buffer(offsets), pa.py_buffer(text))
@@ -285,7 +319,7 @@ def _remove(k: int):
         if not len(table):
             return pa.table([pa.array([], t) for t in (pa.int64(), pa.int64(), pa.int64(), pa.string())], names=names)
         g = Group(table, k)
-        change = np.zeros(len(g.hashes) + 1, np.int64)
+        change = np.zeros(len(g.w.starts) + 1, np.int64)
         if len(paths):
             paths = paths.combine_chunks()
             rows, starts = paths.column("rows").combine_chunks(), paths.column("starts").combine_chunks()
