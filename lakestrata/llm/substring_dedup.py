@@ -50,8 +50,6 @@ GROUP_BYTES = 8 << 20
 NO_ID = (1 << 63) - 1
 _U = np.uint64
 _REPEATED, _OPEN_BEFORE, _OPEN_BEHIND = 1, 2, 4
-
-
 #: an edge in a message: part of its hash and the words before and behind
 _EDGE = np.dtype([("value", "<u4"), ("before", "<u4"), ("behind", "<u4")])
 
